@@ -15,6 +15,7 @@ from ..constants import (
     SOURCE_RESULTS,
 )
 from ..functions import elections as E
+from ..functions import voters as V
 from ..operators.dedup import keep_first
 from ..schemas import CALENDAR_COLUMNS
 
@@ -187,12 +188,20 @@ def calendar_by_source(calendar: DataFrame) -> DataFrame:
     )
 
 
-def election_days(calendar: DataFrame) -> DataFrame:
-    """The federal general election days of a calendar as one sorted array.
+def elections_since(
+    voters: DataFrame, calendar: DataFrame, name: str = "elections_in_calendar"
+) -> DataFrame:
+    """Voters with the number of the calendar's federal general elections after their last vote.
 
-    There is one such day every second year, so the array stays small whatever the calendar.
+    The election days reach every row as one sorted array. There is one such day every
+    second year, so the array stays small whatever the calendar.
     """
     general = (F.col("election_level") == "Federal") & ~F.col("is_primary")
-    return calendar.where(general).agg(
+    days = calendar.where(general).agg(
         F.sort_array(F.collect_set(F.col("election_date").cast("date"))).alias("days")
     )
+    return (
+        voters.withColumn("_days", days.scalar())
+        .withColumn(name, V.elections_since(F.col("last_voted_date"), F.col("_days")))
+        .drop("_days")
+    )

@@ -118,18 +118,51 @@ def results(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def civic(spark: SparkSession, folder: str) -> DataFrame:
-    """Civic listings: every nation with every name template; ``seq`` is the listing's number."""
-    nation = F.col("n_nationkey")
+    """Civic listings, one per order; ``seq`` is their order."""
+    key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
     templates = F.array(*[F.lit(t) for t in CIVIC_TEMPLATES])
-    number = nation.cast("bigint") * len(CIVIC_TEMPLATES) + F.col("position")
-    year = (nation % 5 + 2023).cast("string")
+    template = F.element_at(templates, (key % len(CIVIC_TEMPLATES) + 1).cast("int"))
+    year = (key % 5 + 2023).cast("int")
+    held = F.make_date(year, F.month(day), F.least(F.dayofmonth(day), F.lit(28)))
+    customers = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey")
+    )
+    nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
     return (
-        table(spark, folder, "nation")
-        .select("n_nationkey", "n_name", F.posexplode(templates).alias("position", "template"))
+        table(spark, folder, "orders")
+        .join(customers, "o_custkey")
+        .join(nations, "n_nationkey")
         .select(
-            number.cast("string").alias("id"),
-            F.concat_ws(" ", "n_name", year, "template").alias("name"),
-            F.concat(year, F.lit("-06-0"), (nation % 9 + 1).cast("string"), F.lit("T00:00:00Z")).alias("electionDay"),
-            number.alias("seq"),
+            key.cast("string").alias("id"),
+            F.concat_ws(" ", "n_name", year.cast("string"), template).alias("name"),
+            F.concat(F.date_format(held, "yyyy-MM-dd"), F.lit("T00:00:00Z")).alias("electionDay"),
+            key.alias("seq"),
         )
     )
+
+
+def voter_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The voters as all-text file rows, with the kinds of dirt voter files carry."""
+    k = F.col("source_id").cast("bigint")
+    return voters(spark, folder).select(
+        F.col("source_id").alias("id"),
+        F.when(k % 10 == 0, "nan")
+        .when(k % 3 == 0, F.concat(F.lit("  "), F.col("first_name"), F.lit(" ")))
+        .otherwise(F.col("first_name"))
+        .alias("first_name"),
+        F.when(k % 19 == 0, "N/A").otherwise(F.col("last_name")).alias("last_name"),
+        F.when(k % 23 == 0, "x")
+        .when(k % 4 == 0, F.concat(F.col("age").cast("string"), F.lit(".0")))
+        .otherwise(F.col("age").cast("string"))
+        .alias("age"),
+        "gender",
+        "state",
+        F.when(k % 7 == 0, F.concat(F.col("party"), F.lit("\t"))).otherwise(F.col("party")).alias("party"),
+        "email",
+        F.when(k % 31 == 0, F.date_format("registered_date", "yyyy/MM/dd"))
+        .otherwise(F.date_format("registered_date", "yyyy-MM-dd"))
+        .alias("registered_date"),
+        F.when(k % 37 == 0, "2020-02-30")
+        .otherwise(F.date_format("last_voted_date", "yyyy-MM-dd"))
+        .alias("last_voted_date"),
+    )
