@@ -29,26 +29,31 @@ def unseen_records(
     by broadcast and travel under a made-up key of their own; only the rows of other keys
     meet in the shuffled join. The key must be a string and not null.
     """
-    order = F.col(file_order) if file_order else F.lit(0)
-    tagged = new.withColumn("_order", F.struct(F.lit(1).alias("stored"), order.alias("at")))
-    order_type = tagged.schema["_order"].dataType["at"].dataType
-    keys = tagged.select(key, "_order", F.lit(1).cast("bigint").alias("_rows"))
+    tagged = new.withColumn("_at", F.col(file_order) if file_order else F.lit(0))
+    at_type = tagged.schema["_at"].dataType
+    keys = tagged.select(key, "_at", F.lit(1).alias("_new"))
     if existing is not None:
-        stored = F.struct(F.lit(0).alias("stored"), F.lit(None).cast(order_type).alias("at"))
+        stored = existing.where(F.col(key).isNotNull())
         keys = keys.unionByName(
-            existing.where(F.col(key).isNotNull()).select(
-                key, stored.alias("_order"), F.lit(0).cast("bigint").alias("_rows")
-            )
+            stored.select(key, F.lit(None).cast(at_type).alias("_at"), F.lit(0).alias("_new"))
         )
-    firsts = keys.groupBy(key).agg(F.min("_order").alias("_first"), F.sum("_rows").alias("_rows"))
-    hot = firsts.where(F.col("_rows") > hot_key_rows).select(key, F.col("_first").alias("_hot_first"))
+    # A key with a stored row has no first place, so that none of its new rows is kept.
+    firsts = (
+        keys.groupBy(key)
+        .agg(F.min("_at").alias("_first"), F.min("_new").alias("_unseen"), F.sum("_new").alias("_rows"))
+        .where(F.col("_rows") >= 1)
+        .withColumn("_first", F.when(F.col("_unseen") == 1, F.col("_first")))
+    )
+    is_hot = F.col("_rows") > hot_key_rows
+    hot = firsts.where(is_hot).select(key, F.lit(True).alias("_hot"), F.col("_first").alias("_hot_first"))
     own_key = F.concat(F.lit("hot row "), F.monotonically_increasing_id().cast("string"))
-    marked = (
-        tagged.join(F.broadcast(hot), key, "left")
-        .withColumn("_match", F.when(F.col("_hot_first").isNull(), F.col(key)).otherwise(own_key))
+    marked = tagged.join(F.broadcast(hot), key, "left").withColumn(
+        "_match", F.when(F.col("_hot"), own_key).otherwise(F.col(key))
+    )
+    placed = marked.join(
+        firsts.where(~is_hot).select(F.col(key).alias("_match"), "_first"), "_match", "left"
     )
-    placed = marked.join(firsts.select(F.col(key).alias("_match"), "_first"), "_match", "left")
-    return placed.where(F.coalesce("_hot_first", "_first") == F.col("_order")).select(*new.columns)
+    return placed.where(F.coalesce("_hot_first", "_first") == F.col("_at")).select(*new.columns)
 
 
 def single_version(rows: DataFrame, key: str) -> DataFrame:

@@ -154,7 +154,6 @@ def file_quality_gate(
         .join(seen, "file_uri", "left")
         .withColumn("total_rows", F.coalesce("total_rows", F.lit(0)))
         .withColumn("error_rows", F.coalesce("error_rows", F.lit(0)))
-        .drop("file_uri")
     )
     return _gate_columns(gate, threshold)
 
@@ -244,20 +243,28 @@ def scan_voter_csv(
     paths = [row.file_path for row in scan_new_files(spark, folder, since).select("file_path").collect()]
     if not paths:
         return None
+    gate = sorted(
+        file_quality_gate(spark, paths, threshold).collect(), key=lambda row: (row.modified_at, row.file_path)
+    )
+    problems = [f"{row.source_file}: {row.error}" for row in gate if not row.can_process]
     layouts: dict[tuple[str, ...], list[str]] = {}
-    problems = []
-    for row in file_quality_gate(spark, paths, threshold).collect():
+    for row in gate:
         missing = [c for c in VOTER_COLUMNS if c not in (row.header or [])]
-        if not row.can_process:
-            problems.append(f"{row.source_file}: {row.error}")
-        elif missing:
+        if row.can_process and missing:
             problems.append(f"{row.source_file}: missing columns {', '.join(missing)}")
-        else:
+        elif row.can_process:
             layouts.setdefault(tuple(row.header), []).append(row.file_path)
     if problems:
         raise RejectedFiles("; ".join(sorted(problems)))
-    scans = [voter_rows(spark.read, sorted(files), header) for header, files in sorted(layouts.items())]
-    result = scans[0]
-    for scan in scans[1:]:
-        result = result.unionByName(scan)
-    return result
+    result = None
+    for header, files in sorted(layouts.items()):
+        rows = voter_rows(spark.read, files, header)
+        result = rows if result is None else result.unionByName(rows)
+    # One row per file: a number takes the place of path and time in everything that follows.
+    numbers = spark.createDataFrame([(row.file_uri, i) for i, row in enumerate(gate)], "file_uri string, number int")
+    return (
+        result.withColumn("file_uri", F.col("file_order.file_path"))
+        .join(F.broadcast(numbers), "file_uri")
+        .withColumn("file_order", F.col("number"))
+        .drop("file_uri", "number")
+    )

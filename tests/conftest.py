@@ -1,0 +1,22 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
+
+from ballotlake.session import local_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = local_session(8)
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf():
+    """The test tables' folder."""
+    return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
