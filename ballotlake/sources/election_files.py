@@ -23,6 +23,7 @@ def scan_results_tsv(spark: SparkSession, path: str) -> DataFrame:
         .option("quote", "")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_malformed")
+        .option("columnPruning", "false")
         .csv(path)
     )
     # A reader may not look at the malformed line alone, so a cell stands in where it is null.

@@ -8,8 +8,10 @@ driver, which then plans one read per column order.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,8 @@ CSV_OPTIONS = {
     "escape": '"',
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": "_malformed",
+    # A line's length is only seen when all its cells are parsed.
+    "columnPruning": "false",
     "encoding": "UTF-8",
 }
 
@@ -37,19 +41,22 @@ class RejectedFiles(ValueError):
     """At least one input file failed the gate; nothing was loaded."""
 
 
-def _listing(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Files below a folder or at the paths; contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .load(paths)
-        .select(
-            F.col("path").alias("file_path"),
-            F.element_at(F.split("path", "/"), -1).alias("source_file"),
-            F.col("modificationTime").alias("modified_at"),
-            F.col("length").alias("file_bytes"),
-            F.col("_metadata.file_path").alias("file_uri"),
-        )
+def _uri() -> Column:
+    """The encoded address of a row's file; local files are written in more than one way."""
+    return F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
+
+
+def _listing(spark: SparkSession, paths: str | list[str], since: datetime | None = None) -> DataFrame:
+    """CSV files below a folder or at the paths; contents are not read. Files of no bytes give no row."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+    if since is not None:
+        reader = reader.option("modifiedAfter", since.isoformat(timespec="milliseconds"))
+    return reader.load(paths).select(
+        F.col("path").alias("file_path"),
+        F.element_at(F.split("path", "/"), -1).alias("source_file"),
+        F.col("modificationTime").alias("modified_at"),
+        F.col("length").alias("file_bytes"),
+        _uri().alias("file_uri"),
     )
 
 
@@ -76,7 +83,7 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
         .options(**CSV_OPTIONS)
         .csv(paths)
         .select(
-            F.col("_metadata.file_path").alias("file_uri"),
+            _uri().alias("file_uri"),
             F.struct(
                 F.col("_metadata.file_block_start").alias("block"),
                 F.monotonically_increasing_id().alias("line"),
@@ -149,8 +156,14 @@ def file_quality_gate(
             (F.col("n_empty") - F.col("first.empty")).alias("error_rows"),
         )
     )
+    listing = _listing(spark, paths)
+    # The listing names every file, its rows only those with content.
+    names = [
+        (re.sub("^file:/+", "file:/", uri), unquote(uri.rsplit("/", 1)[1])) for uri in listing.inputFiles()
+    ]
     gate = (
-        _listing(spark, paths)
+        spark.createDataFrame(names, "file_uri string, source_file string")
+        .join(listing.drop("source_file"), "file_uri", "left")
         .join(seen, "file_uri", "left")
         .withColumn("total_rows", F.coalesce("total_rows", F.lit(0)))
         .withColumn("error_rows", F.coalesce("error_rows", F.lit(0)))
@@ -221,10 +234,10 @@ def voter_rows(reader, paths: str | list[str], header: Iterable[str] = VOTER_COL
         .where(~F.coalesce(over_long, F.lit(False)))
         .select(
             *VOTER_COLUMNS,
-            F.col("_metadata.file_name").alias("source_file"),
+            # The name is percent-encoded, where a plus is a plus.
+            F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("source_file"),
             F.struct(
-                F.col("_metadata.file_modification_time").alias("modified_at"),
-                F.col("_metadata.file_path").alias("file_path"),
+                F.col("_metadata.file_modification_time").alias("modified_at"), _uri().alias("file_uri")
             ).alias("file_order"),
         )
     )
@@ -240,11 +253,12 @@ def scan_voter_csv(
 
     Every file is checked before any is read: one bad file rejects the run.
     """
-    paths = [row.file_path for row in scan_new_files(spark, folder, since).select("file_path").collect()]
+    paths = [unquote(uri) for uri in _listing(spark, folder, since).inputFiles()]
     if not paths:
         return None
     gate = sorted(
-        file_quality_gate(spark, paths, threshold).collect(), key=lambda row: (row.modified_at, row.file_path)
+        file_quality_gate(spark, paths, threshold).collect(),
+        key=lambda row: (row.modified_at is None, row.modified_at, row.file_uri),
     )
     problems = [f"{row.source_file}: {row.error}" for row in gate if not row.can_process]
     layouts: dict[tuple[str, ...], list[str]] = {}
@@ -261,10 +275,13 @@ def scan_voter_csv(
         rows = voter_rows(spark.read, files, header)
         result = rows if result is None else result.unionByName(rows)
     # One row per file: a number takes the place of path and time in everything that follows.
-    numbers = spark.createDataFrame([(row.file_uri, i) for i, row in enumerate(gate)], "file_uri string, number int")
+    numbers = spark.createDataFrame(
+        [(row.file_uri, i, row.source_file) for i, row in enumerate(gate)],
+        "file_uri string, number int, file_name string",
+    )
     return (
-        result.withColumn("file_uri", F.col("file_order.file_path"))
+        result.withColumn("file_uri", F.col("file_order.file_uri"))
         .join(F.broadcast(numbers), "file_uri")
-        .withColumn("file_order", F.col("number"))
-        .drop("file_uri", "number")
+        .withColumns({"file_order": F.col("number"), "source_file": F.col("file_name")})
+        .drop("file_uri", "number", "file_name")
     )
