@@ -20,7 +20,6 @@ from ..constants import (
 BLANKS = " \t\n\r\f\v"
 WHOLE_OR_DECIMAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 INFINITE = r"(?i)^[+-]?inf(inity)?$"
-ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 
 
 def strip_blanks(text: Column) -> Column:
@@ -46,18 +45,18 @@ def parse_age(text: Column) -> Column:
     is never loaded in part.
     """
     trimmed = strip_blanks(text)
-    number = F.when(trimmed.rlike(WHOLE_OR_DECIMAL), trimmed.try_cast("double"))
-    fits = (number == F.floor(number)) & F.abs(number).between(0.0, 2147483647.0)
-    return (
-        F.when(trimmed.rlike(INFINITE) | ~fits, F.raise_error(F.concat(F.lit("age is not a whole number: "), trimmed)).cast("int"))
-        .otherwise(number.cast("int"))
-    )
+    number = trimmed.try_cast("double")
+    fits = (number == F.floor(number)) & (F.abs(number) <= 2147483647.0)
+    refuse = F.raise_error(F.concat(F.lit("age is not a whole number: "), trimmed)).cast("int")
+    whole = F.when(fits, number.cast("int")).otherwise(refuse)
+    return F.when(trimmed.rlike(WHOLE_OR_DECIMAL), whole).when(trimmed.rlike(INFINITE), refuse)
 
 
 def parse_iso_date(text: Column) -> Column:
     """Date from ``yyyy-mm-dd``; any other text, and days that do not exist, become null."""
     trimmed = strip_blanks(text)
-    return F.when(trimmed.rlike(ISO_DATE), trimmed.try_cast("date"))
+    dashes = (trimmed.substr(5, 1) == "-") & (trimmed.substr(8, 1) == "-")
+    return F.when((F.length(trimmed) == 10) & dashes, trimmed.try_cast("date"))
 
 
 def normalize_email(email: Column) -> Column:

@@ -23,6 +23,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **extra: s
         .appName("ballotlake")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("BALLOTLAKE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ballotlake-wh-"))

@@ -17,11 +17,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..constants import EMPTY_ROW_THRESHOLD, VOTER_COLUMNS
+from ..constants import CSV_MISSING, EMPTY_ROW_THRESHOLD, VOTER_COLUMNS
 from ..functions.literals import timestamp_literal
-from ..functions.voters import clean_text, missing_to_null, parse_age, parse_iso_date, strip_blanks
+from ..functions.voters import clean_text, missing_to_null, parse_age, parse_iso_date
 
-# Columns read per line when the header is not known yet.
+# The widest header a file may have.
 WIDEST_HEADER = 64
 TEXT_COLUMNS = ("first_name", "last_name", "gender", "state", "party", "email")
 
@@ -41,9 +41,14 @@ class RejectedFiles(ValueError):
     """At least one input file failed the gate; nothing was loaded."""
 
 
-def _uri() -> Column:
-    """The encoded address of a row's file; local files are written in more than one way."""
-    return F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
+def _address() -> Column:
+    """The encoded address of a row's file."""
+    return F.col("_metadata.file_path")
+
+
+def _plain(address: Column) -> Column:
+    """Local files are addressed as file:/ or file:///; both become the former."""
+    return F.regexp_replace(address, "^file:/+", "file:/")
 
 
 def _listing(spark: SparkSession, paths: str | list[str], since: datetime | None = None) -> DataFrame:
@@ -56,7 +61,7 @@ def _listing(spark: SparkSession, paths: str | list[str], since: datetime | None
         F.element_at(F.split("path", "/"), -1).alias("source_file"),
         F.col("modificationTime").alias("modified_at"),
         F.col("length").alias("file_bytes"),
-        _uri().alias("file_uri"),
+        _address().alias("file_uri"),
     )
 
 
@@ -74,29 +79,40 @@ def _commas(line: Column) -> Column:
     return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
 
 
+def _all_missing(line: Column) -> Column:
+    """Whether every cell of a CSV line is a text that means "missing"."""
+    words = "|".join(re.escape(word) for word in CSV_MISSING if word)
+    cell = f'(?:(?:{words})|"(?:{words})?")?'
+    return line.rlike(f"^(?:{cell},)*+{cell}$")
+
+
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Every line as an array of cells, with its file and its place in the file."""
-    cells = [f"c{i}" for i in range(WIDEST_HEADER)]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*cells, "_malformed"]])
+    """Every line that is not blank, with its file and its place in the file."""
     return (
-        spark.read.schema(schema)
-        .options(**CSV_OPTIONS)
-        .csv(paths)
+        spark.read.text(paths)
         .select(
-            _uri().alias("file_uri"),
+            _address().alias("file_uri"),
             F.struct(
                 F.col("_metadata.file_block_start").alias("block"),
                 F.monotonically_increasing_id().alias("line"),
             ).alias("place"),
-            F.array(*cells).alias("cells"),
-            F.col("_malformed").alias("text"),
-            F.coalesce(*[missing_to_null(F.col(c)) for c in cells]).isNull().cast("int").alias("empty"),
+            "value",
         )
+        .where(F.col("value") != "")
+        .withColumn("empty", _all_missing(F.col("value")).cast("int"))
     )
 
 
+def _header_cells(line: Column) -> Column:
+    """The column names of a header line; a name may be blank."""
+    cells = [f"c{i}" for i in range(WIDEST_HEADER)]
+    parsed = F.from_csv(line, ", ".join(f"{c} string" for c in cells), {**CSV_OPTIONS, "columnPruning": "true"})
+    names = F.array(*[F.btrim(F.coalesce(parsed[c], F.lit(""))) for c in cells])
+    return F.slice(names, F.lit(1), _commas(line) + 1)
+
+
 def _gate_columns(gate: DataFrame, threshold: float) -> DataFrame:
-    names = F.size("header")
+    names = F.col("header_columns")
     rate = F.col("error_rows") / F.when(F.col("total_rows") > 0, F.col("total_rows"))
     return (
         gate.withColumn("error_rate", F.coalesce(rate, F.lit(0.0)))
@@ -125,8 +141,7 @@ def gate_rows(rows: DataFrame, threshold: float = EMPTY_ROW_THRESHOLD) -> DataFr
     counted = rows.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("total_rows"), F.count_if(any_value.isNull()).alias("error_rows")
     )
-    header = F.array(*[F.lit(c) for c in data])
-    return _gate_columns(counted.withColumn("header", header), threshold).select(*GATE_COLUMNS)
+    return _gate_columns(counted.withColumn("header_columns", F.lit(len(data))), threshold).select(*GATE_COLUMNS)
 
 
 def file_quality_gate(
@@ -134,24 +149,23 @@ def file_quality_gate(
 ) -> DataFrame:
     """One row per file: header, row counts and whether the file may be loaded.
 
-    The header is the cell array of the line that comes first in the file. Counting and
-    finding it are one partially aggregated pass, so a single huge file is no bottleneck.
+    The header is the line that comes first in the file. Finding it and counting are one
+    partially aggregated pass over plain text lines, so a single huge file is no bottleneck.
     """
     paths = list(paths)
-    width = F.coalesce(_commas(F.col("first.text")) + 1, F.lit(WIDEST_HEADER))
     seen = (
         _lines(spark, paths)
         .groupBy("file_uri")
         .agg(
-            F.min_by(F.struct("cells", "text", "empty"), "place").alias("first"),
+            F.min_by(F.struct("value", "empty"), "place").alias("first"),
             F.count(F.lit(1)).alias("n_lines"),
             F.sum("empty").alias("n_empty"),
         )
+        .withColumn("text", F.regexp_replace("first.value", "^\ufeff", ""))
         .select(
             "file_uri",
-            F.transform(
-                F.slice("first.cells", F.lit(1), width), lambda cell: strip_blanks(F.coalesce(cell, F.lit("")))
-            ).alias("header"),
+            _header_cells(F.col("text")).alias("header"),
+            (_commas(F.col("text")) + 1).alias("header_columns"),
             (F.col("n_lines") - 1).alias("total_rows"),
             (F.col("n_empty") - F.col("first.empty")).alias("error_rows"),
         )
@@ -162,9 +176,9 @@ def file_quality_gate(
         (re.sub("^file:/+", "file:/", uri), unquote(uri.rsplit("/", 1)[1])) for uri in listing.inputFiles()
     ]
     gate = (
-        spark.createDataFrame(names, "file_uri string, source_file string")
-        .join(listing.drop("source_file"), "file_uri", "left")
-        .join(seen, "file_uri", "left")
+        spark.createDataFrame(names, "plain string, source_file string")
+        .join(listing.drop("source_file").withColumn("plain", _plain(F.col("file_uri"))), "plain", "left")
+        .join(seen.withColumn("plain", _plain(F.col("file_uri"))).drop("file_uri"), "plain", "left")
         .withColumn("total_rows", F.coalesce("total_rows", F.lit(0)))
         .withColumn("error_rows", F.coalesce("error_rows", F.lit(0)))
     )
@@ -237,7 +251,7 @@ def voter_rows(reader, paths: str | list[str], header: Iterable[str] = VOTER_COL
             # The name is percent-encoded, where a plus is a plus.
             F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("source_file"),
             F.struct(
-                F.col("_metadata.file_modification_time").alias("modified_at"), _uri().alias("file_uri")
+                F.col("_metadata.file_modification_time").alias("modified_at"), _address().alias("file_uri")
             ).alias("file_order"),
         )
     )
@@ -258,7 +272,7 @@ def scan_voter_csv(
         return None
     gate = sorted(
         file_quality_gate(spark, paths, threshold).collect(),
-        key=lambda row: (row.modified_at is None, row.modified_at, row.file_uri),
+        key=lambda row: (row.modified_at is None, row.modified_at, row.plain),
     )
     problems = [f"{row.source_file}: {row.error}" for row in gate if not row.can_process]
     layouts: dict[tuple[str, ...], list[str]] = {}
