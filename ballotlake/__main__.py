@@ -27,7 +27,8 @@ def main() -> None:
     args = parser.parse_args()
     as_of = args.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
 
-    builder = SparkSession.builder.appName("ballotlake")
+    # Runs build on the tables of earlier runs, so the catalog has to outlive the process.
+    builder = SparkSession.builder.appName("ballotlake").enableHiveSupport()
     for key, value in SQL_SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

@@ -26,8 +26,8 @@ def unseen_records(
 
     Keys are first reduced to one row each (partial aggregation, so a key holding a third
     of all rows costs one row per task). Rows of frequent keys learn their key's first place
-    by broadcast and travel under a made-up key of their own; only the rows of other keys
-    meet in the shuffled join. The key must be a string and not null.
+    by broadcast; those that stay travel under a made-up key of their own, so that only the
+    rows of other keys meet in the shuffled join. The key must be a string and not null.
     """
     tagged = new.withColumn("_at", F.col(file_order) if file_order else F.lit(0))
     at_type = tagged.schema["_at"].dataType
@@ -47,8 +47,10 @@ def unseen_records(
     is_hot = F.col("_rows") > hot_key_rows
     hot = firsts.where(is_hot).select(key, F.lit(True).alias("_hot"), F.col("_first").alias("_hot_first"))
     own_key = F.concat(F.lit("hot row "), F.monotonically_increasing_id().cast("string"))
-    marked = tagged.join(F.broadcast(hot), key, "left").withColumn(
-        "_match", F.when(F.col("_hot"), own_key).otherwise(F.col(key))
+    marked = (
+        tagged.join(F.broadcast(hot), key, "left")
+        .where(F.col("_hot").isNull() | (F.col("_hot_first") == F.col("_at")))
+        .withColumn("_match", F.when(F.col("_hot"), own_key).otherwise(F.col(key)))
     )
     placed = marked.join(
         firsts.where(~is_hot).select(F.col(key).alias("_match"), "_first"), "_match", "left"

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.literals import timestamp_literal
+from ..functions.literals import latest_moment, timestamp_literal
 from ..functions.voters import record_hash
 from ..operators.dedup import unseen_records
 from ..schemas import RAW_VOTERS, RUN_METADATA
@@ -77,8 +77,8 @@ def run_metadata(
 
 
 def last_watermark(metadata: DataFrame | None, fallback: datetime | None = None) -> datetime | None:
-    """When the newest recorded run took place; ``fallback`` without one."""
+    """When the newest recorded run took place (UTC); ``fallback`` without one."""
     if metadata is None:
         return fallback
-    row = metadata.orderBy(F.desc("id")).select("last_processed_at").first()
-    return row.last_processed_at if row and row.last_processed_at else fallback
+    newest = metadata.orderBy(F.desc("id")).limit(1)
+    return latest_moment(newest, "last_processed_at") or fallback

@@ -12,7 +12,7 @@ from .. import schemas
 from ..operators.quality import run_checks
 from ..operators.sinks import csv_sink, current, publish
 from ..sources.election_files import load_seed, scan_civic_json, scan_results_tsv
-from ..sources.voter_files import clean_voters, scan_new_files, scan_voter_csv
+from ..sources.voter_files import clean_voters, new_file_paths, read_voter_files
 from . import calendars, checks, marts
 from .ingest import ingest_metrics, ingest_voters, last_watermark, run_metadata
 from .voters import dim_upsert, stage_upsert
@@ -43,25 +43,25 @@ def load_voters(
     raw_name, meta_name = f"{database}.vote_records", f"{database}.processing_metadata"
     metadata = current(spark, meta_name)
     since = last_watermark(metadata)
-    rows = scan_voter_csv(spark, folder, since)
-    if rows is None:
+    paths = new_file_paths(spark, folder, since)
+    if not paths:
         if truncate and spark.catalog.tableExists(raw_name):
             spark.sql(f"TRUNCATE TABLE {raw_name}")
         return Run(0, 0, 0, 0)
-    files = scan_new_files(spark, folder, since).count()
+    rows = clean_voters(read_voter_files(spark, paths))
     existing = None if truncate else current(spark, raw_name)
     seen = Observation("ingest")
-    added = ingest_voters(clean_voters(rows), as_of, existing, truncate).observe(
+    added = ingest_voters(rows, as_of, existing, truncate).observe(
         seen, F.count(F.lit(1)).alias("rows")
     )
     added.write.mode("overwrite" if truncate else "append").format("parquet").saveAsTable(raw_name)
     metrics = ingest_metrics(spark.table(raw_name))
     records = seen.get["rows"]
     publish(
-        spark, run_metadata(metadata, metrics, as_of, files, records), meta_name, schemas.RUN_METADATA
+        spark, run_metadata(metadata, metrics, as_of, len(paths), records), meta_name, schemas.RUN_METADATA
     )
     stats = spark.table(meta_name).first()
-    return Run(files, records, stats.voter_count, stats.state_count)
+    return Run(len(paths), records, stats.voter_count, stats.state_count)
 
 
 def build_models(

@@ -13,6 +13,7 @@ from . import schemas
 from .constants import VOTER_COLUMNS
 from .functions import elections as E
 from .functions import voters as V
+from .functions.literals import latest_moment
 from .operators import quality as Q
 from .operators.dedup import unseen_records
 from .operators.sinks import csv_sink
@@ -240,7 +241,7 @@ def scan_new_files(spark: SparkSession, folder: str) -> DataFrame:
     files = shared_dir(spark, "voter-files")
     texts = _texts(_raw(spark, folder))
     _write_csv(texts.where(_earlier()), files)
-    watermark = voter_files.scan_new_files(spark, files).agg(F.max("modified_at")).first()[0]
+    watermark = latest_moment(voter_files.scan_new_files(spark, files), "modified_at")
     _write_csv(texts.where(~_earlier()), files)
     return voter_files.scan_voter_csv(spark, files, watermark).select(*VOTER_COLUMNS)
 
@@ -493,6 +494,9 @@ def _dashboard(name: str, dataset: Callable[[DataFrame], DataFrame], source: Que
     QUERIES[name] = lambda spark, folder: dataset(source(spark, folder))
 
 
+_dashboard("dash_states", dashboards.states_by_size, state_summary)
+_dashboard("dash_segments", dashboards.segments_by_size, voter_snapshot)
+_dashboard("dash_stage", dashboards.stage_by_registration, _stage)
 _dashboard("dash_kpis", dashboards.kpis, state_summary)
 _dashboard("dash_engagement_trend", dashboards.engagement_trend, partisan_trends)
 _dashboard("dash_top_targets", dashboards.top_targets, targeting_opportunities)

@@ -257,19 +257,15 @@ def voter_rows(reader, paths: str | list[str], header: Iterable[str] = VOTER_COL
     )
 
 
-def scan_voter_csv(
-    spark: SparkSession,
-    folder: str,
-    since: datetime | None = None,
-    threshold: float = EMPTY_ROW_THRESHOLD,
-) -> DataFrame | None:
-    """All-text voter rows of the folder's new files; None when there is no new file.
+def new_file_paths(spark: SparkSession, folder: str, since: datetime | None = None) -> list[str]:
+    """Addresses of the folder's CSV files changed after ``since``, empty files included."""
+    return [unquote(address) for address in _listing(spark, folder, since).inputFiles()]
 
-    Every file is checked before any is read: one bad file rejects the run.
-    """
-    paths = [unquote(uri) for uri in _listing(spark, folder, since).inputFiles()]
-    if not paths:
-        return None
+
+def read_voter_files(
+    spark: SparkSession, paths: list[str], threshold: float = EMPTY_ROW_THRESHOLD
+) -> DataFrame:
+    """All-text voter rows of the files. Every file is checked first: one bad file rejects all."""
     gate = sorted(
         file_quality_gate(spark, paths, threshold).collect(),
         key=lambda row: (row.modified_at is None, row.modified_at, row.plain),
@@ -299,3 +295,14 @@ def scan_voter_csv(
         .withColumns({"file_order": F.col("number"), "source_file": F.col("file_name")})
         .drop("file_uri", "number", "file_name")
     )
+
+
+def scan_voter_csv(
+    spark: SparkSession,
+    folder: str,
+    since: datetime | None = None,
+    threshold: float = EMPTY_ROW_THRESHOLD,
+) -> DataFrame | None:
+    """All-text voter rows of the folder's new files; None when there is no new file."""
+    paths = new_file_paths(spark, folder, since)
+    return read_voter_files(spark, paths, threshold) if paths else None

@@ -581,6 +581,9 @@ where targeting_tier = 'High Priority' order by opportunity_score desc, national
     "example_states": """select state, partisan_lean, engagement_opportunity_score, total_registered_voters from summary
 where partisan_lean in ('Highly Competitive', 'Competitive')""",
 }
+ORACLES["dash_states"] = ORACLES["state_summary"]
+ORACLES["dash_segments"] = ORACLES["voter_snapshot"]
+ORACLES["dash_stage"] = ORACLES["stage_voter_metrics"]
 ORACLES["dedup_antijoin_hot_keys"] = ORACLES["dedup_antijoin"]
 
 

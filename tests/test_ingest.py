@@ -223,6 +223,6 @@ def test_metadata_keeps_its_creation_time(spark):
     row = second.first()
     assert (row.created_at, row.updated_at) == (datetime(2025, 1, 1), datetime(2025, 2, 1, 10, 30, 5))
     assert (row.files_processed, row.records_processed, row.voter_count, row.state_count) == (2, 4, 1, 2)
-    assert ingest.last_watermark(second) == datetime(2025, 2, 1, 10, 30, 5)
+    assert ingest.last_watermark(second) == datetime(2025, 2, 1, 10, 30, 5, tzinfo=timezone.utc)
     assert ingest.last_watermark(None) is None
     assert ingest.last_watermark(second.where("false"), NOW) == NOW
