@@ -418,14 +418,11 @@ def partisan_trends(
 MARTS = ("voter_snapshot", "partisan_trends", "targeting_opportunities", "state_summary")
 
 
-def all_marts(stage: DataFrame, as_of: date, one_row_per_voter: bool = False) -> dict[str, DataFrame]:
-    """The four marts, three of them from the same cells.
-
-    The cells are kept in executor storage (a lost executor's blocks are recomputed), so that
-    the three marts read the voters once.
-    """
-    cells = voter_cells(stage).persist()
-    voters = Voters(stage, cells, one_row_per_voter)
+def all_marts(
+    stage: DataFrame | Voters, as_of: date, one_row_per_voter: bool = False
+) -> dict[str, DataFrame]:
+    """The four marts. Given :class:`Voters` whose cells are persisted, three of them share one pass."""
+    voters = Voters.of(stage, one_row_per_voter)
     return {
         "voter_snapshot": voter_snapshot(voters, as_of),
         "partisan_trends": partisan_trends(voters),

@@ -84,9 +84,15 @@ def build_models(
         schemas.STAGE_VOTER_METRICS, (), "voter_id", buckets,
     )
     tables = {"dim_voter": dim, "stage_voter_metrics": stage}
-    # The stage's key has just been checked, so voters may be counted as rows.
-    for name, mart in marts.all_marts(stage, as_of.date(), one_row_per_voter=True).items():
-        tables[name] = publish(spark, mart, f"{database}.{name}", schemas.CONTRACTS[name])
+    # The stage's key has just been checked, so voters may be counted as rows. The cells are
+    # kept for the marts made from them; blocks lost with an executor are computed again.
+    voters = marts.Voters.of(stage, one_row_per_voter=True)
+    voters.cells.persist()
+    try:
+        for name, mart in marts.all_marts(voters, as_of.date()).items():
+            tables[name] = publish(spark, mart, f"{database}.{name}", schemas.CONTRACTS[name])
+    finally:
+        voters.cells.unpersist()
     return tables
 
 

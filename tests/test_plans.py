@@ -12,6 +12,12 @@ from samples import AS_OF
 FILE_QUERIES = {"scan_voter_csv", "scan_new_files", "scan_results_tsv", "scan_civic_json", "seed_load", "catalog_tables", "csv_sink", "ingest_stream"}
 
 
+@pytest.fixture(autouse=True, scope="module")
+def nothing_cached(spark):
+    """Plans would show what other modules cached."""
+    spark.catalog.clearCache()
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
