@@ -19,9 +19,17 @@ def csv_sink(df: DataFrame, path: str) -> bool:
 
 
 def save_table(df: DataFrame, name: str, key: str | None = None, buckets: int | None = None) -> DataFrame:
-    """Write a table; with ``key`` it is bucketed, so later joins and counts by key need no shuffle."""
+    """Write a table; with ``key`` it is bucketed, so later joins and counts by key need no shuffle.
+
+    With as many buckets as shuffle partitions, rows that come out of a join or aggregate by
+    the key already are together as the buckets want them. Otherwise they are brought
+    together first, so that a task does not write a file for every bucket.
+    """
+    bucketed = bool(key and buckets)
+    if bucketed and buckets != int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        df = df.repartition(buckets, key)
     writer = df.write.mode("overwrite").format("parquet")
-    if key and buckets:
+    if bucketed:
         writer = writer.bucketBy(buckets, key).sortBy(key)
     writer.saveAsTable(name)
     return df.sparkSession.table(name)

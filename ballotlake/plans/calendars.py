@@ -146,13 +146,12 @@ def upcoming_calendar(spark: SparkSession, as_of: date, civic: DataFrame | None
 
     A civic listing wins over a computed row, an earlier listing over a later one.
     """
-    computed = federal_calendar(spark, *calendar_years(as_of))
-    parts = [computed] if civic is None else [classify_elections(civic), computed]
-    first = None
-    for priority, part in enumerate(parts):
-        kept = keep_first(part, NATURAL_KEY, ["seq"]).drop("seq").withColumn("_priority", F.lit(priority))
-        first = kept if first is None else first.unionByName(kept)
-    return keep_first(first, NATURAL_KEY, ["_priority"]).select(*DESCRIPTION).orderBy("election_date")
+    # The schedule has one row per key, so only listings can repeat among themselves.
+    rows = federal_calendar(spark, *calendar_years(as_of)).drop("seq").withColumn("_priority", F.lit(1))
+    if civic is not None:
+        listed = keep_first(classify_elections(civic), NATURAL_KEY, ["seq"]).drop("seq")
+        rows = rows.unionByName(listed.withColumn("_priority", F.lit(0)))
+    return keep_first(rows, NATURAL_KEY, ["_priority"]).select(*DESCRIPTION).orderBy("election_date")
 
 
 def finalize_calendar(df: DataFrame, as_of: datetime) -> DataFrame:
