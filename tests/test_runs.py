@@ -160,3 +160,25 @@ def test_calendar_seeds(spark, tmp_path):
         assert failed == []
     for part in ("fact", "dim"):
         spark.sql(f"DROP DATABASE {prefix}{part} CASCADE")
+
+
+def test_upserts_of_bucketed_tables_leave_the_target_where_it_is(spark, database, sf):
+    from datetime import timedelta
+
+    from ballotlake.plans import voters as people
+    from ballotlake.registry import AS_OF, NOON, _raw
+
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first = people.dim_upsert(None, _raw(spark, sf), AS_OF)
+    dim = publish(spark, first, f"{database}.dim", None, (), "source_id", buckets)
+    stage = publish(spark, people.stage_upsert(None, dim, NOON), f"{database}.stage", None, (), "voter_id", buckets)
+    raw_only = people.dim_voter(_raw(spark, sf), AS_OF + timedelta(1))
+
+    def exchanges(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    again = people.dim_upsert(dim, _raw(spark, sf), AS_OF + timedelta(1))
+    assert exchanges(again) == exchanges(raw_only)
+    staged = people.stage_upsert(stage, dim, NOON + timedelta(days=1))
+    assert exchanges(staged) == 0
+    assert again.count() == dim.count()
