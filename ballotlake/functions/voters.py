@@ -17,13 +17,17 @@ from ..constants import (
     TEXT_MISSING,
 )
 
-BLANKS = " \t\n\r\f\v"
+# Every blank character: those of ASCII, and all of them.
+ASCII_BLANKS = "".join(c for c in map(chr, range(128)) if c.isspace())
+BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 WHOLE_OR_DECIMAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 INFINITE = r"(?i)^[+-]?inf(inity)?$"
 
 
 def strip_blanks(text: Column) -> Column:
-    return F.btrim(text, F.lit(BLANKS))
+    """Trim blanks of any kind; plain ASCII text is only searched for ASCII blanks."""
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, F.btrim(text, F.lit(ASCII_BLANKS))).otherwise(F.btrim(text, F.lit(BLANKS)))
 
 
 # --- cleaning ------------------------------------------------------------------------------------
@@ -32,19 +36,17 @@ def missing_to_null(text: Column) -> Column:
     return F.when(~text.isin(*CSV_MISSING), text)
 
 
-def clean_text(text: Column) -> Column:
-    """Trim; texts that only say "missing" become null."""
-    trimmed = strip_blanks(text)
+def clean_text(trimmed: Column) -> Column:
+    """Trimmed texts that only say "missing" become null."""
     return F.when(~trimmed.isin(*TEXT_MISSING), trimmed)
 
 
-def parse_age(text: Column) -> Column:
-    """Whole number from text such as ``45`` or ``45.0``; other text becomes null.
+def parse_age(trimmed: Column) -> Column:
+    """Whole number from trimmed text such as ``45`` or ``45.0``; other text becomes null.
 
     A fraction or a number no int can hold fails the job, so that a file carrying one
     is never loaded in part.
     """
-    trimmed = strip_blanks(text)
     number = trimmed.try_cast("double")
     fits = (number == F.floor(number)) & (F.abs(number) <= 2147483647.0)
     refuse = F.raise_error(F.concat(F.lit("age is not a whole number: "), trimmed)).cast("int")
@@ -52,9 +54,8 @@ def parse_age(text: Column) -> Column:
     return F.when(trimmed.rlike(WHOLE_OR_DECIMAL), whole).when(trimmed.rlike(INFINITE), refuse)
 
 
-def parse_iso_date(text: Column) -> Column:
+def parse_iso_date(trimmed: Column) -> Column:
     """Date from ``yyyy-mm-dd``; any other text, and days that do not exist, become null."""
-    trimmed = strip_blanks(text)
     dashes = (trimmed.substr(5, 1) == "-") & (trimmed.substr(8, 1) == "-")
     return F.when((F.length(trimmed) == 10) & dashes, trimmed.try_cast("date"))
 

@@ -170,12 +170,12 @@ def dedup_antijoin(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def dedup_antijoin_hot_keys(spark: SparkSession, folder: str) -> DataFrame:
-    """The same with every repeated key treated as frequent."""
-    records = ingest.raw_records(_raw(spark, folder), AS_OF_TIME)
+def dedup_across_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Against stored rows and, file after file, against each other."""
+    records = ingest.raw_records(_files(_raw(spark, folder)), AS_OF_TIME)
     stored = records.where(F.col("registered_date") < F.lit(date(2005, 1, 1))).select("record_hash")
-    return unseen_records(records, stored, hot_key_rows=1).select(
-        "source_id", "last_voted_date", "record_hash"
+    return unseen_records(records, stored, file_order="file_order").select(
+        "source_id", "last_voted_date", "record_hash", "source_file"
     )
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..constants import CSV_MISSING, EMPTY_ROW_THRESHOLD, VOTER_COLUMNS
 from ..functions.literals import timestamp_literal
-from ..functions.voters import clean_text, missing_to_null, parse_age, parse_iso_date
+from ..functions.voters import clean_text, missing_to_null, parse_age, parse_iso_date, strip_blanks
 
 # The widest header a file may have.
 WIDEST_HEADER = 64
@@ -218,14 +218,17 @@ def schema_check(
 
 
 def clean_voters(rows: DataFrame) -> DataFrame:
-    """Typed, cleaned voter rows from all-text rows."""
-    cleaned = {c: missing_to_null(F.col(c)) for c in VOTER_COLUMNS}
-    for c in TEXT_COLUMNS:
-        cleaned[c] = clean_text(cleaned[c])
-    cleaned["age"] = parse_age(cleaned["age"])
+    """Typed, cleaned voter rows from all-text rows.
+
+    Step by step, because each step looks at the one before several times over.
+    """
+    filled = rows.withColumns({c: missing_to_null(F.col(c)) for c in VOTER_COLUMNS})
+    trimmed = filled.withColumns({c: strip_blanks(F.col(c)) for c in VOTER_COLUMNS[1:]})
+    typed = {c: clean_text(F.col(c)) for c in TEXT_COLUMNS}
+    typed["age"] = parse_age(F.col("age"))
     for c in ("registered_date", "last_voted_date"):
-        cleaned[c] = parse_iso_date(cleaned[c])
-    return rows.withColumns(cleaned)
+        typed[c] = parse_iso_date(F.col(c))
+    return trimmed.withColumns(typed)
 
 
 def voter_rows(reader, paths: str | list[str], header: Iterable[str] = VOTER_COLUMNS) -> DataFrame:

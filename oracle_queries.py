@@ -429,6 +429,9 @@ from eligibility group by all""",
     "clean_voters": CLEANED,
     "scan_voter_csv": CLEANED,
     "dedup_antijoin": """select source_id, last_voted_date, record_hash from hashed
+where record_hash not in (select record_hash from hashed where registered_date < date '2005-01-01')""",
+    "dedup_across_files": """select source_id, last_voted_date, record_hash,
+  'voters_' || file_number || '.csv' as source_file from ingested
 where record_hash not in (select record_hash from hashed where registered_date < date '2005-01-01')""",
     "ingest_voters": f"select {STAMPED} from ingested",
     "ingest_truncate": f"select {STAMPED} from filed",
@@ -584,7 +587,6 @@ where partisan_lean in ('Highly Competitive', 'Competitive')""",
 ORACLES["dash_states"] = ORACLES["state_summary"]
 ORACLES["dash_segments"] = ORACLES["voter_snapshot"]
 ORACLES["dash_stage"] = ORACLES["stage_voter_metrics"]
-ORACLES["dedup_antijoin_hot_keys"] = ORACLES["dedup_antijoin"]
 
 
 def oracle_sql() -> dict[str, str]:

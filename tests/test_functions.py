@@ -35,23 +35,23 @@ def test_percent_of_nothing(spark):
     [("45", 45), (" 45 ", 45), ("45.0", 45), ("4e1", 40), ("x", None), ("45d", None), ("", None), (None, None), ("0x2D", None)],
 )
 def test_parse_age(spark, text, age):
-    assert values(spark, V.parse_age(F.col("v")), [text], "string") == [age]
+    assert values(spark, V.parse_age(V.strip_blanks(F.col("v"))), [text], "string") == [age]
 
 
 @pytest.mark.parametrize("text", ["45.5", "inf", "-Infinity", "1e12"])
 def test_an_age_no_int_can_hold_fails_the_job(spark, text):
     with pytest.raises(Exception, match="age is not a whole number"):
-        values(spark, V.parse_age(F.col("v")), [text], "string")
+        values(spark, V.parse_age(V.strip_blanks(F.col("v"))), [text], "string")
 
 
 def test_dates_are_iso_only(spark):
     rows = ["2020-01-02", " 2020-01-02", "2020/01/02", "2020-02-30", "2020", "x", None]
-    assert values(spark, V.parse_iso_date(F.col("v")), rows, "string") == [date(2020, 1, 2)] * 2 + [None] * 5
+    assert values(spark, V.parse_iso_date(V.strip_blanks(F.col("v"))), rows, "string") == [date(2020, 1, 2)] * 2 + [None] * 5
 
 
 def test_clean_text(spark):
-    rows = [" a ", "\tb\n", "nan", " None ", "none", "NaN", "", "   ", "Nan", None]
-    assert values(spark, V.clean_text(F.col("v")), rows, "string") == ["a", "b"] + [None] * 6 + ["Nan", None]
+    rows = ["\u00a0 a \u3000", "\tb\x1f\n", "nan", " None ", "none", "NaN", "", "   ", "Nan", None]
+    assert values(spark, V.clean_text(V.strip_blanks(F.col("v"))), rows, "string") == ["a", "b"] + [None] * 6 + ["Nan", None]
 
 
 def test_record_hash_is_md5_of_normalized_fields(spark):
