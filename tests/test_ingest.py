@@ -4,7 +4,6 @@ import random
 from datetime import date, datetime, timezone
 
 import pytest
-from pyspark.sql import functions as F
 
 from ballotlake.constants import VOTER_COLUMNS
 from ballotlake.operators.dedup import keep_first, single_version, unseen_records
