@@ -3,9 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+import oracle_queries
+from ballotlake.registry import QUERIES
 from compare import compare, duck
 
-ORACLES = entry.oracle_sql()
+ORACLES = oracle_queries.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -14,12 +16,13 @@ def connection(sf):
 
 
 def test_every_query_has_sql():
-    assert set(ORACLES) == set(entry.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf, connection, name):
-    assert compare(entry.queries()[name](spark, sf), connection, ORACLES[name]) == []
+    assert compare(QUERIES[name](spark, sf), connection, ORACLES[name]) == []
 
 
 def test_entry_has_rows(spark):

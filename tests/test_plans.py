@@ -4,9 +4,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from ballotlake.plans import marts
-from ballotlake.registry import _dim, _raw, _stage
+from ballotlake.registry import QUERIES, _dim, _raw, _stage
 from samples import AS_OF
 
 FILE_QUERIES = {"scan_voter_csv", "scan_new_files", "scan_results_tsv", "scan_civic_json", "seed_load", "catalog_tables", "csv_sink", "ingest_stream"}
@@ -26,9 +25,9 @@ def shuffles(df):
     return len(re.findall(r"(?<!Broadcast)Exchange (?:hash|range|single|round)", plan(df), re.I))
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - FILE_QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - FILE_QUERIES))
 def test_no_python_and_no_product(spark, sf, name):
-    text = plan(entry.queries()[name](spark, sf))
+    text = plan(QUERIES[name](spark, sf))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroups"):
         assert node not in text
 
