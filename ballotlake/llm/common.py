@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,26 +48,41 @@ def content_key() -> Column:
     return F.xxhash64(*parts)
 
 
+def _shared(spark: SparkSession) -> str:
+    """The cluster's shared folder; a local session that names none gets one of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        folder = spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        folder = tempfile.mkdtemp(prefix="ballotlake-checkpoints-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
 def settled(df: DataFrame) -> DataFrame:
     """The rows computed once and written to the shared checkpoint folder, their lineage cut."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local["):
-                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="ballotlake-checkpoints-")
-        context.setCheckpointDir(folder)
+    spark = df.sparkSession
+    folder = _shared(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
-def same_row(left: DataFrame, right: DataFrame) -> Column:
-    """Join condition on doc_id and content key; a null doc_id meets a null one."""
-    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["_key"] == right["_key"])
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared folder."""
+    return f"{_shared(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def join_rows(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """left and right joined on doc_id and content key; a null doc_id meets a null one."""
+    other = right.withColumnsRenamed({"doc_id": "_other_id", "_key": "_other_key"})
+    match = F.col("doc_id").eqNullSafe(F.col("_other_id")) & (F.col("_key") == F.col("_other_key"))
+    return left.join(other, match, how).drop("_other_id", "_other_key")
 
 
 def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of docs whose (doc_id, _key) is in kept, all columns as they came."""
     keyed = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", content_key().alias("_key"))
-    kept = kept.select("doc_id", "_key").hint("shuffle_hash")
-    return keyed.join(kept, same_row(keyed, kept), "left_semi").select("_row.*")
+    return join_rows(keyed, kept.select("doc_id", "_key").hint("shuffle_hash"), "left_semi").select("_row.*")

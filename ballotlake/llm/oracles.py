@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ballotlake.llm import line_spread
+from ballotlake.llm import decontaminate, line_spread, mixing
 
 # A line with a word on enough sites stays in the document with the smallest doc_id only.
 LINE_SPREAD = f"""
@@ -31,4 +31,91 @@ select doc_id,
 from kept
 """
 
-SQL = {"op10_line_spread": LINE_SPREAD}
+# Every window of every item against every run of as many words of every document.
+DECONTAMINATION = f"""
+with tokens as (
+  select doc_id, row_number() over () as row, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') as words
+  from documents
+),
+items as (
+  select coalesce(item_id::varchar, '') as item, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') as words
+  from benchmark
+),
+runs as (
+  select item, least(len(words), {decontaminate.WINDOW}) as size,
+         unnest(list_transform(range(1, greatest(len(words) - {decontaminate.WINDOW} + 1, 1) + 1),
+                               lambda i: array_to_string(words[i:i + {decontaminate.WINDOW} - 1], ' '))) as body
+  from items where len(words) > 0
+),
+sizes as (select distinct size from runs),
+spots as (
+  select row, words, size, unnest(range(1, len(words) - size + 2)) as spot
+  from tokens, sizes where len(words) >= size
+),
+found as (
+  select s.row, s.spot, s.size, r.item
+  from spots s join runs r on r.size = s.size and r.body = array_to_string(s.words[s.spot:s.spot + s.size - 1], ' ')
+),
+hit as (
+  select row, count(distinct w) as n_hit from (select row, unnest(range(spot, spot + size)) as w from found) group by row
+),
+named as (
+  select row, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct row, item from found) group by row
+)
+select t.doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+       coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(words) as contaminated
+from tokens t left join hit using (row) left join named using (row)
+"""
+
+# Water filling in the order of cap per weight; a document's place in its source's stream tells its share.
+MIXING = f"""
+with sizes as (
+  select doc_id, source, md5('{mixing.SEED}|' || coalesce(doc_id::varchar, '')) as shuffle,
+         len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''))::bigint as size
+  from documents
+),
+named as (
+  select source, sum(size)::bigint as source_size,
+         row_number() over (order by source is null, source) - 1 as sid
+  from sizes group by source
+),
+capped as (
+  select *, [{', '.join(map(str, mixing.CYCLE))}][(sid % {len(mixing.CYCLE)}) + 1]::bigint as weight, source_size * {mixing.MOST} as cap,
+         (sum(source_size) over ())::bigint * {mixing.SHARE}::double as words
+  from named
+),
+levels as (
+  select *, (sum(weight) over ())::bigint as weights,
+         coalesce(sum(cap) over filling, 0)::bigint as cap_before, coalesce(sum(weight) over filling, 0)::bigint as weight_before
+  from capped
+  window filling as (order by cap / weight, sid rows between unbounded preceding and 1 preceding)
+),
+stopped as (select *, cap <= weight * ((words - cap_before) / (weights - weight_before)) as stops from levels),
+targets as (
+  select source, source_size,
+         case when stops then cap::double
+              else weight * (words - (coalesce(sum(case when stops then cap end) over (), 0))::bigint)
+                   / (weights - (coalesce(sum(case when stops then weight end) over (), 0))::bigint) end as target
+  from stopped
+),
+placed as (
+  select doc_id, size, source_size, target, floor(target)::bigint as need,
+         coalesce(sum(size) over (partition by s.source order by shuffle, size
+                                  rows between unbounded preceding and 1 preceding), 0)::bigint as start
+  from sizes s join targets t on s.source is not distinct from t.source
+)
+select doc_id, size, source_size, target,
+       case when size = 0 then 0
+            else need // source_size * size + greatest(least(need % source_size - start, size), 0) end::bigint as taken
+from placed
+"""
+
+SQL = {
+    "op3_prefix_decontamination": DECONTAMINATION,
+    "op9_golden_mix": MIXING,
+    "op10_line_spread": LINE_SPREAD,
+}

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from ballotlake.llm import line_spread, quality_rules
+from ballotlake.llm import decontaminate, line_spread, mixing, quality_rules, simhash_pivots
 
 QUERIES = {
+    "op1_simhash_pivots": simhash_pivots.query,
     "op2_quality_rules": quality_rules.query,
+    "op3_prefix_decontamination": decontaminate.query,
+    "op9_golden_mix": mixing.query,
     "op10_line_spread": line_spread.query,
 }
