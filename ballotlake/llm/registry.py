@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
-from ballotlake.llm import decontaminate, line_spread, mixing, quality_rules, simhash_pivots
+from ballotlake.llm import (
+    decontaminate,
+    html_text,
+    language_ppm,
+    licenses,
+    line_spread,
+    mixing,
+    quality_rules,
+    simhash_pivots,
+)
 
 QUERIES = {
     "op1_simhash_pivots": simhash_pivots.query,
     "op2_quality_rules": quality_rules.query,
     "op3_prefix_decontamination": decontaminate.query,
+    "op5_html_density": html_text.query,
+    "op7_license_rules": licenses.query,
+    "op8_language_ppm": language_ppm.query,
     "op9_golden_mix": mixing.query,
     "op10_line_spread": line_spread.query,
 }
