@@ -9,6 +9,7 @@ from ballotlake.llm import (
     licenses,
     line_spread,
     mixing,
+    pii,
     quality_rules,
     simhash_pivots,
 )
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_quality_rules": quality_rules.query,
     "op3_prefix_decontamination": decontaminate.query,
     "op5_html_density": html_text.query,
+    "op6_pii_disclosure": pii.query,
     "op7_license_rules": licenses.query,
     "op8_language_ppm": language_ppm.query,
     "op9_golden_mix": mixing.query,
