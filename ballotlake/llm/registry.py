@@ -12,12 +12,14 @@ from ballotlake.llm import (
     pii,
     quality_rules,
     simhash_pivots,
+    suffix_dedup,
 )
 
 QUERIES = {
     "op1_simhash_pivots": simhash_pivots.query,
     "op2_quality_rules": quality_rules.query,
     "op3_prefix_decontamination": decontaminate.query,
+    "op4_suffix_dedup": suffix_dedup.query,
     "op5_html_density": html_text.query,
     "op6_pii_disclosure": pii.query,
     "op7_license_rules": licenses.query,
