@@ -58,6 +58,7 @@ CLOSES = {  # a start tag that ends open elements of these names, up to the near
     "option": ({"option"}, {"select"}),
 }
 KEEPERS = frozenset(("article", "main"))
+SHARE = 4  # an article with a quarter of the text or more is taken as the content
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|"
@@ -189,6 +190,7 @@ class _Page:
             links[up] += links[node]
             tags[up] += tags[node] + 1
             link_tags[up] += link_tags[node] + (self.name[node] == "a")
+        self.chars = chars
         share = links[0] / max(chars[0], 1)
         density, total = [0.0] * number, [0.0] * number
         for node in range(number - 1, -1, -1):
@@ -211,7 +213,16 @@ class _Page:
         while node >= 0:
             path.append(node)
             node = self.parent[node]
-        keeper = [n for n in path if self.name[n] in KEEPERS]
+        # An article or main element with a fair share of the text is the content, the whole of it.
+        within, keepers = [False] * number, []
+        for node in range(1, number):
+            up = self.parent[node]
+            within[node] = within[up] or self.name[up] in KEEPERS
+            if self.name[node] in KEEPERS and not self.out[node]:
+                keepers.append(node)
+        held = sum(self.chars[n] for n in keepers if not within[n])
+        if held * SHARE >= self.chars[0]:
+            return set(keepers)
         threshold = min(density[n] for n in path)
         # The largest density sum at or below each node, and where it is.
         peak = list(range(number))
@@ -219,13 +230,10 @@ class _Page:
             up = self.parent[node]
             if (total[peak[node]], -peak[node]) > (total[peak[up]], -peak[up]):
                 peak[up] = peak[node]
-        chosen = {keeper[-1]} if keeper else {best}
-        for node in range(number):
-            if not self.out[node] and density[node] > 0 and density[node] >= threshold:
-                chosen.add(peak[node])
-        if keeper:  # the article's other parts come with it; what stands beside it does not
-            chosen = {n for n in range(number) if self.name[n] in KEEPERS and not self.out[n]}
-        return chosen
+        return {best} | {
+            peak[node] for node in range(number)
+            if not self.out[node] and density[node] > 0 and density[node] >= threshold
+        }
 
     def main_text(self) -> str:
         chosen = self.content()

@@ -1,0 +1,119 @@
+"""Counts beside a plain version, exact tails, and the promise of the cutoffs."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from ballotlake.llm import common
+from ballotlake.llm import quality_rules as Q
+
+
+def plain(text):
+    text = text or ""
+    words = re.findall("[^\x20\x09-\x0d]+", text)
+    lines = [x for x in text.split("\n") if re.search("[^\x20\x09-\x0d]", x)]
+    windows = [tuple(words[k:k + 8]) for k in range(len(words) - 7)]
+    often = Counter(windows)
+    covered = set()
+    for k, window in enumerate(windows):
+        if often[window] > 1:
+            covered.update(range(k, k + 8))
+    return {
+        "n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": len(re.findall(r"[#*$%&|<>]", text)),
+        "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(covered),
+        "base_failed": len(words) < 20 or 100 * len(covered) > 30 * len(words),
+    }
+
+
+def test_given_documents(spark, sf):
+    rows = {r.doc_id: r for r in Q.query(spark, sf).collect()}
+    docs = common.table(spark, sf, "documents").collect()
+    assert len(rows) == len(docs)
+    for r in docs:
+        expected = plain(r.text)
+        assert {name: rows[r.doc_id][name] for name in expected} == expected
+        if expected["base_failed"]:
+            assert not rows[r.doc_id].kept
+
+
+def test_random_texts(spark):
+    dice = random.Random(4)
+    texts = ["".join(dice.choice(["a ", "b ", "a b c d e f g h ", "#|", "\n", "\t", "x y ", "é "]) for _ in range(dice.randint(0, 60)))
+             for _ in range(400)]
+    frame = spark.createDataFrame([(k, t, "l", "s") for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    for r in Q.statistics(frame).withColumn("base_failed", Q.base_failed()).collect():
+        expected = plain(texts[r.doc_id])
+        assert {name: r[name] for name in expected} == expected, texts[r.doc_id]
+
+
+@pytest.mark.parametrize("rate", [0.01, 0.2])
+def test_lower_tail_is_exact(spark, rate):
+    cases = [(k, n) for n in (10, 300, 5000) for k in (0, 1, 2, 10, 49, 60, 2000) if k <= n]
+    frame = spark.createDataFrame(cases, "k long, n long").select("k", "n", Q.lower_tail(F.col("k"), F.col("n"), rate).alias("p"))
+    for r in frame.collect():
+        exact = sum(math.comb(r.n, i) * rate**i * (1 - rate) ** (r.n - i) for i in range(r.k + 1)) if r.n <= 300 else None
+        if r.k >= r.n * rate:
+            assert r.p == 1.0
+        elif exact is not None:
+            assert r.p == pytest.approx(exact, rel=1e-9)
+        else:
+            logs = [math.lgamma(r.n + 1) - math.lgamma(i + 1) - math.lgamma(r.n - i + 1) + i * math.log(rate) + (r.n - i) * math.log(1 - rate)
+                    for i in range(r.k + 1)]
+            assert r.p == pytest.approx(sum(map(math.exp, logs)), rel=1e-7)
+
+
+def made(spark, good, bad, lang="en"):
+    """Statistics of good documents with few symbols, some with many, and bad ones with very many."""
+    rows = []
+    for k in range(good + bad):
+        symbols = 500 if k >= good else 40 if k % 400 == 0 else k % 5
+        rows.append((k, lang, k, 100, 1000, symbols, 0, 0, 10, 0, 5))
+    names = "doc_id long, lang string, _key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_stutter long, n_capitals long"
+    stats = spark.createDataFrame(rows, names)
+    labels = stats.select("doc_id", (F.col("doc_id") < good).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    return stats, labels
+
+
+def test_cutoffs_separate_and_keep_their_promise(spark):
+    stats, labels = made(spark, 2000, 300)
+    chosen = {r.rule: r for r in Q.cutoffs(stats, labels).collect()}
+    assert set(chosen) == set(Q.RULES)
+    best = chosen["symbols"]
+    assert best.good_rejected == 0 and best.bad_rejected == 300 and 4 <= best.cutoff < 50
+    for r in chosen.values():
+        assert r.tail <= Q.DELTA / len(Q.RULES) and r.good_rejected < Q.RATE * r.all_good
+    kept = Q.judged(stats, Q.cutoffs(stats, labels)).filter("kept").collect()
+    assert {r.doc_id for r in kept} == set(range(2000))
+
+
+def test_too_few_labels_admit_nothing(spark):
+    stats, labels = made(spark, 200, 300)
+    assert Q.cutoffs(stats, labels).count() == 0
+    assert Q.judged(stats, Q.cutoffs(stats, labels)).filter("kept").count() == 500
+
+
+def test_false_rejections_stay_below_the_rate(spark):
+    """Many strata of pure noise: what is admitted must not reject more than the rate allows."""
+    dice = random.Random(9)
+    rows = [(k, f"l{k % 4}", k, 100, 1000, int(dice.expovariate(0.02)), 0, 0, 10, 0, 5) for k in range(8000)]
+    names = "doc_id long, lang string, _key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_stutter long, n_capitals long"
+    stats = spark.createDataFrame(rows, names)
+    labels = stats.select("doc_id", (F.col("doc_id") % 9 > 0).cast("int").alias("quality"))
+    for r in Q.cutoffs(stats, labels).collect():
+        true_rate = math.exp(-0.02 * (r.cutoff + 1) * 10) if r.rule == "symbols" else 0.0
+        assert true_rate <= Q.RATE
+
+
+def test_edge_cases(spark, odd_docs, tmp_path):
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (None, 1), (3, None)], "doc_id long, quality int")
+    rows = Q.judge(odd_docs, labels).collect()
+    assert len(rows) == odd_docs.count()
+    assert sorted((r.doc_id or 0) for r in rows if r.kept) == [1, 1, 5]
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    kept = Q.stage(spark, odd_docs, str(tmp_path))
+    assert kept.columns == odd_docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 1, 5]
+    assert Q.judge(odd_docs.limit(0), labels.limit(0)).count() == 0
