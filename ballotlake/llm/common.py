@@ -61,13 +61,25 @@ def _shared(spark: SparkSession) -> str:
     return folder
 
 
+# Lets Spark delete a query's shuffle files when the query ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settled(df: DataFrame) -> DataFrame:
-    """The rows computed once and written to the shared checkpoint folder, their lineage cut."""
+    """The rows computed once and written to the shared checkpoint folder, their lineage cut.
+
+    The shuffle files that led to them are not needed any more and go with the query.
+    """
     spark = df.sparkSession
     folder = _shared(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        spark.conf.set(CLEANUP, before)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
