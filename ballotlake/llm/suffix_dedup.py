@@ -11,7 +11,7 @@ bytes are compared exactly, with suffix arrays over everything that could repeat
 3. Suffix arrays. A shard's pieces are sorted by induced sorting; neighbours in suffix order whose common
    prefix reaches `MATCH` bytes are equal windows, and the smallest doc_id among them decides.
 4. Hot anchors, seen in more than `HOT` texts of one batch, are dealt out to several shards; the smallest
-   doc_id per window of theirs is then taken over all shards by an aggregation on the window's bytes.
+   doc_id per window of theirs is then taken over all shards, dealt by a hash of the window's bytes.
 5. The windows to remove become spans per text, which are cut out.
 
 Texts are told apart by a hash of theirs; copies of a text other than the first lose all of it at once.
@@ -46,8 +46,10 @@ LAST = (1 << 63) - 1  # stands for a null doc_id
 STEP = 1 << 16  # bytes hashed at a time
 
 _ODD = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
+_RIGHTMOST = np.uint64(0xFFFFFFFF) - np.arange(STEP + 4096, dtype=np.uint64)
 ANCHOR = np.dtype([("code", "<u8"), ("text", "<i8"), ("low", "<u4"), ("number", "u1"), ("hot", "u1")])
 SPAN = np.dtype([("text", "<i8"), ("low", "<u4"), ("high", "<u4")])
+WINDOW = np.dtype([("one", "<u8"), ("two", "<u8"), ("doc", "<i8"), ("text", "<i8"), ("low", "<u4")])
 
 
 def _pack(rows: np.ndarray) -> bytes:
@@ -76,8 +78,9 @@ def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
             parts.append((hashes, length))
         rest >>= 1
         if rest:
-            hashes = (hashes[:-length] * _ODD[level % 5] ^ (hashes[:-length] >> np.uint64(29))) + hashes[length:]
-            length, level = length * 2, level + 1
+            wider = hashes[:-length] * _ODD[level % 5]
+            wider += hashes[length:]
+            hashes, length, level = wider, length * 2, level + 1
     count, at = len(data) - gram + 1, 0
     total = np.zeros(count, np.uint64)
     for part, size in parts:
@@ -97,7 +100,8 @@ def anchors(text: bytes, match: int = MATCH, gram: int = GRAM) -> tuple[np.ndarr
         part = data[base:base + STEP + match - 1]
         hashes = _gram_hashes(part, gram)
         # The smallest upper half of the hash wins; of equal ones the rightmost.
-        key = (hashes & np.uint64(0xFFFFFFFF00000000)) | (np.uint64(0xFFFFFFFF) - np.arange(len(hashes), dtype=np.uint64))
+        key = hashes & np.uint64(0xFFFFFFFF00000000)
+        key |= _RIGHTMOST[:len(key)]
         length = 1
         while 2 * length <= reach:
             key = np.minimum(key[:-length], key[length:])
@@ -124,6 +128,13 @@ def _dealt(rows: np.ndarray, shards: np.ndarray) -> Iterator[pa.RecordBatch]:
             [pa.array([int(shards[low])], pa.int32()), pa.array([_pack(rows[low:high])], pa.binary())], ["shard", "data"])
 
 
+_NOTHING = pa.schema([("shard", pa.int32()), ("data", pa.binary())]).empty_table()
+
+
+def _by_key(keys: np.ndarray, shards: int) -> np.ndarray:
+    return (keys.astype(np.uint64) % np.uint64(shards)).astype(np.int32)
+
+
 def _shard(codes: np.ndarray, shards: int) -> np.ndarray:
     return ((codes >> np.uint64(7)) % np.uint64(shards)).astype(np.int32)
 
@@ -197,9 +208,7 @@ def _shared_anchors(shards: int):
             rows = rows[single & ~again]
         known["hot"] = 1
         rows = np.concatenate([rows, known])
-        batches = list(_dealt(rows, (rows["text"].astype(np.uint64) % np.uint64(shards)).astype(np.int32)))
-        schema = pa.schema([("shard", pa.int32()), ("data", pa.binary())])
-        return pa.Table.from_batches(batches, schema)
+        return pa.Table.from_batches(list(_dealt(rows, _by_key(rows["text"], shards))), _NOTHING.schema)
 
     return run
 
@@ -260,7 +269,6 @@ def _pieces(shards: int, match: int):
 
 
 PIECE = np.dtype([("code", "<u8"), ("text", "<i8"), ("doc", "<i8"), ("low", "<u4"), ("number", "u1"), ("hot", "u1"), ("piece", "<u4")])
-WINDOWS = "shard int, data binary, one long, two long, doc long, text_key long, low long"
 
 
 def _repeats(shards: int, match: int):
@@ -328,36 +336,53 @@ def _repeats(shards: int, match: int):
             some["high"] = some["low"] + match
             spans.append(some)
         spans = np.concatenate(spans)
-        batches = [
-            pa.record_batch({"shard": b.column(0), "data": b.column(1), **{
-                n: pa.nulls(1, pa.int64()) for n in ("one", "two", "doc", "text_key", "low")}})
-            for b in _dealt(spans, (spans["text"].astype(np.uint64) % np.uint64(shards)).astype(np.int32))
-        ]
-        wide = [
-            (int.from_bytes((d := hashlib.blake2b(body[r["piece"]][k:k + match], digest_size=16).digest())[:8], "little", signed=True),
-             int.from_bytes(d[8:], "little", signed=True), int(r["doc"]), int(r["text"]), int(r["low"]) + k)
-            for r in own_rows[hot[own_rows["piece"]]] for k in range(int(r["number"]))
+        own_hot = own_rows[hot[own_rows["piece"]]]
+        digests, pairs = bytearray(), own_hot["number"].astype(np.int64)
+        windows = np.zeros(int(pairs.sum()), WINDOW)
+        for piece, number in zip(own_hot["piece"].tolist(), pairs.tolist()):
+            for k in range(number):
+                digests += hashlib.blake2b(body[piece][k:k + match], digest_size=16).digest()
+        if len(windows):
+            windows["one"], windows["two"] = np.frombuffer(bytes(digests), "<u8").reshape(-1, 2).T
+            windows["doc"], windows["text"] = np.repeat(own_hot["doc"], pairs), np.repeat(own_hot["text"], pairs)
+            nth = np.arange(len(windows)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+            windows["low"] = np.repeat(own_hot["low"], pairs) + nth
+        tables = [
+            pa.Table.from_batches([b]).append_column("kind", pa.array([kind] * len(b), pa.int32()))
+            for kind, dealt in (
+                (0, _dealt(spans, _by_key(spans["text"], shards))),
+                (1, _dealt(windows, _by_key(windows["one"], shards))),
+            ) for b in dealt
         ]
-        if wide:
-            columns = list(zip(*wide))
-            batches.append(pa.record_batch({
-                "shard": pa.nulls(len(wide), pa.int32()), "data": pa.nulls(len(wide), pa.binary()),
-                **{n: pa.array(c, pa.int64()) for n, c in zip(("one", "two", "doc", "text_key", "low"), columns)}}))
-        schema = pa.schema([("shard", pa.int32()), ("data", pa.binary()), *((n, pa.int64()) for n in ("one", "two", "doc", "text_key", "low"))])
-        return pa.Table.from_batches(batches, schema)
+        return pa.concat_tables([_NOTHING.append_column("kind", pa.array([], pa.int32())), *tables])
 
     return run
 
 
-def _cut(match: int):
+def _known_before(shards: int, match: int):
+    """A shard's windows to the spans of those that a smaller doc_id has."""
+
+    def run(group: pa.Table) -> pa.Table:
+        rows = np.concatenate([_unpack(x.as_py(), WINDOW) for x in group.column("data")])
+        rows = rows[np.lexsort((rows["doc"], rows["two"], rows["one"]))]
+        new = np.append(True, (rows["one"][1:] != rows["one"][:-1]) | (rows["two"][1:] != rows["two"][:-1]))
+        smallest = rows["doc"][np.flatnonzero(new)][np.cumsum(new) - 1]
+        late = rows[smallest < rows["doc"]]
+        spans = np.zeros(len(late), SPAN)
+        spans["text"], spans["low"], spans["high"] = late["text"], late["low"], late["low"] + match
+        return pa.Table.from_batches(list(_dealt(spans, _by_key(spans["text"], shards))), _NOTHING.schema)
+
+    return run
+
+
+def _cut():
     """Texts and their spans to what is left, as digest columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for body, parts in zip(batch.column("body").cast(pa.binary()), batch.column("parts")):
-                text = body.as_py()
-                rows = np.unique(np.concatenate([_unpack(p, SPAN) for p in parts.as_py()]))
+            for body, data in zip(batch.column("body").cast(pa.binary()), batch.column("data")):
+                text, rows = body.as_py(), _unpack(data.as_py(), SPAN)
                 kept, spans, removed, at = [], 0, 0, 0
                 for low, high in zip(rows["low"].tolist(), rows["high"].tolist()):
                     if low > at or not spans:
@@ -382,7 +407,8 @@ def cut_texts(docs: DataFrame, match: int = MATCH, gram: int = GRAM) -> tuple[Da
 
     A row whose doc_id is beyond `first`, the smallest with its text, is a copy.
     """
-    shards = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Packed rows go from every shard to every shard, so there are as many as reduce tasks and not more.
+    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     body = common.whole()
     key = F.xxhash64(body, F.octet_length(body)).alias("text_key")
     number = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("number")
@@ -398,37 +424,16 @@ def cut_texts(docs: DataFrame, match: int = MATCH, gram: int = GRAM) -> tuple[Da
     with_text = texts.join(asked, ["text_key", "number"]).select("text_key", F.col("number").alias("first"), "data", "body")
     repeats = common.settled(
         with_text.mapInArrow(_pieces(shards, match), dealt + ", bodies binary")
-        .groupBy("shard").applyInArrow(_repeats(shards, match), WINDOWS))
-    windows = repeats.filter("data is null").drop("shard", "data")
-    smallest = windows.groupBy("one", "two").agg(F.min("doc").alias("smallest"))
-    hot = windows.join(smallest, ["one", "two"]).filter(F.col("smallest") < F.col("doc")).select(
-        F.pmod("text_key", F.lit(shards)).cast("int").alias("shard"), "text_key", "low")
-    spans = repeats.filter("data is not null").select("shard", "data").groupBy("shard").applyInArrow(
-        _by_text(SPAN), "text_key long, data binary").unionByName(
-        hot.mapInArrow(_as_spans(match), "text_key long, data binary"))
-    parts = common.settled(spans.groupBy("text_key").agg(F.collect_list("data").alias("parts")))
-    wanted = parts.join(first, "text_key").withColumnRenamed("first", "number").hint("shuffle_hash")
-    changed = texts.join(wanted, ["text_key", "number"]).select("text_key", "parts", "body").mapInArrow(
-        _cut(match), "text_key long, n_removed long, n_spans long, kept binary")
+        .groupBy("shard").applyInArrow(_repeats(shards, match), dealt + ", kind int"))
+    hot = repeats.filter("kind = 1").drop("kind").groupBy("shard").applyInArrow(_known_before(shards, match), dealt)
+    spans = repeats.filter("kind = 0").drop("kind").unionByName(hot).groupBy("shard").applyInArrow(
+        _by_text(SPAN), "text_key long, data binary")
+    wanted = common.settled(spans).join(first, "text_key").withColumnRenamed("first", "number").hint("shuffle_hash")
+    changed = texts.join(wanted, ["text_key", "number"]).select("text_key", "data", "body").mapInArrow(
+        _cut(), "text_key long, n_removed long, n_spans long, kept binary")
     return rows.join(first, "text_key"), changed
 
 
-def _as_spans(match: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = np.zeros(len(batch), SPAN)
-            rows["text"], rows["low"] = batch.column("text_key").to_numpy(), batch.column("low").to_numpy()
-            rows["high"] = rows["low"] + match
-            rows = np.unique(rows)
-            edges = np.flatnonzero(np.append(True, rows["text"][1:] != rows["text"][:-1])) if len(rows) else np.empty(0, int)
-            ends = np.append(edges[1:], len(rows))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows["text"][edges], pa.int64()), pa.array([_pack(rows[a:b]) for a, b in zip(edges, ends)], pa.binary())],
-                ["text_key", "data"])
-
-    return run
-
-
 def deduplicated(docs: DataFrame, match: int = MATCH, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
     rows, changed = cut_texts(docs, match, gram)
