@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ballotlake.llm import decontaminate, line_spread, mixing
+from ballotlake.llm import decontaminate, line_spread, mixing, quality_rules, suffix_dedup
 
 # A line with a word on enough sites stays in the document with the smallest doc_id only.
 LINE_SPREAD = f"""
@@ -114,7 +114,115 @@ select doc_id, size, source_size, target,
 from placed
 """
 
+# Every window of bytes, as hexadecimal text, against the first document that has it.
+SUFFIX_DEDUP = f"""
+with texts as (
+  select doc_id, coalesce(doc_id, {suffix_dedup.LAST}) as place, row_number() over () as row,
+         hex(encode(coalesce(text, ''))) as body
+  from documents
+),
+windows as (
+  select row, place, at_byte, substr(body, 2 * at_byte + 1, {2 * suffix_dedup.MATCH}) as piece
+  from (select *, unnest(range(0, len(body) // 2 - {suffix_dedup.MATCH} + 1)) as at_byte from texts)
+),
+firsts as (select piece, min(place) as first from windows group by piece),
+gone as (select row, at_byte from windows join firsts using (piece) where first < place),
+edges as (
+  select *, coalesce(at_byte > lag(at_byte) over (partition by row order by at_byte) + {suffix_dedup.MATCH}, true) as new
+  from gone
+),
+spans as (
+  select row, min(at_byte) as low, max(at_byte) + {suffix_dedup.MATCH} as high
+  from (select *, sum(new::int) over (partition by row order by at_byte) as span from edges) group by row, span
+),
+gaps as (
+  select row, low, high, coalesce(lag(high) over (partition by row order by low), 0) as before,
+         row_number() over (partition by row order by low desc) = 1 as last
+  from spans
+),
+cut as (
+  select t.row, sum(high - low)::bigint as n_removed, count(*) as n_spans,
+         string_agg(substr(body, 2 * before + 1, 2 * (low - before)) || if(last, substr(body, 2 * high + 1), ''), '' order by low) as kept
+  from gaps join texts t using (row) group by t.row
+)
+select doc_id, (len(body) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed,
+       coalesce(n_spans, 0)::bigint as n_spans, sha256(unhex(coalesce(kept, body))) as kept_sha256
+from texts left join cut using (row)
+"""
+
+# Counts by unnested words and windows; cutoffs from the exact binomial tail over all percentages.
+_PERCENTS = ", ".join(
+    f"{{rule: '{rule}', pct: if({bottom} > 0, least(100 * {top} // {bottom}, 100), 0)::int}}"
+    for rule, (top, bottom) in quality_rules.RULES.items()
+)
+QUALITY = f"""
+with texts as (
+  select doc_id, lang, row_number() over () as row, coalesce(text, '') as body,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) as lines
+  from documents
+),
+windows as (
+  select row, spot, array_to_string(words[spot:spot + {quality_rules.WINDOW - 1}], ' ') as window_text
+  from (select row, words, unnest(range(1, len(words) - {quality_rules.WINDOW - 2})) as spot from texts)
+),
+twice as (
+  select row, count(distinct w)::bigint as n_repeat_words
+  from (select row, unnest(range(spot, spot + {quality_rules.WINDOW})) as w
+        from (select *, count(*) over (partition by row, window_text) as often from windows) where often > 1)
+  group by row
+),
+counted as (
+  select t.row, doc_id, lang, len(words)::bigint as n_words, len(array_to_string(words, ''))::bigint as word_chars,
+         len(regexp_replace(body, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+         len(regexp_replace(body, '[^A-Z]', '', 'g'))::bigint as n_capitals,
+         len(lines)::bigint as n_lines, (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
+         coalesce(n_repeat_words, 0)::bigint as n_repeat_words,
+         len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1]))::bigint as n_stutter
+  from texts t left join twice using (row)
+),
+stats as (
+  select *, n_words < {quality_rules.MIN_WORDS} or 100 * n_repeat_words > {quality_rules.MAX_REPEAT} * n_words as base_failed,
+         [{_PERCENTS}] as percents
+  from counted
+),
+truth as (select doc_id, min(quality) as quality from labels where quality is not null group by doc_id),
+known as (
+  select lang, quality, unnest(percents) as p from stats join truth using (doc_id) where not base_failed
+),
+spread as (
+  select lang, p.rule as rule, cutoff, count(*) filter (where quality = 1) as n,
+         count(*) filter (where quality = 1 and p.pct > cutoff) as k,
+         count(*) filter (where quality = 0 and p.pct > cutoff) as bad
+  from known, (select unnest(range(0, 100))::int as cutoff) group by all
+),
+tails as (
+  select *, if(k >= n * {quality_rules.RATE}, 1.0, list_sum(list_transform(range(0, k + 1), lambda i:
+      exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({quality_rules.RATE}) + (n - i) * ln(1 - {quality_rules.RATE}))))) as tail,
+      (select count(*) from (select distinct lang, rule from spread)) as tests
+  from spread
+),
+admitted as (
+  select * from (select *, max(tail) over (partition by lang, rule order by cutoff desc) as worst from tails)
+  where worst <= {quality_rules.DELTA} / tests
+),
+chosen as (
+  select lang, rule, arg_max(cutoff, (bad - {quality_rules.GOOD_COST} * k) * 1000 + cutoff) as cutoff from admitted group by lang, rule
+),
+broken as (
+  select row, list(rule order by list_position([{', '.join(repr(r) for r in quality_rules.RULES)}], rule)) as rules
+  from (select row, s.lang, unnest(percents) as p from stats s) s
+  join chosen c on c.lang is not distinct from s.lang and c.rule = s.p.rule and s.p.pct > c.cutoff
+  group by row
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and rules is null as kept, coalesce(array_to_string(rules, ','), '') as rejected_by
+from stats left join broken using (row)
+"""
+
 SQL = {
+    "op2_quality_rules": QUALITY,
+    "op4_suffix_dedup": SUFFIX_DEDUP,
     "op3_prefix_decontamination": DECONTAMINATION,
     "op9_golden_mix": MIXING,
     "op10_line_spread": LINE_SPREAD,
