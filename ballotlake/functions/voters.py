@@ -54,10 +54,19 @@ def parse_age(trimmed: Column) -> Column:
     return F.when(trimmed.rlike(WHOLE_OR_DECIMAL), whole).when(trimmed.rlike(INFINITE), refuse)
 
 
+# A day, alone or with a time of day and an offset.
+ISO_MOMENT = (
+    r"^\d{4}-\d{2}-\d{2}"
+    r"(?:[T ](?:[01]\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?)?$"
+)
+
+
 def parse_iso_date(trimmed: Column) -> Column:
-    """Date from ``yyyy-mm-dd``; any other text, and days that do not exist, become null."""
-    dashes = (trimmed.substr(5, 1) == "-") & (trimmed.substr(8, 1) == "-")
-    return F.when((F.length(trimmed) == 10) & dashes, trimmed.try_cast("date"))
+    """Date from ``yyyy-mm-dd`` with or without a time of day, which is dropped.
+
+    Any other text, and days that do not exist, become null.
+    """
+    return F.when(trimmed.rlike(ISO_MOMENT), trimmed.substr(1, 10).try_cast("date"))
 
 
 def normalize_email(email: Column) -> Column:

@@ -1,9 +1,9 @@
 """Voter CSV files: listing, quality gate, schema check and scan.
 
-A file is described by its header, so a scan needs each file's column order. One
-distributed pass (:func:`file_quality_gate`) finds the header, the number of rows and the
-number of all-empty rows of every file; only that small table, a row per file, reaches the
-driver, which then plans one read per column order.
+A file is described by its header, so every line needs its own file's column order. Files are
+read as lines: one aggregated pass describes each file (header, rows, all-empty rows), and a second
+one cuts the lines into cells and puts them in order by that description. Batch runs and streams
+share both. Only files with line breaks inside quotes are read whole, by Spark's CSV reader.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 from datetime import datetime
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,9 +22,13 @@ from ..constants import CSV_MISSING, EMPTY_ROW_THRESHOLD, VOTER_COLUMNS
 from ..functions.literals import timestamp_literal
 from ..functions.voters import clean_text, missing_to_null, parse_age, parse_iso_date, strip_blanks
 
-# The widest header a file may have.
-WIDEST_HEADER = 64
 TEXT_COLUMNS = ("first_name", "last_name", "gender", "state", "party", "email")
+# Descriptions of up to so many files are sent to every task; more are joined by shuffling.
+BROADCAST_FILES = 100_000
+
+# A cell after its comma: quoted, with quotes doubled inside, or everything up to the next comma.
+CELL = r',[ \t]*+("(?:[^"]++|"")*+"(?=,|$)|[^,]*+)'
+QUOTED = r'"(?:[^"]++|"")*+"'
 
 CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "true",
@@ -34,6 +39,8 @@ CSV_OPTIONS = {
     # A line's length is only seen when all its cells are parsed.
     "columnPruning": "false",
     "encoding": "UTF-8",
+    "maxColumns": "1000000",
+    "maxCharsPerColumn": "-1",
 }
 
 
@@ -51,6 +58,11 @@ def _plain(address: Column) -> Column:
     return F.regexp_replace(address, "^file:/+", "file:/")
 
 
+def exact_path(path: str) -> str:
+    """The path as a pattern that matches nothing else."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def _listing(spark: SparkSession, paths: str | list[str], since: datetime | None = None) -> DataFrame:
     """CSV files below a folder or at the paths; contents are not read. Files of no bytes give no row."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
@@ -73,9 +85,38 @@ def scan_new_files(spark: SparkSession, folder: str, since: datetime | None = No
     return files.orderBy("modified_at", "file_path")
 
 
+# --- lines ---------------------------------------------------------------------------------------
+def file_lines(text: DataFrame) -> DataFrame:
+    """Every line that is not blank, with its file and its block of the file, from a text source."""
+    return text.select(
+        _plain(_address()).alias("file_uri"),
+        # The name is percent-encoded, where a plus is a plus.
+        F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("source_file"),
+        F.col("_metadata.file_modification_time").alias("modified_at"),
+        F.col("_metadata.file_block_start").alias("block"),
+        "value",
+    ).where(F.trim("value") != "")
+
+
+def _placed(lines: DataFrame) -> DataFrame:
+    """The lines with their place in the file, which is the same whenever they are read."""
+    return lines.withColumn("place", F.struct("block", F.monotonically_increasing_id().alias("line")))
+
+
+def cells_of(line: Column) -> Column:
+    """The cells of a CSV line, however many there are."""
+    cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(CELL), F.lit(1))
+
+    def plain(cell: Column) -> Column:
+        inside = F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
+        return F.when(cell.rlike(f"^{QUOTED}$"), inside).otherwise(cell)
+
+    return F.transform(cells, plain)
+
+
 def _commas(line: Column) -> Column:
-    """Commas of a CSV line that lie outside quotes."""
-    unquoted = F.regexp_replace(line, '"([^"]|"")*"', "")
+    """Commas of a CSV record that lie outside quotes."""
+    unquoted = F.regexp_replace(line, QUOTED, "")
     return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
 
 
@@ -86,105 +127,135 @@ def _all_missing(line: Column) -> Column:
     return line.rlike(f"^(?:{cell},)*+{cell}$")
 
 
-def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Every line that is not blank, with its file and its place in the file."""
-    return (
-        spark.read.text(paths)
-        .select(
-            _address().alias("file_uri"),
-            F.struct(
-                F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("line"),
-            ).alias("place"),
-            "value",
+def _broken(line: Column) -> Column:
+    """Whether a quote of the line stays open: the record goes on in the next one."""
+    return F.length(F.replace(line, F.lit('"'), F.lit(""))) % 2 != F.length(line) % 2
+
+
+def describe_files(lines: DataFrame) -> DataFrame:
+    """One row per file that has lines: its header and where that stands, data rows, all-empty rows.
+
+    The header is the line that comes first in the file. Finding it and counting are one
+    partially aggregated pass, so a single huge file is no bottleneck. Counts of files with
+    broken lines (``quoted``) are those of their lines.
+    """
+    seen = (
+        _placed(lines).withColumn("empty", _all_missing(F.col("value")).cast("int"))
+        .groupBy("file_uri", "source_file", "modified_at")
+        .agg(
+            F.min_by(F.struct("value", "empty", "place"), "place").alias("first"),
+            F.count(F.lit(1)).alias("n_lines"),
+            F.sum("empty").alias("n_empty"),
+            F.coalesce(F.max(_broken(F.col("value"))), F.lit(False)).alias("quoted"),
         )
-        .where(F.col("value") != "")
-        .withColumn("empty", _all_missing(F.col("value")).cast("int"))
+    )
+    header = cells_of(F.regexp_replace("first.value", "^﻿", ""))
+    return seen.select(
+        "file_uri", "source_file", "modified_at", "quoted",
+        F.col("first.place").alias("header_place"),
+        F.transform(header, lambda name: F.btrim(name)).alias("header"),
+        (F.col("n_lines") - 1).alias("total_rows"),
+        (F.col("n_empty") - F.col("first.empty")).alias("error_rows"),
     )
 
 
-def _header_cells(line: Column) -> Column:
-    """The column names of a header line; a name may be blank."""
-    cells = [f"c{i}" for i in range(WIDEST_HEADER)]
-    parsed = F.from_csv(line, ", ".join(f"{c} string" for c in cells), {**CSV_OPTIONS, "columnPruning": "true"})
-    names = F.array(*[F.btrim(F.coalesce(parsed[c], F.lit(""))) for c in cells])
-    return F.slice(names, F.lit(1), _commas(line) + 1)
+# --- files with broken lines ---------------------------------------------------------------------
+def _whole_records(spark: SparkSession, files: list) -> DataFrame:
+    """file_uri and cells of every record of files with line breaks inside quotes.
+
+    Such a file cannot be split, so it is read by one task. Files of one width are read together.
+    """
+    parts = []
+    for width in sorted({len(row.header) for row in files}):
+        paths = [exact_path(unquote(row.file_uri)) for row in files if len(row.header) == width]
+        names = [f"c{i}" for i in range(width)]
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_malformed"]])
+        rows = (
+            spark.read.schema(schema).options(**CSV_OPTIONS)
+            .option("header", "true").option("multiLine", "true").csv(paths)
+        )
+        # A reader may not look at the malformed record alone, so a cell stands in where it is null.
+        record = F.coalesce(F.col("_malformed"), F.col(names[0]))
+        over_long = F.coalesce(F.col("_malformed").isNotNull() & (_commas(record) >= width), F.lit(False))
+        parts.append(rows.where(~over_long).select(_plain(_address()).alias("file_uri"), F.array(*names).alias("cells")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _recounted(spark: SparkSession, described: DataFrame) -> DataFrame:
+    """The descriptions with the counts of records where lines are broken."""
+    broken = described.where("quoted").select("file_uri", "header").collect()
+    if not broken:
+        return described
+    missing = F.array(*[F.lit(word) for word in CSV_MISSING])
+    empty = F.forall("cells", lambda cell: cell.isNull() | F.array_contains(missing, cell))
+    counts = _whole_records(spark, broken).groupBy("file_uri").agg(
+        F.count(F.lit(1)).alias("records"), F.count_if(empty).alias("empty_records"))
+    joined = described.join(counts, "file_uri", "left")
+    return joined.withColumns({
+        "total_rows": F.when(F.col("quoted"), F.coalesce("records", F.lit(0))).otherwise(F.col("total_rows")),
+        "error_rows": F.when(F.col("quoted"), F.coalesce("empty_records", F.lit(0))).otherwise(F.col("error_rows")),
+    }).drop("records", "empty_records")
+
+
+# --- gate ----------------------------------------------------------------------------------------
+GATE_COLUMNS = (
+    "source_file", "can_process", "error", "error_rate", "total_rows", "error_rows", "threshold",
+    "header_columns", "extra_columns", "missing_columns",
+)
 
 
-def _gate_columns(gate: DataFrame, threshold: float) -> DataFrame:
-    names = F.col("header_columns")
+def _gate_columns(described: DataFrame, threshold: float) -> DataFrame:
+    """The gate's verdict on described files; a file without a line has no header."""
+    names = F.coalesce(F.size("header"), F.lit(0))
+    wanted = F.array(*[F.lit(c) for c in VOTER_COLUMNS])
     rate = F.col("error_rows") / F.when(F.col("total_rows") > 0, F.col("total_rows"))
+    lacking = F.array_join(F.array_except(wanted, F.coalesce("header", F.array().cast("array<string>"))), ", ")
     return (
-        gate.withColumn("error_rate", F.coalesce(rate, F.lit(0.0)))
+        described.withColumn("header_columns", F.when(F.col("header").isNull(), 0).otherwise(names))
+        .withColumn("error_rate", F.coalesce(rate, F.lit(0.0)))
         .withColumn("threshold", F.lit(float(threshold)))
+        .withColumn("missing_columns", lacking)
         .withColumn(
             "error",
-            F.when(F.coalesce(names, F.lit(0)) < len(VOTER_COLUMNS), "too few header columns")
-            .when(names > WIDEST_HEADER, "too many header columns")
+            F.when(F.col("header_columns") < len(VOTER_COLUMNS), "too few header columns")
             .when(F.col("total_rows") == 0, "no data rows")
-            .when(F.col("error_rate") > threshold, "too many empty rows"),
+            .when(F.col("error_rate") > threshold, "too many empty rows")
+            .when(lacking != "", F.concat(F.lit("missing columns "), lacking)),
         )
-        .withColumn("extra_columns", F.greatest(names - len(VOTER_COLUMNS), F.lit(0)))
+        .withColumn("extra_columns", F.greatest(F.col("header_columns") - len(VOTER_COLUMNS), F.lit(0)))
         .withColumn("can_process", F.col("error").isNull())
     )
 
 
-GATE_COLUMNS = (
-    "source_file", "can_process", "error", "error_rate", "total_rows", "error_rows", "threshold",
-)
-
-
-def gate_rows(rows: DataFrame, threshold: float = EMPTY_ROW_THRESHOLD) -> DataFrame:
-    """The gate over rows already read: share of rows whose every column is null, per ``source_file``."""
-    data = [c for c in rows.columns if c != "source_file"]
-    any_value = F.coalesce(*[F.col(c).cast("string") for c in data])
-    counted = rows.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("total_rows"), F.count_if(any_value.isNull()).alias("error_rows")
-    )
-    return _gate_columns(counted.withColumn("header_columns", F.lit(len(data))), threshold).select(*GATE_COLUMNS)
-
-
 def file_quality_gate(
     spark: SparkSession, paths: Iterable[str], threshold: float = EMPTY_ROW_THRESHOLD
 ) -> DataFrame:
-    """One row per file: header, row counts and whether the file may be loaded.
-
-    The header is the line that comes first in the file. Finding it and counting are one
-    partially aggregated pass over plain text lines, so a single huge file is no bottleneck.
-    """
-    paths = list(paths)
-    seen = (
-        _lines(spark, paths)
-        .groupBy("file_uri")
-        .agg(
-            F.min_by(F.struct("value", "empty"), "place").alias("first"),
-            F.count(F.lit(1)).alias("n_lines"),
-            F.sum("empty").alias("n_empty"),
-        )
-        .withColumn("text", F.regexp_replace("first.value", "^\ufeff", ""))
-        .select(
-            "file_uri",
-            _header_cells(F.col("text")).alias("header"),
-            (_commas(F.col("text")) + 1).alias("header_columns"),
-            (F.col("n_lines") - 1).alias("total_rows"),
-            (F.col("n_empty") - F.col("first.empty")).alias("error_rows"),
-        )
-    )
-    listing = _listing(spark, paths)
+    """One row per file, those of no bytes included: header, row counts and whether it may be loaded."""
+    exact = [exact_path(path) for path in paths]
+    described = _recounted(spark, describe_files(file_lines(spark.read.text(exact)))).drop("source_file", "modified_at")
+    listing = _listing(spark, exact)
     # The listing names every file, its rows only those with content.
     names = [
         (re.sub("^file:/+", "file:/", uri), unquote(uri.rsplit("/", 1)[1])) for uri in listing.inputFiles()
     ]
     gate = (
-        spark.createDataFrame(names, "plain string, source_file string")
-        .join(listing.drop("source_file").withColumn("plain", _plain(F.col("file_uri"))), "plain", "left")
-        .join(seen.withColumn("plain", _plain(F.col("file_uri"))).drop("file_uri"), "plain", "left")
+        spark.createDataFrame(names, "file_uri string, source_file string")
+        .join(listing.drop("source_file").withColumn("file_uri", _plain(F.col("file_uri"))), "file_uri", "left")
+        .join(described, "file_uri", "left")
         .withColumn("total_rows", F.coalesce("total_rows", F.lit(0)))
         .withColumn("error_rows", F.coalesce("error_rows", F.lit(0)))
     )
     return _gate_columns(gate, threshold)
 
 
+def _reject(gate: DataFrame) -> None:
+    """Raise when a file of the gate may not be loaded. Files that may do not reach the driver."""
+    problems = gate.where(~F.col("can_process")).select("source_file", "error").collect()
+    if problems:
+        raise RejectedFiles("; ".join(sorted(f"{row.source_file}: {row.error}" for row in problems)))
+
+
+# --- schema --------------------------------------------------------------------------------------
 def schema_check(
     df: DataFrame, expected: Iterable[str] = VOTER_COLUMNS, text: Iterable[str] | None = None
 ) -> DataFrame:
@@ -217,6 +288,7 @@ def schema_check(
     return counts.select(F.inline(F.array(*rows)))
 
 
+# --- rows ----------------------------------------------------------------------------------------
 def clean_voters(rows: DataFrame) -> DataFrame:
     """Typed, cleaned voter rows from all-text rows.
 
@@ -231,32 +303,43 @@ def clean_voters(rows: DataFrame) -> DataFrame:
     return trimmed.withColumns(typed)
 
 
-def voter_rows(reader, paths: str | list[str], header: Iterable[str] = VOTER_COLUMNS) -> DataFrame:
-    """All-text voter rows of files with one column order, through a batch or stream reader.
+def unread_cells(text: dict[str, Column], cleaned: dict[str, Column]) -> Column:
+    """How many of a row's cells had a text that says something and yet became null."""
+    lost = [
+        (clean_text(strip_blanks(missing_to_null(text[c]))).isNotNull() & cleaned[c].isNull()).cast("int")
+        for c in ("age", "registered_date", "last_voted_date")
+    ]
+    return F.coalesce(reduce(lambda a, b: a + b, lost), F.lit(0))
+
+
+def voter_rows(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """All-text voter rows of the lines by their files' descriptions.
 
-    Short lines are padded with nulls, over-long lines dropped. ``file_order`` sorts the rows
-    by the age of their file.
+    Short lines are padded with nulls, over-long lines dropped. Of columns that share a name the
+    first one counts. ``file_order`` sorts the rows by the age of their file.
     """
-    header = list(header)
-    names = [h if h in VOTER_COLUMNS else f"_extra{i}" for i, h in enumerate(header)]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_malformed"]])
-    # A reader may not look at the malformed line alone, so a cell stands in where it is null.
-    line = F.coalesce(F.col("_malformed"), F.col(names[0]))
-    over_long = F.col("_malformed").isNotNull() & (_commas(line) >= len(header))
-    return (
-        reader.schema(schema)
-        .option("header", "true")
-        .options(**CSV_OPTIONS)
-        .csv(paths)
-        .where(~F.coalesce(over_long, F.lit(False)))
-        .select(
-            *VOTER_COLUMNS,
-            # The name is percent-encoded, where a plus is a plus.
-            F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("source_file"),
-            F.struct(
-                F.col("_metadata.file_modification_time").alias("modified_at"), _address().alias("file_uri")
-            ).alias("file_order"),
-        )
+    files = files.select(
+        "file_uri", "header", "header_place", "quoted",
+        F.array(*[F.array_position("header", F.lit(c)).cast("int") - 1 for c in VOTER_COLUMNS]).alias("positions"),
+    )
+    if files.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES:
+        files = F.broadcast(files)
+    spark = lines.sparkSession
+    rows = (
+        _placed(lines).join(files, "file_uri")
+        .where(~F.col("quoted") & (F.col("place") != F.col("header_place")))
+        .select("file_uri", "source_file", "modified_at", "header", "positions", cells_of(F.col("value")).alias("cells"))
+        .where(F.size("cells") <= F.size("header"))
+    )
+    broken = files.where("quoted").select("file_uri", "header").collect()
+    if broken:
+        named = lines.select("file_uri", "source_file", "modified_at").distinct()
+        whole = _whole_records(spark, broken).join(files.join(named, "file_uri"), "file_uri")
+        rows = rows.unionByName(whole.select(*rows.columns))
+    return rows.select(
+        *[F.get("cells", F.get("positions", F.lit(i))).alias(c) for i, c in enumerate(VOTER_COLUMNS)],
+        "source_file",
+        F.struct("modified_at", "file_uri").alias("file_order"),
     )
 
 
@@ -269,35 +352,18 @@ def read_voter_files(
     spark: SparkSession, paths: list[str], threshold: float = EMPTY_ROW_THRESHOLD
 ) -> DataFrame:
     """All-text voter rows of the files. Every file is checked first: one bad file rejects all."""
-    gate = sorted(
-        file_quality_gate(spark, paths, threshold).collect(),
-        key=lambda row: (row.modified_at is None, row.modified_at, row.plain),
-    )
-    problems = [f"{row.source_file}: {row.error}" for row in gate if not row.can_process]
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for row in gate:
-        missing = [c for c in VOTER_COLUMNS if c not in (row.header or [])]
-        if row.can_process and missing:
-            problems.append(f"{row.source_file}: missing columns {', '.join(missing)}")
-        elif row.can_process:
-            layouts.setdefault(tuple(row.header), []).append(row.file_path)
-    if problems:
-        raise RejectedFiles("; ".join(sorted(problems)))
-    result = None
-    for header, files in sorted(layouts.items()):
-        rows = voter_rows(spark.read, files, header)
-        result = rows if result is None else result.unionByName(rows)
-    # One row per file: a number takes the place of path and time in everything that follows.
-    numbers = spark.createDataFrame(
-        [(row.file_uri, i, row.source_file) for i, row in enumerate(gate)],
-        "file_uri string, number int, file_name string",
-    )
-    return (
-        result.withColumn("file_uri", F.col("file_order.file_uri"))
-        .join(F.broadcast(numbers), "file_uri")
-        .withColumns({"file_order": F.col("number"), "source_file": F.col("file_name")})
-        .drop("file_uri", "number", "file_name")
-    )
+    gate = file_quality_gate(spark, paths, threshold)
+    _reject(gate)
+    lines = file_lines(spark.read.text([exact_path(path) for path in paths]))
+    return voter_rows(lines, gate)
+
+
+def read_voter_lines(lines: DataFrame, threshold: float = EMPTY_ROW_THRESHOLD) -> DataFrame:
+    """The same for the lines of whole files, as a stream's batch brings them."""
+    described = _recounted(lines.sparkSession, describe_files(lines))
+    gate = _gate_columns(described, threshold)
+    _reject(gate)
+    return voter_rows(lines, gate)
 
 
 def scan_voter_csv(

@@ -1,6 +1,7 @@
 """Voter files as a stream: each file is loaded once, by any number of runs.
 
-The stream's checkpoint remembers the files already seen, in place of a watermark.
+The stream's checkpoint remembers the files already seen, in place of a watermark. A batch's files
+pass the same gate and are read by the same header-aware reader as those of a batch run.
 """
 
 from __future__ import annotations
@@ -12,10 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ..constants import VOTER_COLUMNS
 from ..plans.ingest import ingest_voters
 from ..schemas import RAW_VOTERS
-from ..sources.voter_files import clean_voters, voter_rows
+from ..sources.voter_files import clean_voters, file_lines, read_voter_lines
 
 BATCH = StructField("batch_id", LongType())
 
@@ -24,7 +24,9 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame | None:
     """The raw table the stream writes, or None before its first batch."""
     try:
         return spark.read.schema(StructType([*RAW_VOTERS.schema, BATCH])).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -34,27 +36,26 @@ def ingest_stream(
     raw_path: str,
     checkpoint: str,
     as_of: datetime,
-    header: tuple[str, ...] = VOTER_COLUMNS,
     max_files: int | None = None,
 ) -> None:
     """Load the folder's unseen files into the raw table, then stop.
 
     Every batch overwrites a partition of its own, so one that is repeated after a failure
-    leaves no row twice.
+    leaves no row twice. A file that fails the gate stops the stream before its batch is written.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         stored = read_raw(session, raw_path)
         existing = None if stored is None else stored.where(F.col("batch_id") != batch_id)
-        rows = ingest_voters(clean_voters(batch), as_of, existing)
+        rows = ingest_voters(clean_voters(read_voter_lines(batch)), as_of, existing)
         rows.write.mode("overwrite").parquet(f"{raw_path}/batch_id={batch_id}")
 
-    reader = spark.readStream
+    reader = spark.readStream.option("pathGlobFilter", "*.csv")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     (
-        voter_rows(reader, folder, header)
+        file_lines(reader.text(folder))
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -148,6 +148,50 @@ def test_only_newer_csv_files_oldest_first(spark, tmp_path):
     assert files.scan_voter_csv(spark, str(tmp_path), datetime.fromtimestamp(3000, timezone.utc)) is None
 
 
+def test_any_number_of_columns_and_repeated_names(spark, tmp_path):
+    extra = ",".join(f"x{i}" for i in range(60))
+    write(tmp_path, "wide.csv", BOB + "," + extra, header=HEADER + "," + extra)
+    write(tmp_path, "twice.csv", BOB + ",99", header=HEADER + ",id")
+    rows = scan(spark, tmp_path).select(*VOTER_COLUMNS).collect()
+    assert len(rows) == 2 and len(set(rows)) == 1 and rows[0].id == "1"
+    assert {r.header_columns for r in gate(spark, *map(str, tmp_path.iterdir())).values()} == {70, 11}
+
+
+def test_names_that_look_like_patterns(spark, tmp_path):
+    for name in ("v[1].csv", "v{a,b}.csv", "v?.csv", "v*.csv", "a+b c.csv"):
+        write(tmp_path, name, BOB)
+    assert sorted(r.source_file for r in scan(spark, tmp_path).collect()) == sorted(
+        ["v[1].csv", "v{a,b}.csv", "v?.csv", "v*.csv", "a+b c.csv"])
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    write(tmp_path, "broken.csv", '1,"Al\nice, the ""first""",Smith,30,M,CA,I,b@x.com,2020-01-01,2022-01-01', "2" + BOB[1:], "3,Short", BOB + ",x")
+    write(tmp_path, "plain.csv", "4" + BOB[1:])
+    got = gate(spark, *map(str, tmp_path.iterdir()))
+    assert (got["broken.csv"].total_rows, got["broken.csv"].can_process) == (3, True)
+    rows = {r.id: r for r in scan(spark, tmp_path).collect()}
+    assert set(rows) == {"1", "2", "3", "4"}
+    assert rows["1"].first_name == 'Al\nice, the "first"' and rows["1"].last_name == "Smith"
+    assert rows["1"].source_file == "broken.csv"
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        assert scan(spark, tmp_path).count() == 4
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_very_long_quoted_cells(spark, tmp_path):
+    write(tmp_path, "long.csv", "1,\"" + "a\"\"" * 50_000 + "\"" + BOB[5:])
+    assert len(scan(spark, tmp_path).first().first_name) == 100_000
+
+
+def test_dates_with_a_time_part(spark, tmp_path):
+    moments = ["2010-01-01 00:00:00", "2020-11-03T00:00:00", "2020-11-03T23:59:59.5Z", "2020-11-03 10:00+01:00", "2020-11-03 25:00", "2020-11-03x", "2020-11-031"]
+    write(tmp_path, "d.csv", *[f"{i}," + BOB[2:].rsplit(",", 1)[0] + "," + m for i, m in enumerate(moments)])
+    got = {r.id: r.last_voted_date for r in scan(spark, tmp_path).collect()}
+    assert got == {"0": date(2010, 1, 1), "1": date(2020, 11, 3), "2": date(2020, 11, 3), "3": date(2020, 11, 3), "4": None, "5": None, "6": None}
+
+
 # --- dedup ---------------------------------------------------------------------------------------
 def test_a_second_load_adds_nothing(spark, tmp_path):
     write(tmp_path, "v.csv", "1,Sam,One,40,M,WA,R,s@x.com,2019-01-01,2020-01-01")

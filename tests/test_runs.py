@@ -129,6 +129,31 @@ def test_stream_loads_each_file_once(spark, tmp_path):
     assert run() == [*first, ("3", "b.csv")]
 
 
+def test_the_stream_reads_headers_and_rejects_bad_files(spark, tmp_path):
+    from ballotlake.constants import VOTER_COLUMNS
+    from test_ingest import BOB
+
+    folder, raw, checkpoint = (str(tmp_path / n) for n in ("in", "raw", "checkpoint"))
+    os.makedirs(folder)
+    write(tmp_path / "in", "a.csv", BOB)
+    write(tmp_path / "in", "b.csv", ",".join(reversed(("2" + BOB[1:]).split(","))), header=",".join(reversed(VOTER_COLUMNS)))
+    write(tmp_path / "in", "c.csv", '3,"Two\nlines"' + BOB[5:])
+    ingest_stream(spark, folder, raw, checkpoint, DAY1)
+    rows = {r.source_id: (r.first_name, r.last_name, r.age) for r in read_raw(spark, raw).collect()}
+    assert rows == {"1": ("Bob", "Lee", 30), "2": ("Bob", "Lee", 30), "3": ("Two\nlines", "Lee", 30)}
+    write(tmp_path / "in", "short.csv", "9,Bob", header="id,first_name")
+    with pytest.raises(Exception, match="short.csv: too few header columns"):
+        ingest_stream(spark, folder, raw, checkpoint, DAY1)
+    assert read_raw(spark, raw).count() == 3
+
+
+def test_a_raw_table_that_cannot_be_read_is_not_taken_for_none(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "x.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        read_raw(spark, str(tmp_path / "raw")).count()
+
+
 def test_a_repeated_batch_leaves_no_row_twice(spark, tmp_path):
     folder, raw, checkpoint = (str(tmp_path / n) for n in ("in", "raw", "checkpoint"))
     os.makedirs(folder)
