@@ -7,55 +7,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with more new rows than this is joined by broadcast. At most (new rows / this) keys
-# can be that frequent, which bounds what is broadcast.
-HOT_KEY_ROWS = 1_000_000
-
 
 def unseen_records(
     new: DataFrame,
     existing: DataFrame | None,
     key: str = "record_hash",
     file_order: str | None = None,
-    hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """New rows whose key is not among the existing rows' keys.
 
     With ``file_order`` the new rows count as loaded file after file in that order: a key
     also met in an earlier file is dropped. Repeats inside one file always stay.
 
-    Keys are first reduced to one row each (partial aggregation, so a key holding a third
-    of all rows costs one row per task). Rows of frequent keys learn their key's first place
-    by broadcast; those that stay travel under a made-up key of their own, so that only the
-    rows of other keys meet in the shuffled join. The key must be a string and not null.
+    Keys are first reduced to one row each (partial aggregation, so a key holding a third of all
+    rows costs one row per task). The stored keys are only looked up: they are filtered by the few
+    new ones, which moves them not at all when those are few enough to be sent to every task or the
+    stored table is bucketed by the key. The kept keys are unique in the last join, so a
+    frequent key's rows can be split over tasks. Null keys are new.
     """
     tagged = new.withColumn("_at", F.col(file_order) if file_order else F.lit(0))
-    at_type = tagged.schema["_at"].dataType
-    keys = tagged.select(key, "_at", F.lit(1).alias("_new"))
+    firsts = tagged.groupBy(key).agg(F.min("_at").alias("_first"))
     if existing is not None:
-        stored = existing.where(F.col(key).isNotNull())
-        keys = keys.unionByName(
-            stored.select(key, F.lit(None).cast(at_type).alias("_at"), F.lit(0).alias("_new"))
-        )
-    # A key with a stored row has no first place, so that none of its new rows is kept.
-    firsts = (
-        keys.groupBy(key)
-        .agg(F.min("_at").alias("_first"), F.min("_new").alias("_unseen"), F.sum("_new").alias("_rows"))
-        .where(F.col("_rows") >= 1)
-        .withColumn("_first", F.when(F.col("_unseen") == 1, F.col("_first")))
-    )
-    is_hot = F.col("_rows") > hot_key_rows
-    hot = firsts.where(is_hot).select(key, F.lit(True).alias("_hot"), F.col("_first").alias("_hot_first"))
-    own_key = F.concat(F.lit("hot row "), F.monotonically_increasing_id().cast("string"))
-    marked = (
-        tagged.join(F.broadcast(hot), key, "left")
-        .where(F.col("_hot").isNull() | (F.col("_hot_first") == F.col("_at")))
-        .withColumn("_match", F.when(F.col("_hot"), own_key).otherwise(F.col(key)))
-    )
-    placed = marked.join(
-        firsts.where(~is_hot).select(F.col(key).alias("_match"), "_first"), "_match", "left"
-    )
-    return placed.where(F.coalesce("_hot_first", "_first") == F.col("_at")).select(*new.columns)
+        seen = existing.select(key).join(firsts.select(key), key, "left_semi").distinct()
+        firsts = firsts.join(seen, key, "left_anti")
+    firsts = firsts.select(F.col(key).alias("_key"), "_first")
+    placed = tagged.join(firsts, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_at") == F.col("_first")))
+    return placed.select(*new.columns)
 
 
 def single_version(rows: DataFrame, key: str) -> DataFrame:

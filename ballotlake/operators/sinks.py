@@ -2,19 +2,34 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..schemas import Contract
 from .quality import ContractError, check_columns, enforce_contract
 
 
 def csv_sink(df: DataFrame, path: str) -> bool:
-    """Write the rows as CSV files with a header; an empty dataset is refused (False)."""
-    if df.isEmpty():
+    """Write the rows as CSV files with a header; an empty dataset is refused (False).
+
+    The rows are counted while they are written beside ``path`` and take its place after that, so
+    they are computed once and a refused dataset leaves what was there.
+    """
+    spark = df.sparkSession
+    seen = Observation("csv")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.{uuid.uuid4().hex}")
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.option("header", "true").option("escape", '"').csv(beside.toString())
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not seen.get["rows"]:
+        files.delete(beside, True)
         return False
-    df.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
+    files.delete(target, True)
+    files.rename(beside, target)
     return True
 
 

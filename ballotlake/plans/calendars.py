@@ -147,11 +147,16 @@ def upcoming_calendar(spark: SparkSession, as_of: date, civic: DataFrame | None
     A civic listing wins over a computed row, an earlier listing over a later one.
     """
     # The schedule has one row per key, so only listings can repeat among themselves.
-    rows = federal_calendar(spark, *calendar_years(as_of)).drop("seq").withColumn("_priority", F.lit(1))
+    rows = federal_calendar(spark, *calendar_years(as_of)).drop("seq")
     if civic is not None:
-        listed = keep_first(classify_elections(civic), NATURAL_KEY, ["seq"]).drop("seq")
-        rows = rows.unionByName(listed.withColumn("_priority", F.lit(0)))
-    return keep_first(rows, NATURAL_KEY, ["_priority"]).select(*DESCRIPTION).orderBy("election_date")
+        listed = classify_elections(civic)
+        place = listed.schema["seq"].dataType
+        rows = keep_first(
+            listed.withColumn("_priority", F.lit(0)).unionByName(
+                rows.withColumns({"_priority": F.lit(1), "seq": F.lit(None).cast(place)})),
+            NATURAL_KEY, ["_priority", "seq"],
+        )
+    return rows.select(*DESCRIPTION).orderBy("election_date", *NATURAL_KEY[1:])
 
 
 def finalize_calendar(df: DataFrame, as_of: datetime) -> DataFrame:

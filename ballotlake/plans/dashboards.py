@@ -12,19 +12,21 @@ SHOWN_SEGMENTS = 10
 LOADED_SEGMENTS = 20
 GRID_STATES = 15
 GRID_COLUMNS = 3
+SNAPSHOT_KEYS = ("state", "age_group", "gender", "party", "voter_engagement_segment", "last_vote_cycle_type")
 
 
 # --- table views ---------------------------------------------------------------------------------
 def states_by_size(state_summary: DataFrame) -> DataFrame:
-    return state_summary.orderBy(F.desc("total_registered_voters"))
+    return state_summary.orderBy(F.desc("total_registered_voters"), "state")
 
 
 def segments_by_size(voter_snapshot: DataFrame) -> DataFrame:
-    return voter_snapshot.orderBy(F.desc("total_voters"))
+    return voter_snapshot.orderBy(F.desc("total_voters"), *SNAPSHOT_KEYS)
 
 
 def stage_by_registration(stage: DataFrame) -> DataFrame:
-    return stage.orderBy(F.asc_nulls_last("registered_date"))
+    # Many voters share a day, a default date say; the id keeps them from meeting in one task.
+    return stage.orderBy(F.asc_nulls_last("registered_date"), "voter_id")
 
 
 # --- headline figures and trends -----------------------------------------------------------------
@@ -167,8 +169,8 @@ def age_by_party(stage: DataFrame) -> DataFrame:
 
 # --- documented example queries ------------------------------------------------------------------
 def example_snapshot(voter_snapshot: DataFrame) -> DataFrame:
-    return voter_snapshot.select("state", "party", "pct_current_voters", "pct_targetable_voters").orderBy(
-        F.desc("pct_targetable_voters")
+    return voter_snapshot.orderBy(F.desc("pct_targetable_voters"), *SNAPSHOT_KEYS).select(
+        "state", "party", "pct_current_voters", "pct_targetable_voters"
     )
 
 

@@ -32,6 +32,7 @@ from ..constants import (
 )
 from ..functions.numeric import percent, percent_or_zero, round_half_up
 from ..functions.voters import likely_voted, was_registered
+from ..operators.ranking import with_rank
 from ..schemas import PARTISAN_TRENDS, STATE_SUMMARY, TARGETING_OPPORTUNITIES, VOTER_SNAPSHOT
 
 DEMOGRAPHICS = ("state", "age_group", "gender", "party")
@@ -201,10 +202,9 @@ def targeting_opportunities(
         F.desc_nulls_last("opportunity_score"), F.desc_nulls_last("total_voters"),
         *[F.asc_nulls_last(c) for c in DEMOGRAPHICS],
     ]
-    # The national rank sorts the segments (states x ages x genders x parties), never voters.
     return (
-        scored.withColumn("state_rank", F.row_number().over(Window.partitionBy("state").orderBy(*order)))
-        .withColumn("national_rank", F.row_number().over(Window.orderBy(*order)))
+        with_rank(scored, order, "national_rank")
+        .withColumn("state_rank", F.row_number().over(Window.partitionBy("state").orderBy("national_rank")))
         .withColumn("targeting_tier", targeting_tier(F.col("opportunity_score"), total, tier_rules))
         .withColumn("analysis_date", F.lit(as_of).cast("date"))
         .where(total >= 1)
@@ -330,44 +330,46 @@ DEMO_KEYS = (*CYCLE_KEYS, "state", "age_group", "gender")
 PARTY_KEYS = (*DEMO_KEYS, "party")
 
 
+CYCLES_PER_WORD = 62
+
+
 def cycle_counts(
     stage: DataFrame, cycles: Sequence[tuple] = ELECTION_CYCLES, window: int = VOTE_WINDOW_DAYS
 ) -> DataFrame:
     """Registered and likely voters per cycle and demographic group, one row per combination met.
 
-    Each voter's answers for all cycles are packed into two bit sets, voters are counted per
-    (group, bit sets), and only those few counted rows are expanded over the cycles.
+    Each voter's answers for all cycles are packed into bit sets, a word for every 62 cycles, voters
+    are counted per (group, bit sets), and only those few counted rows are expanded over the cycles.
+    They are brought together by state, age group and gender, which serves all that follows.
     """
     registered, voted = F.col("registered_date"), F.col("last_voted_date")
 
-    def bits(answer) -> Column:
-        flags = [
-            F.when(answer(F.lit(day)), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
-            for i, (_, _, day) in enumerate(cycles)
-        ]
-        return reduce(lambda a, b: a + b, flags)
+    def words(name: str, answer) -> list[Column]:
+        found = []
+        for first in range(0, len(cycles), CYCLES_PER_WORD):
+            flags = [
+                F.when(answer(F.lit(day)), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
+                for i, (_, _, day) in enumerate(cycles[first:first + CYCLES_PER_WORD])
+            ]
+            found.append(reduce(lambda a, b: a + b, flags).alias(f"{name}_{len(found)}"))
+        return found
+
+    flagged = [
+        *words("registered", lambda day: was_registered(registered, day)),
+        *words("voted", lambda day: likely_voted(registered, voted, day, window)),
+    ]
+    packed = stage.select(*DEMOGRAPHICS, *flagged)
+    names = packed.columns[len(DEMOGRAPHICS):]
+    counted = packed.groupBy(*packed.columns).agg(F.count(F.lit(1)).alias("n"))
+
+    def answers(name: str) -> Column:
+        word = F.get(F.array(*[c for c in names if c.startswith(name)]), F.floor(F.col("bit") / CYCLES_PER_WORD).cast("int"))
+        return F.col("n") * F.getbit(word, F.col("bit") % CYCLES_PER_WORD)
 
-    counted = (
-        stage.select(
-            *DEMOGRAPHICS,
-            bits(lambda day: was_registered(registered, day)).alias("registered_bits"),
-            bits(lambda day: likely_voted(registered, voted, day, window)).alias("voted_bits"),
-        )
-        .groupBy(*DEMOGRAPHICS, "registered_bits", "voted_bits")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    n = F.col("n")
     return (
-        counted.select(
-            *DEMOGRAPHICS, "n", "registered_bits", "voted_bits",
-            F.posexplode(_cycle_array(cycles)).alias("bit", "cycle"),
-        )
-        .select(
-            "cycle.*",
-            *DEMOGRAPHICS,
-            (n * F.getbit("registered_bits", F.col("bit"))).alias("registered"),
-            (n * F.getbit("voted_bits", F.col("bit"))).alias("voted"),
-        )
+        counted.repartition("state", "age_group", "gender")
+        .select(*DEMOGRAPHICS, "n", *names, F.posexplode(_cycle_array(cycles)).alias("bit", "cycle"))
+        .select("cycle.*", *DEMOGRAPHICS, answers("registered").alias("registered"), answers("voted").alias("voted"))
         .groupBy(*PARTY_KEYS)
         .agg(F.sum("registered").alias("eligible_voters"), F.sum("voted").alias("estimated_voters"))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,7 +12,16 @@ from .. import schemas
 from ..operators.quality import run_checks
 from ..operators.sinks import csv_sink, current, publish
 from ..sources.election_files import load_seed, scan_civic_json, scan_results_tsv
-from ..sources.voter_files import clean_voters, new_file_paths, read_voter_files
+from ..constants import VOTER_COLUMNS
+from ..session import shared_dir
+from ..sources.voter_files import (
+    TEXT_COLUMNS,
+    clean_voters,
+    new_file_paths,
+    read_voter_files,
+    schema_check,
+    unread_cells,
+)
 from . import calendars, checks, marts
 from .ingest import ingest_metrics, ingest_voters, last_watermark, run_metadata
 from .voters import dim_upsert, stage_upsert
@@ -29,39 +38,66 @@ class Run:
     new_records: int
     voter_count: int
     state_count: int
+    # Text columns without any value, and cells that said something but could not be read.
+    warnings: tuple[str, ...] = field(default=(), compare=False)
+    unread_cells: int = field(default=0, compare=False)
+
+
+def _staged(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, int]:
+    """The files' rows, cut, cleaned and written once, and how many cells could not be read."""
+    text = read_voter_files(spark, paths).withColumn("_text", F.struct(*VOTER_COLUMNS))
+    cleaned = clean_voters(text)
+    seen = Observation("staged")
+    lost = unread_cells({c: F.col("_text")[c] for c in VOTER_COLUMNS}, {c: F.col(c) for c in VOTER_COLUMNS})
+    folder = shared_dir(spark, "staged-voters")
+    cleaned.withColumn("_lost", lost).observe(seen, F.sum("_lost").alias("lost")).drop("_text", "_lost").write.parquet(folder)
+    return spark.read.parquet(folder), seen.get["lost"] or 0
 
 
 def load_voters(
-    spark: SparkSession, folder: str, database: str, as_of: datetime, truncate: bool = False
+    spark: SparkSession,
+    folder: str,
+    database: str,
+    as_of: datetime,
+    truncate: bool = False,
+    fallback: datetime | None = None,
+    buckets: int | None = None,
 ) -> Run:
     """Load the folder's files newer than the last run into ``database.vote_records``.
 
     With ``truncate`` the table is replaced by the new files' rows. A rejected file stops
-    the run before anything is written.
+    the run before anything is written. ``fallback`` is the watermark where no run is recorded.
+    The table is bucketed by ``record_hash``, so that the next run finds stored records without
+    moving them.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     raw_name, meta_name = f"{database}.vote_records", f"{database}.processing_metadata"
     metadata = current(spark, meta_name)
-    since = last_watermark(metadata)
+    since = last_watermark(metadata, fallback)
     paths = new_file_paths(spark, folder, since)
     if not paths:
         if truncate and spark.catalog.tableExists(raw_name):
             spark.sql(f"TRUNCATE TABLE {raw_name}")
         return Run(0, 0, 0, 0)
-    rows = clean_voters(read_voter_files(spark, paths))
+    rows, lost = _staged(spark, paths)
+    notes = schema_check(rows.select(*VOTER_COLUMNS), text=TEXT_COLUMNS).where("note IS NOT NULL").collect()
     existing = None if truncate else current(spark, raw_name)
     seen = Observation("ingest")
     added = ingest_voters(rows, as_of, existing, truncate).observe(
         seen, F.count(F.lit(1)).alias("rows")
     )
-    added.write.mode("overwrite" if truncate else "append").format("parquet").saveAsTable(raw_name)
+    # Together by key for the buckets; a frequent key's rows may still be split over tasks.
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = added.hint("rebalance", F.col("record_hash")).write.mode("overwrite" if truncate else "append")
+    writer.format("parquet").bucketBy(buckets, "record_hash").sortBy("record_hash").saveAsTable(raw_name)
     metrics = ingest_metrics(spark.table(raw_name))
     records = seen.get["rows"]
     publish(
         spark, run_metadata(metadata, metrics, as_of, len(paths), records), meta_name, schemas.RUN_METADATA
     )
     stats = spark.table(meta_name).first()
-    return Run(len(paths), records, stats.voter_count, stats.state_count)
+    warnings = tuple(f"{row.column_name}: {row.note}" for row in notes)
+    return Run(len(paths), records, stats.voter_count, stats.state_count, warnings, lost)
 
 
 def build_models(
@@ -128,10 +164,10 @@ def build_calendars(
         stamp = as_of.strftime("%Y-%m-%d %H:%M:%S+00:00")
         save(results.drop("seq").withColumn("insertion_date", F.lit(stamp)), schemas.RAW_RESULTS)
         historic = calendars.finalize_calendar(calendars.historic_outcomes(results), as_of)
-        save(historic.orderBy("election_date"), schemas.HISTORIC_OUTCOMES)
+        save(historic, schemas.HISTORIC_OUTCOMES)
     civic = scan_civic_json(spark, civic_path) if civic_path else None
     upcoming = calendars.finalize_calendar(calendars.upcoming_calendar(spark, as_of.date(), civic), as_of)
-    save(upcoming.orderBy("election_date"), schemas.UPCOMING_CALENDAR)
+    save(upcoming, schemas.UPCOMING_CALENDAR)
     return written
 
 

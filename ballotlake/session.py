@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # SQL settings that decide results or plans, whatever the cluster.
 SQL_SETTINGS = {
@@ -35,20 +36,32 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **extra: s
     return session
 
 
-def shared_dir(spark: SparkSession, prefix: str) -> str:
-    """A new folder name below the cluster's shared checkpoint folder.
+def shared_base(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder.
 
-    Only a local session that names no such folder falls back to the machine's own
-    temporary folder; on a cluster the setting is required.
+    Only a local session that names none gets one of its own; on a cluster the setting is required.
     """
-    import uuid
-
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         checkpoint = spark.sparkContext.getCheckpointDir()
         base = checkpoint.rsplit("/", 1)[0] if checkpoint else None
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="ballotlake-")
-    return f"{base.rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
+        spark.sparkContext.setCheckpointDir(base)
+    return base.rstrip("/")
+
+
+def shared_dir(spark: SparkSession, prefix: str) -> str:
+    """A new folder name below the shared folder."""
+    return f"{shared_base(spark)}/{prefix}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The rows computed once and written to the shared folder, their lineage cut."""
+    spark = df.sparkSession
+    base = shared_base(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(base)
+    return df.checkpoint(eager=True)

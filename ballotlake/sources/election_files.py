@@ -45,10 +45,16 @@ def scan_results_tsv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def scan_civic_json(spark: SparkSession, path: str) -> DataFrame:
-    """Listed elections (id, name, electionDay), one row each, with ``seq`` as their order."""
+def scan_civic_json(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+    """Listed elections (id, name, electionDay), one row each, with ``seq`` as their order.
+
+    A file is one document, indented or not, or with ``one_per_line`` a document on every line.
+    What is not JSON fails the job.
+    """
     return (
         spark.read.schema(CIVIC_FILE)
+        .option("multiLine", str(not one_per_line).lower())
+        .option("mode", "FAILFAST")
         .json(path)
         .withColumn("seq", F.struct(F.col("_metadata.file_path"), F.monotonically_increasing_id().alias("line")))
         .select("seq", F.posexplode("elections").alias("position", "election"))

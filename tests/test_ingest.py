@@ -214,8 +214,7 @@ def test_repeats_pass_inside_a_file_and_not_across_files(spark, tmp_path):
     assert len({r.record_uuid for r in rows}) == 4
 
 
-@pytest.mark.parametrize("hot_key_rows", [1, 5, 10**6])
-def test_unseen_records_against_brute_force(spark, hot_key_rows):
+def test_unseen_records_against_brute_force(spark):
     chance = random.Random(7)
     new = [(str(min(chance.randrange(60), 20)), chance.randrange(4), i) for i in range(600)]
     stored = [str(chance.randrange(8)) for _ in range(200)] + [None]
@@ -225,12 +224,12 @@ def test_unseen_records_against_brute_force(spark, hot_key_rows):
     expected = sorted(r for r in new if r[0] not in stored and r[1] == first[r[0]])
     frame = spark.createDataFrame(new, "record_hash string, at int, n int").repartition(5)
     existing = spark.createDataFrame([(s,) for s in stored], "record_hash string")
-    got = unseen_records(frame, existing, file_order="at", hot_key_rows=hot_key_rows)
+    got = unseen_records(frame, existing, file_order="at")
     assert sorted(map(tuple, got.collect())) == expected
     without = sorted(r for r in new if r[0] not in stored)
-    assert sorted(map(tuple, unseen_records(frame, existing, hot_key_rows=hot_key_rows).collect())) == without
+    assert sorted(map(tuple, unseen_records(frame, existing).collect())) == without
     alone = sorted(r for r in new if r[1] == first[r[0]])
-    assert sorted(map(tuple, unseen_records(frame, None, file_order="at", hot_key_rows=hot_key_rows).collect())) == alone
+    assert sorted(map(tuple, unseen_records(frame, None, file_order="at").collect())) == alone
 
 
 def test_single_version_with_one_key_in_a_third_of_the_rows(spark):
