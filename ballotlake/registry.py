@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from . import schemas
 from .constants import VOTER_COLUMNS
 from .functions import elections as E
 from .functions import voters as V
-from .functions.literals import latest_moment
+from .functions.literals import latest_moment, timestamp_literal
 from .operators import quality as Q
 from .operators.dedup import unseen_records
 from .operators.sinks import csv_sink
@@ -28,6 +29,9 @@ AS_OF_TIME = datetime(2025, 6, 30)
 DAY_BEFORE = date(2025, 6, 29)
 NOON_BEFORE = datetime(2025, 6, 29, 12)
 NOON = datetime(2025, 6, 30, 12)
+FALLBACK = datetime(2025, 1, 1)
+# Order numbers that share a civic document; it bounds a document's listings.
+LISTED_TOGETHER = 2048
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -199,6 +203,15 @@ def run_metadata(spark: SparkSession, folder: str) -> DataFrame:
     raw = _raw(spark, folder)
     first = ingest.run_metadata(None, ingest.ingest_metrics(raw.where(_earlier())), NOON_BEFORE, 1, 0)
     added = ingest.ingest_voters(_files(raw), AS_OF_TIME)
+    # The next run's watermark, and the one of a first run that is given a fallback.
+    watermark = ingest.last_watermark(first, FALLBACK)
+    fallback = ingest.last_watermark(None, FALLBACK)
+    return _metadata(raw, first, added).select(
+        "*", timestamp_literal(watermark).alias("watermark"), timestamp_literal(fallback).alias("fallback")
+    )
+
+
+def _metadata(raw: DataFrame, first: DataFrame, added: DataFrame) -> DataFrame:
     return ingest.run_metadata(first, ingest.ingest_metrics(raw), NOON, 2, added)
 
 
@@ -248,19 +261,37 @@ def scan_new_files(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def file_quality_gate(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows by state as if each state came in a file; some rows lost all their values."""
-    k = F.col("source_id").cast("bigint")
-    raw = _raw(spark, folder)
-    lost = [F.when(k % 18 != 0, F.col(c)).alias(c) for c in raw.columns]
-    return voter_files.gate_rows(raw.select(F.col("state").alias("source_file"), *lost))
+    """Good, wide, short, blank, empty and renamed files, each kind in a folder of its own."""
+    base = shared_dir(spark, "gate-files")
+    texts = _texts(_raw(spark, folder))
+    nothing = [F.lit(None).cast("string").alias(c) for c in VOTER_COLUMNS]
+    variants = {
+        "good": texts,
+        "wide": texts.select("*", *[F.lit("x").alias(f"more_{i}") for i in range(70)]),
+        "short": texts.select("id", "first_name"),
+        "blank": texts.select(*nothing),
+        "headed": texts.where("false"),
+        "renamed": texts.withColumnRenamed("email", "mail"),
+    }
+    paths = []
+    for name, rows in variants.items():
+        _write_csv(rows, f"{base}/{name}")
+        paths += voter_files.new_file_paths(spark, f"{base}/{name}")
+    gate = voter_files.file_quality_gate(spark, paths)
+    return gate.groupBy(
+        F.element_at(F.split("file_uri", "/"), -2).alias("variant"), "can_process", "error",
+        "header_columns", "extra_columns", "missing_columns",
+    ).agg(F.sum("total_rows").alias("total_rows"), F.sum("error_rows").alias("error_rows"))
 
 
 @query
 def schema_check(spark: SparkSession, folder: str) -> DataFrame:
-    """A file without emails, without any gender and with a column too many."""
+    """Files without emails, without any gender and with a column too many."""
+    files = shared_dir(spark, "schema-files")
     rows = _texts(_raw(spark, folder)).drop("email")
     rows = rows.withColumn("gender", F.lit(None).cast("string")).withColumn("ward", F.col("state"))
-    return voter_files.schema_check(rows)
+    _write_csv(rows, files)
+    return voter_files.schema_check(spark.read.option("header", "true").option("escape", '"').csv(files))
 
 
 @query
@@ -287,11 +318,13 @@ def scan_results_tsv(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def scan_civic_json(spark: SparkSession, folder: str) -> DataFrame:
-    """Listings written as JSON documents of one nation-year each, scanned back."""
+    """Listings written as indented JSON documents of several elections, a file each, scanned back."""
     listed = derived.civic(spark, folder)
     one = F.struct("id", "name", "electionDay")
     path = shared_dir(spark, "civic")
-    listed.select(F.array(one).alias("elections")).write.json(path)
+    documents = listed.groupBy(F.floor(F.col("seq") / LISTED_TOGETHER)).agg(F.collect_list(one).alias("elections"))
+    text = F.to_json(F.struct("elections"), {"pretty": "true"})
+    documents.select(text).write.option("maxRecordsPerFile", 1).text(path)
     return election_files.scan_civic_json(spark, path).drop("seq")
 
 
@@ -349,11 +382,12 @@ def csv_sink_calendar(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def ingest_stream_voters(spark: SparkSession, folder: str) -> DataFrame:
-    """Two waves of files through two runs of the stream."""
+    """Two waves of files through two runs of the stream, the second with its columns in another order."""
     base = shared_dir(spark, "stream")
     texts = _texts(_raw(spark, folder))
-    for wave in (_earlier(), ~_earlier()):
-        _write_csv(texts.where(wave), f"{base}/files")
+    turned = texts.select(*reversed(texts.columns))
+    for wave in (texts.where(_earlier()), turned.where(~_earlier())):
+        _write_csv(wave, f"{base}/files")
         ingest_stream(spark, f"{base}/files", f"{base}/raw", f"{base}/checkpoint", AS_OF_TIME)
     return read_raw(spark, f"{base}/raw").drop("record_uuid", "source_file", "batch_id")
 
@@ -410,67 +444,84 @@ def calendar_by_source(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # --- checks --------------------------------------------------------------------------------------
-def _checked(spark: SparkSession, folder: str, tables: list[str], *kinds: str) -> DataFrame:
-    """The declared checks of some kinds on some tables."""
-    inputs = {
-        "dim_voter": _dim,
-        "stage_voter_metrics": _stage,
-        "state_summary": state_summary,
-        "partisan_trends": partisan_trends,
-        "targeting_opportunities": targeting_opportunities,
-        "election_calendar_upcoming": _upcoming,
+def _published(spark: SparkSession, folder: str) -> dict[str, Callable[[], DataFrame]]:
+    """Every table that has declared checks or a contract, as it is published."""
+    raw = lambda: _raw(spark, folder)
+    earlier = lambda: ingest.run_metadata(
+        None, ingest.ingest_metrics(raw().where(_earlier())), NOON_BEFORE, 1, 0)
+    stamp = AS_OF_TIME.strftime("%Y-%m-%d %H:%M:%S+00:00")
+    return {
+        "vote_records": lambda: ingest.ingest_voters(_files(raw()), AS_OF_TIME),
+        "processing_metadata": lambda: _metadata(raw(), earlier(), ingest.ingest_voters(_files(raw()), AS_OF_TIME)),
+        "dim_voter": lambda: _dim(spark, folder),
+        "stage_voter_metrics": lambda: _stage(spark, folder),
+        "voter_snapshot": lambda: voter_snapshot(spark, folder),
+        "partisan_trends": lambda: partisan_trends(spark, folder),
+        "targeting_opportunities": lambda: targeting_opportunities(spark, folder),
+        "state_summary": lambda: state_summary(spark, folder),
+        "elections_historic_raw": lambda: scan_results_tsv(spark, folder).withColumn("insertion_date", F.lit(stamp)),
+        "election_outcome_federal_historic": lambda: calendars.finalize_calendar(_historic(spark, folder), AS_OF_TIME),
+        "election_calendar_upcoming": lambda: calendars.finalize_calendar(_upcoming(spark, folder), AS_OF_TIME),
     }
-    report = None
-    for name in tables:
-        declared = checks.of_kind(checks.DECLARED[name](AS_OF), *kinds)
-        checked = Q.run_checks(inputs[name](spark, folder), declared).withColumn("table_name", F.lit(name))
-        report = checked if report is None else report.unionByName(checked)
-    return report
+
+
+def _united(reports: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, reports)
+
+
+def _checked(spark: SparkSession, folder: str, *kinds: str) -> DataFrame:
+    """The declared checks of some kinds on all tables that have any."""
+    tables = _published(spark, folder)
+    declared = {name: checks.of_kind(make(AS_OF), *kinds) for name, make in checks.DECLARED.items()}
+    return _united([
+        Q.run_checks(tables[name](), found).withColumn("table_name", F.lit(name))
+        for name, found in declared.items() if found
+    ])
 
 
 @query
 def dq_not_null(spark: SparkSession, folder: str) -> DataFrame:
-    return _checked(spark, folder, ["dim_voter", "stage_voter_metrics"], "not_null")
+    return _checked(spark, folder, "not_null")
 
 
 @query
 def dq_unique(spark: SparkSession, folder: str) -> DataFrame:
-    return _checked(spark, folder, ["dim_voter", "stage_voter_metrics", "state_summary"], "unique")
+    return _checked(spark, folder, "unique")
 
 
 @query
 def dq_accepted_values(spark: SparkSession, folder: str) -> DataFrame:
-    return _checked(spark, folder, ["dim_voter", "stage_voter_metrics"], "accepted_values")
+    return _checked(spark, folder, "accepted_values")
 
 
 @query
 def dq_between(spark: SparkSession, folder: str) -> DataFrame:
-    return _checked(spark, folder, ["dim_voter", "stage_voter_metrics", "partisan_trends"], "between")
+    return _checked(spark, folder, "between")
 
 
 @query
 def dq_regex(spark: SparkSession, folder: str) -> DataFrame:
-    return _checked(spark, folder, ["dim_voter", "stage_voter_metrics"], "matches_regex")
+    return _checked(spark, folder, "matches_regex")
 
 
 @query
 def dq_length(spark: SparkSession, folder: str) -> DataFrame:
-    return _checked(spark, folder, ["dim_voter", "stage_voter_metrics"], "length_equals", "length_between")
+    return _checked(spark, folder, "length_equals", "length_between")
 
 
 @query
 def dq_pair_order(spark: SparkSession, folder: str) -> DataFrame:
-    return _checked(spark, folder, ["dim_voter"], "at_least")
+    return _checked(spark, folder, "at_least")
 
 
 @query
 def dq_row_count(spark: SparkSession, folder: str) -> DataFrame:
-    return _checked(spark, folder, ["state_summary"], "row_count_between")
+    return _checked(spark, folder, "row_count_between")
 
 
 @query
 def dq_columns(spark: SparkSession, folder: str) -> DataFrame:
-    return _checked(spark, folder, ["stage_voter_metrics"], "columns_match")
+    return _checked(spark, folder, "columns_match")
 
 
 @query
@@ -479,14 +530,16 @@ def dq_unique_combo(spark: SparkSession, folder: str) -> DataFrame:
     listed = calendars.classify_elections(derived.civic(spark, folder))
     key = Q.unique_combination(*calendars.NATURAL_KEY)
     found = Q.run_checks(listed, [key]).withColumn("table_name", F.lit("civic_listings"))
-    return _checked(spark, folder, ["election_calendar_upcoming"], "unique_combination").unionByName(found)
+    return _checked(spark, folder, "unique_combination").unionByName(found)
 
 
 @query
 def contract_check(spark: SparkSession, folder: str) -> DataFrame:
-    dim = Q.contract_report(_dim(spark, folder), schemas.DIM_VOTER).withColumn("table_name", F.lit("dim_voter"))
-    stage = Q.contract_report(_stage(spark, folder), schemas.STAGE_VOTER_METRICS)
-    return dim.unionByName(stage.withColumn("table_name", F.lit("stage_voter_metrics")))
+    """Every contract on its table."""
+    return _united([
+        Q.contract_report(table(), schemas.CONTRACTS[name]).withColumn("table_name", F.lit(name))
+        for name, table in _published(spark, folder).items()
+    ])
 
 
 # --- dashboard -----------------------------------------------------------------------------------

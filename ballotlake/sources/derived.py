@@ -156,6 +156,7 @@ def voter_texts(spark: SparkSession, folder: str) -> DataFrame:
     return voters(spark, folder).select(
         F.col("source_id").alias("id"),
         F.when(k % 10 == 0, "nan")
+        .when(k % 43 == 0, F.concat(F.col("first_name"), F.lit(', the\n"second"')))
         .when(k % 3 == 0, F.concat(F.lit("  "), F.col("first_name"), F.lit(" ")))
         .otherwise(F.col("first_name"))
         .alias("first_name"),
@@ -172,6 +173,7 @@ def voter_texts(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.date_format("registered_date", "yyyy-MM-dd"))
         .alias("registered_date"),
         F.when(k % 37 == 0, "2020-02-30")
+        .when(k % 5 == 0, F.date_format("last_voted_date", "yyyy-MM-dd'T23:15:00'"))
         .otherwise(F.date_format("last_voted_date", "yyyy-MM-dd"))
         .alias("last_voted_date"),
     )

@@ -336,8 +336,9 @@ def voter_rows(lines: DataFrame, files: DataFrame) -> DataFrame:
         named = lines.select("file_uri", "source_file", "modified_at").distinct()
         whole = _whole_records(spark, broken).join(files.join(named, "file_uri"), "file_uri")
         rows = rows.unionByName(whole.select(*rows.columns))
+    values = [F.get("cells", F.get("positions", F.lit(i))) for i in range(len(VOTER_COLUMNS))]
     return rows.select(
-        *[F.get("cells", F.get("positions", F.lit(i))).alias(c) for i, c in enumerate(VOTER_COLUMNS)],
+        *[F.when(value != "", value).alias(c) for value, c in zip(values, VOTER_COLUMNS)],
         "source_file",
         F.struct("modified_at", "file_uri").alias("file_order"),
     )
