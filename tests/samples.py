@@ -1,4 +1,4 @@
-"""Hand-written voters and the values worked out for them by hand."""
+"""Voters on the edges of the bands (ages, election days, leap days), and what follows for each."""
 
 from datetime import date
 
@@ -6,16 +6,16 @@ AS_OF = date(2025, 6, 30)
 
 # id, first, last, age, gender, state, party, email, registered, last voted
 VOTERS = [
-    ("1", "Ann", "One", 45, "M", "CA", "Democrat", "a@x.com", date(2010, 3, 15), date(2020, 11, 3)),
-    ("2", "Bea", "Two", 32, "F", "NY", "Republican", "b@x.com", date(2012, 8, 22), date(2022, 11, 8)),
-    ("3", "Cal", "Three", 28, "M", "TX", "Independent", "c@x.com", date(2018, 1, 10), None),
-    ("4", "Dee", "Four", 67, "F", "FL", "Democrat", "d@x.com", date(2008, 5, 20), date(2024, 11, 5)),
-    ("5", "Eli", "Five", 41, "M", "PA", "Republican", "e@x.com", date(2015, 9, 12), date(2020, 11, 3)),
-    ("6", "Fay", "Six", 35, "F", "OH", "Independent", "f@x.com", date(2016, 2, 28), date(2018, 11, 6)),
-    ("7", "Gus", "Seven", 52, "M", "MI", "Democrat", "g@x.com", date(2009, 7, 18), date(2022, 11, 8)),
-    ("8", "Hal", "Eight", 29, "F", "WI", "Republican", "h@x.com", date(2019, 11, 1), date(2022, 11, 8)),
-    ("9", "Ida", "Nine", 73, "M", "AZ", "Democrat", "i@x.com", date(2007, 1, 15), date(2020, 11, 3)),
-    ("10", "Joe", "Ten", 38, "F", "NC", "Independent", "j@x.com", date(2013, 6, 30), date(2016, 11, 8)),
+    ("1", "Ora", "Quill", 18, "F", "VT", "Independent", "ora@mail.test", date(2025, 6, 29), None),
+    ("2", "Pim", "Rusk", 29, "M", "UT", "Democrat", "pim@mail.test", date(2024, 2, 29), date(2024, 11, 5)),
+    ("3", "Quy", "Stead", 30, "F", "ME", "Republican", "quy@mail.test", date(2020, 2, 29), date(2024, 11, 4)),
+    ("4", "Rae", "Tarn", 49, "M", "ND", "Democrat", "rae@mail.test", date(2000, 1, 1), date(2022, 11, 8)),
+    ("5", "Sol", "Ude", 50, "F", "KS", "Republican", "sol@mail.test", date(1999, 12, 31), date(2022, 11, 7)),
+    ("6", "Tao", "Voss", 64, "M", "NM", "Independent", "tao@mail.test", date(2012, 2, 29), date(2019, 5, 21)),
+    ("7", "Uma", "Wirt", 65, "F", "RI", "Democrat", "uma@mail.test", date(1980, 7, 4), date(2018, 11, 5)),
+    ("8", "Vic", "Xu", 99, "M", "AK", "Republican", "vic@mail.test", date(1944, 6, 6), date(2012, 11, 6)),
+    ("9", "Wyn", "Yates", 41, "F", "DE", "Independent", "wyn@mail.test", date(2005, 10, 10), date(2010, 11, 3)),
+    ("10", "Xan", "Zoll", 77, "M", "HI", "Democrat", "xan@mail.test", date(1970, 1, 1), date(2008, 11, 3)),
 ]
 FIELDS = (
     "source_id string, first_name string, last_name string, age int, gender string, state string, "
@@ -24,16 +24,16 @@ FIELDS = (
 
 # id -> age group, years, missed elections, segment, cycle type
 EXPECTED = {
-    "1": ("30-49", 15, 2, "Occasional Voter", "Presidential Year"),
-    "2": ("30-49", 13, 1, "Missed Last Election", "Midterm Year"),
-    "3": ("18-29", 7, None, "Never Voted", None),
-    "4": ("65+", 17, 0, "Current Voter", "Presidential Year"),
-    "5": ("30-49", 10, 2, "Occasional Voter", "Presidential Year"),
-    "6": ("30-49", 9, 3, "Occasional Voter", "Midterm Year"),
-    "7": ("50-64", 16, 1, "Missed Last Election", "Midterm Year"),
-    "8": ("18-29", 6, 1, "Missed Last Election", "Midterm Year"),
-    "9": ("65+", 18, 2, "Occasional Voter", "Presidential Year"),
-    "10": ("30-49", 12, 4, "Infrequent Voter", "Presidential Year"),
+    "1": ("18-29", 0, None, "Never Voted", None),
+    "2": ("18-29", 1, 0, "Current Voter", "Presidential Year"),
+    "3": ("30-49", 5, 1, "Missed Last Election", "Presidential Year"),
+    "4": ("30-49", 25, 1, "Missed Last Election", "Midterm Year"),
+    "5": ("50-64", 26, 2, "Occasional Voter", "Midterm Year"),
+    "6": ("50-64", 13, 3, "Occasional Voter", "Off-Year/Primary"),
+    "7": ("65+", 45, 4, "Infrequent Voter", "Midterm Year"),
+    "8": ("65+", 81, 6, "Infrequent Voter", "Presidential Year"),
+    "9": ("30-49", 20, 7, "Dormant Voter", "Midterm Year"),
+    "10": ("65+", 55, 9, "Dormant Voter", "Presidential Year"),
 }
 
 
@@ -42,7 +42,7 @@ def raw(spark, rows=VOTERS):
 
 
 def voter(source_id, **changes):
-    """The first sample voter with another id and some other values."""
+    """The fourth voter with another id and some other values."""
     names = [f.split()[0] for f in FIELDS.split(", ")]
-    values = dict(zip(names, VOTERS[0]), source_id=source_id, **changes)
+    values = dict(zip(names, VOTERS[3]), source_id=source_id, **changes)
     return tuple(values[n] for n in names)

@@ -23,12 +23,12 @@ def test_state_summary_of_the_sample(sample):
     rows = {r.state: r for r in marts.state_summary(sample, AS_OF).collect()}
     assert len(rows) == 10 and all(r.total_registered_voters == 1 for r in rows.values())
     scores = {s: r.engagement_opportunity_score for s, r in rows.items()}
-    assert scores == {**dict.fromkeys(["CA", "NY", "PA", "OH", "MI", "WI", "AZ"], 60.0), "NC": 30.0, "TX": 10.0, "FL": 0.0}
+    assert scores == {**dict.fromkeys(["ME", "ND", "KS", "NM"], 60.0), **dict.fromkeys(["RI", "AK", "DE", "HI"], 30.0), "VT": 10.0, "UT": 0.0}
     leans = {s: r.partisan_lean for s, r in rows.items()}
     assert leans == {
-        **dict.fromkeys(["CA", "FL", "MI", "AZ"], "Lean Democrat"),
-        **dict.fromkeys(["NY", "PA", "WI"], "Lean Republican"),
-        **dict.fromkeys(["TX", "OH", "NC"], "Highly Competitive"),
+        **dict.fromkeys(["UT", "ND", "RI", "HI"], "Lean Democrat"),
+        **dict.fromkeys(["ME", "KS", "AK"], "Lean Republican"),
+        **dict.fromkeys(["VT", "NM", "DE"], "Highly Competitive"),
     }
 
 
@@ -40,10 +40,10 @@ def test_small_segments_score_nothing(sample):
 
 
 def test_trends_of_one_voter(sample):
-    rows = marts.partisan_trends(sample).where("state = 'FL'").orderBy("election_year").collect()
+    rows = marts.partisan_trends(sample).where("state = 'KS'").orderBy("election_year").collect()
     assert [r.election_year for r in rows] == list(range(2008, 2025, 2))
-    assert [r.estimated_voters for r in rows] == [0] * 8 + [1]
-    assert rows[-1].participation_rate == 100.0 and rows[-1].participation_rate_change_pts == 100.0
+    assert [r.estimated_voters for r in rows] == [0] * 7 + [1, 0]
+    assert rows[7].participation_rate == 100.0 and rows[7].participation_rate_change_pts == 100.0
     assert rows[0].prev_eligible_voters is None and rows[2].prev_eligible_voters == 1
 
 
@@ -56,7 +56,7 @@ def test_cells_give_what_a_distinct_count_gives(stage):
 
 def test_repeated_voters_are_counted_once(spark, sample):
     twice = sample.unionByName(sample)
-    row = marts.state_summary(twice, AS_OF).where("state = 'CA'").first()
+    row = marts.state_summary(twice, AS_OF).where("state = 'UT'").first()
     assert (row.total_registered_voters, row.democrat_voters, row.pct_democrat) == (1, 2, 200.0)
 
 
@@ -103,11 +103,40 @@ def test_trends_equal_the_expanded_form(stage):
 
 def test_overlapping_cycles_count_a_vote_in_each(spark):
     cycles = ((2020, "Presidential", date(2020, 11, 3)), (2021, "Midterm", date(2020, 12, 3)))
-    stage = people.stage_voter_metrics(people.dim_voter(raw(spark, [voter("a")]), AS_OF), AS_OF)
-    rows = marts.cycle_counts(stage, cycles).collect()
+    rows = marts.cycle_counts(one_voter(spark, date(2020, 11, 3)), cycles).collect()
     assert sorted((r.election_year, r.estimated_voters) for r in rows) == [(2020, 1), (2021, 1)]
 
 
+def one_voter(spark, last_voted):
+    return people.stage_voter_metrics(people.dim_voter(raw(spark, [voter("a", last_voted_date=last_voted)]), AS_OF), AS_OF)
+
+
+@pytest.mark.parametrize("number", [62, 63, 64, 200])
+def test_any_number_of_cycles(spark, number):
+    cycles = [(year, "Presidential", date(year, 6, 1)) for year in range(1900, 1900 + number)]
+    stage = one_voter(spark, date(2022, 11, 8)).unionByName(one_voter(spark, date(1960, 6, 2)))
+    counts = {r.election_year: (r.eligible_voters, r.estimated_voters) for r in marts.cycle_counts(stage, cycles).collect()}
+    assert len(counts) == number
+    assert {y: c for y, c in counts.items() if c != ((2 if y >= 2000 else 0), 0)} == {}
+    assert marts.partisan_trends(stage, cycles).count() == max(0, 1900 + number - 2000)
+    voted = one_voter(spark, date(1900 + number - 1, 6, 30)).withColumn("registered_date", F.lit(date(1900, 1, 1)))
+    last = marts.cycle_counts(voted, cycles).orderBy(F.desc("election_year")).first()
+    assert (last.election_year, last.eligible_voters, last.estimated_voters) == (1900 + number - 1, 1, 1)
+
+
+def test_ranks_are_the_sorted_order(spark):
+    from ballotlake.operators.ranking import with_rank
+
+    rows = spark.range(5000).select("id", (F.col("id") * 7919 % 13).alias("score"))
+    order = [F.desc("score"), F.asc("id")]
+    ranked = with_rank(rows, order, "place")
+    text = ranked._jdf.queryExecution().executedPlan().toString()
+    assert ranked.orderBy("place").select("id").collect() == rows.orderBy(*order).select("id").collect()
+    assert [r.place for r in ranked.orderBy("place").collect()] == list(range(1, 5001))
+    assert "Exchange SinglePartition" not in text.split("BroadcastExchange")[0]
+    assert with_rank(rows.where("id < 0"), order, "place").count() == 0
+
+
 def test_ranks_break_ties_by_group(stage):
     rows = marts.targeting_opportunities(stage, AS_OF, True).collect()
     order = sorted(rows, key=lambda r: (-r.opportunity_score, -r.total_voters, r.state, r.age_group, r.gender, r.party))

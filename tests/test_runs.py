@@ -59,11 +59,57 @@ def test_files_to_marts_and_back_again(spark, tmp_path, database):
     assert (run.files, run.new_records, run.voter_count) == (1, 1, 11)
     pipeline.build_models(spark, database, DAY2, buckets=4)
     dim = {r.source_id: r for r in spark.table(f"{database}.dim_voter").collect()}
-    assert len(dim) == 11 and dim["1"].last_voted_date == date(2020, 11, 3)
+    assert len(dim) == 11 and dim["1"].last_voted_date is None
     assert dim["1"].last_modified_date == DAY2.date()
     assert spark.table(f"{database}.state_summary").agg(F.sum("total_registered_voters")).first()[0] == 11
 
 
+def test_the_fallback_watermark_and_what_a_run_reports(spark, tmp_path, database):
+    now = datetime.now()
+    write(tmp_path, "old.csv", *lines(VOTERS[:3]), mtime=now.timestamp() - 7200)
+    odd = ("12", "Odd", None, "x", None, "VT", "Democrat", "o@mail.test", "2020/01/02", "2020-02-30")
+    write(tmp_path, "new.csv", *lines([odd]), mtime=now.timestamp() - 1800)
+    since = datetime.fromtimestamp(now.timestamp() - 3600)
+    run = pipeline.load_voters(spark, str(tmp_path), database, now, fallback=since)
+    assert run == pipeline.Run(1, 1, 1, 1)
+    assert run.warnings == ("last_name: empty", "gender: empty") and run.unread_cells == 3
+    later = datetime.fromtimestamp(now.timestamp() + 60)
+    assert pipeline.load_voters(spark, str(tmp_path), database, later, fallback=since).files == 0
+
+
+def test_stored_records_are_not_moved_by_a_new_load(spark, tmp_path, database):
+    from ballotlake.operators.dedup import unseen_records
+
+    now = datetime.now()
+    write(tmp_path, "one.csv", *lines(VOTERS), mtime=now.timestamp() - 3600)
+    pipeline.load_voters(spark, str(tmp_path), database, now)
+    stored = spark.table(f"{database}.vote_records")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        known = [(r.record_hash,) for r in stored.limit(3).collect()]
+        fresh = unseen_records(spark.createDataFrame(known, "record_hash string"), stored)
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+        assert fresh.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scans = [k for k, line in enumerate(plan.split("\n")) if "Bucketed: true" in line]
+    above = plan.split("\n")[scans[0] - 4:scans[0]]
+    assert len(scans) == 1 and not any("Exchange" in line for line in above), "\n".join(above)
+
+
+def test_broken_civic_documents_fail_and_indented_ones_are_read(spark, tmp_path):
+    from ballotlake.sources.election_files import scan_civic_json
+
+    listed = {"elections": [{"id": str(k), "name": "Runoff", "electionDay": "2025-07-04"} for k in range(2)]}
+    (tmp_path / "good.json").write_text(json.dumps(listed, indent=2))
+    assert [r.id for r in scan_civic_json(spark, str(tmp_path / "good.json")).collect()] == ["0", "1"]
+    (tmp_path / "lines.json").write_text(json.dumps(listed) + "\n" + json.dumps(listed) + "\n")
+    assert scan_civic_json(spark, str(tmp_path / "lines.json"), one_per_line=True).count() == 4
+    (tmp_path / "bad.json").write_text('{"elections": [{"id": ')
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        scan_civic_json(spark, str(tmp_path / "bad.json")).collect()
+
+
 def test_truncate_replaces_the_table_by_the_new_files(spark, tmp_path, database):
     now = datetime.now()
     write(tmp_path, "one.csv", *lines(VOTERS), mtime=now.timestamp() - 3600)

@@ -51,7 +51,7 @@ def test_a_run_on_the_next_day_rewrites_valid_rows_and_keeps_the_others(spark):
     rows = VOTERS[1:] + [voter("1"), voter("1", age=99), voter("new")]
     second = by_id(people.dim_upsert(first, raw(spark, rows), tomorrow))
     assert set(second) == {v[0] for v in VOTERS} | {"new"}
-    assert second["1"].last_modified_date == AS_OF and second["1"].age == 45
+    assert second["1"].last_modified_date == AS_OF and second["1"].age == 18
     assert second["2"].last_modified_date == tomorrow
     assert second["new"].inserted_date == tomorrow
 
