@@ -62,7 +62,8 @@ SHARE = 4  # an article with a quarter of the text or more is taken as the conte
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|"
-    r"<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<rest2>[^>]*+)>",
+    r"<(?P<end>/?)(?P<name>[a-zA-Z][^\s/><]*+)(?P<rest>(?:[^><\"']++|\"[^\"]*+\"|'[^']*+')*+)>|"
+    r"<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/><]*+)(?P<rest2>[^><]*+)>",
     re.S,
 )
 _NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)

@@ -38,7 +38,8 @@ def test_defined_results():
     assert main_text(None) == main_text("") == main_text("<nav>x</nav>") == ""
     assert main_text("just  text") == "just text"
     assert main_text("<p>a < b and 3 > 2 &lt;tag&gt; &#233;&unknown;</p>") == "a < b and 3 > 2 <tag> é&unknown;"
-    assert main_text("<div" * 50_000) == "" or True
+    assert main_text("<div" * 50_000).startswith("<div<div")
+    assert main_text('<p title="a > b">x</p><p title=">y</p>') == "x\ny"
     assert len(main_text("<div>" * 20_000 + "deep" + "</div>" * 20_000)) == 4
     assert main_text("<article>" + "<p>w</p>" * 30_000 + "</article>").count("\n") == 29_999
     assert main_text("<body><p>x<!-- open") == "x"
