@@ -1,5 +1,7 @@
 from datetime import date
 
+from pyspark.sql import functions as F
+
 from ballotlake.plans import dashboards as D
 
 
@@ -43,7 +45,9 @@ def test_registration_years(spark):
 def test_table_views(spark):
     states = spark.createDataFrame([("A", 1), ("B", 2)], "state string, total_registered_voters long")
     assert [r.state for r in D.states_by_size(states).collect()] == ["B", "A"]
-    segments = spark.createDataFrame([("A", 1), ("B", 2)], "state string, total_voters long")
-    assert [r.state for r in D.segments_by_size(segments).collect()] == ["B", "A"]
-    stage = spark.createDataFrame([("a", None), ("b", date(2020, 1, 1))], "voter_id string, registered_date date")
-    assert [r.voter_id for r in D.stage_by_registration(stage).collect()] == ["b", "a"]
+    segments = spark.createDataFrame([("C", 1), ("B", 2), ("A", 1)], "state string, total_voters long")
+    segments = segments.withColumns({key: F.lit("x") for key in D.SNAPSHOT_KEYS[1:]})
+    assert [r.state for r in D.segments_by_size(segments).collect()] == ["B", "A", "C"]
+    stage = spark.createDataFrame(
+        [("a", None), ("c", date(2020, 1, 1)), ("b", date(2020, 1, 1))], "voter_id string, registered_date date")
+    assert [r.voter_id for r in D.stage_by_registration(stage).collect()] == ["b", "c", "a"]
