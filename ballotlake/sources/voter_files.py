@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from ..constants import CSV_MISSING, EMPTY_ROW_THRESHOLD, VOTER_COLUMNS
 from ..functions.literals import timestamp_literal
 from ..functions.voters import clean_text, missing_to_null, parse_age, parse_iso_date, strip_blanks
+from ..session import settled
 
 TEXT_COLUMNS = ("first_name", "last_name", "gender", "state", "party", "email")
 # Descriptions of up to so many files are sent to every task; more are joined by shuffling.
@@ -353,7 +354,7 @@ def read_voter_files(
     spark: SparkSession, paths: list[str], threshold: float = EMPTY_ROW_THRESHOLD
 ) -> DataFrame:
     """All-text voter rows of the files. Every file is checked first: one bad file rejects all."""
-    gate = file_quality_gate(spark, paths, threshold)
+    gate = settled(file_quality_gate(spark, paths, threshold))
     _reject(gate)
     lines = file_lines(spark.read.text([exact_path(path) for path in paths]))
     return voter_rows(lines, gate)
@@ -362,7 +363,7 @@ def read_voter_files(
 def read_voter_lines(lines: DataFrame, threshold: float = EMPTY_ROW_THRESHOLD) -> DataFrame:
     """The same for the lines of whole files, as a stream's batch brings them."""
     described = _recounted(lines.sparkSession, describe_files(lines))
-    gate = _gate_columns(described, threshold)
+    gate = settled(_gate_columns(described, threshold))
     _reject(gate)
     return voter_rows(lines, gate)
 
