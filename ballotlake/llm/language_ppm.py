@@ -126,7 +126,7 @@ def build(rows: list[tuple[str, int, int]], contexts: int = CONTEXTS) -> Model |
     bits = np.full((1, width, size), np.log2(width), np.float64)
     row_of = np.zeros(width**ORDER, np.int32)
     tables, made = [], 0
-    shorter_codes, shorter_first = np.zeros(1, np.int64), 0
+    shorter_codes = np.zeros(1, np.int64)
     for order in range(ORDER + 1):
         code = np.zeros(len(gram), np.int64)
         for back in range(order, 0, -1):
@@ -162,7 +162,7 @@ def build(rows: list[tuple[str, int, int]], contexts: int = CONTEXTS) -> Model |
         rows_here[kept] = np.arange(first, made)
         tail = row_of.reshape(-1, span)
         tail[:, rows_here >= 0] = rows_here[rows_here >= 0]
-        shorter_codes, shorter_first = kept, first
+        shorter_codes = kept
     flat = np.concatenate(tables).astype(np.float32)
     return Model(languages, symbol, row_of, np.ascontiguousarray(flat.reshape(-1, size)))
 

@@ -137,7 +137,7 @@ def rules() -> list[Rule]:
 
 @cache
 def by_keyword() -> dict[bytes, list[Rule]]:
-    """The rules a keyword calls for, base phrases' keywords included with no rule."""
+    """The rules that a keyword calls for."""
     found: dict[bytes, list[Rule]] = {}
     for rule in rules():
         for keyword in rule.keywords:
