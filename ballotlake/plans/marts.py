@@ -297,11 +297,6 @@ def _cycle_array(cycles: Sequence[tuple]) -> Column:
     )
 
 
-def election_cycles(spark, cycles: Sequence[tuple] = ELECTION_CYCLES) -> DataFrame:
-    """The election cycles as a table."""
-    return spark.range(1).select(F.inline(_cycle_array(cycles)))
-
-
 def voter_eligibility(
     stage: DataFrame, cycles: Sequence[tuple] = ELECTION_CYCLES, window: int = VOTE_WINDOW_DAYS
 ) -> DataFrame:
