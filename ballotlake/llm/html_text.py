@@ -6,8 +6,10 @@ class, and are left out before anything is measured. For every node the characte
 characters and link tags below it give its composite text density: characters per tag, adjusted by
 the share of links. The density sum of a node adds its children's densities. The node with the largest
 sum is the heart of the page; the smallest density on its path to the body is the threshold, and
-wherever a node reaches it, the subtree with the largest sum below it is taken as content. Inside an
-article or main element the whole element is taken, so no short paragraph of an article is lost.
+wherever a node reaches it, the subtree with the largest sum below it is taken as content. A taken node
+inside an article or main element is widened to that element, so no short paragraph of an article is
+lost. A heart that encloses articles whose density sums outweigh all else below it moves into the
+heaviest of them; a single word beside such an article is not taken.
 
 Defined results: null or empty html gives an empty text; unclosed and misplaced tags are closed as
 browsers do for paragraphs, items and cells; a page without a body is read as one; plain text without
@@ -58,7 +60,6 @@ CLOSES = {  # a start tag that ends open elements of these names, up to the near
     "option": ({"option"}, {"select"}),
 }
 KEEPERS = frozenset(("article", "main"))
-SHARE = 4  # an article with a quarter of the text or more is taken as the content
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|"
@@ -209,21 +210,33 @@ class _Page:
         """Nodes whose subtrees are the content."""
         density, total = self.densities()
         number = len(self.parent)
-        best = max(range(number), key=lambda n: (total[n], density[n], -n))
-        path, node = [], best
+        # The outermost article or main element around each node, and whether a node encloses one.
+        keeper, encloses = [-1] * number, [False] * number
+        for node in range(1, number):
+            up = self.parent[node]
+            if keeper[up] >= 0:
+                keeper[node] = keeper[up]
+            elif self.name[node] in KEEPERS and not self.out[node]:
+                keeper[node] = node
+        for node in range(number - 1, 0, -1):
+            encloses[self.parent[node]] |= encloses[node] or keeper[node] == node
+        heart = max(range(number), key=lambda n: (total[n], density[n], -n))
+        if keeper[heart] < 0 and encloses[heart]:
+            below, articles, rest = [False] * number, [], 0.0
+            for node in range(heart, number):
+                up = self.parent[node]
+                # Only nodes that enclose an article hand the search on to their children.
+                below[node] = node == heart or up >= 0 and below[up] and encloses[up] and keeper[up] < 0
+                if below[node] and keeper[node] == node:
+                    articles.append(node)
+                elif below[node] and not encloses[node]:
+                    rest += max(total[node], density[node])
+            if sum(max(total[n], density[n]) for n in articles) > rest:
+                heart = max(articles, key=lambda n: (total[n], density[n], -n))
+        path, node = [], heart
         while node >= 0:
             path.append(node)
             node = self.parent[node]
-        # An article or main element with a fair share of the text is the content, the whole of it.
-        within, keepers = [False] * number, []
-        for node in range(1, number):
-            up = self.parent[node]
-            within[node] = within[up] or self.name[up] in KEEPERS
-            if self.name[node] in KEEPERS and not self.out[node]:
-                keepers.append(node)
-        held = sum(self.chars[n] for n in keepers if not within[n])
-        if held * SHARE >= self.chars[0]:
-            return set(keepers)
         threshold = min(density[n] for n in path)
         # The largest density sum at or below each node, and where it is.
         peak = list(range(number))
@@ -231,17 +244,31 @@ class _Page:
             up = self.parent[node]
             if (total[peak[node]], -peak[node]) > (total[peak[up]], -peak[up]):
                 peak[up] = peak[node]
-        return {best} | {
+        on_path = set(path)
+        if keeper[heart] >= 0:
+            peak = [heart if node in on_path else peak[node] for node in range(number)]
+        chosen = {heart} | {
             peak[node] for node in range(number)
             if not self.out[node] and density[node] > 0 and density[node] >= threshold
         }
+        chosen = {keeper[node] if keeper[node] >= 0 else node for node in chosen}
+        if keeper[heart] >= 0:
+            beside = {node for node in chosen if keeper[node] < 0}
+            taken = self._below(beside)
+            if sum(len(text.split()) for node, _, text in self.texts if taken[node]) == 1:
+                chosen -= beside
+        return chosen
 
-    def main_text(self) -> str:
-        chosen = self.content()
+    def _below(self, chosen: set[int]) -> list[bool]:
+        """Whether a node is one of the chosen or below one."""
         taken = [False] * len(self.parent)
         for node in range(len(self.parent)):
             up = self.parent[node]
             taken[node] = not self.out[node] and (node in chosen or up >= 0 and taken[up])
+        return taken
+
+    def main_text(self) -> str:
+        taken = self._below(self.content())
         blocks: dict[int, list[str]] = {}
         for node, block, text in self.texts:
             if taken[node]:

@@ -34,6 +34,19 @@ def test_article_header_and_short_paragraphs_stay():
     assert main_text(page) == "Title\nA.\nB."
 
 
+def test_density_decides_beside_small_articles():
+    text = "".join(f"<p>Paragraph {k} tells at some length what this page is about, and goes on.</p>" for k in range(12))
+    plain = re.sub("<[^>]*>", "\n", text).split("\n")
+    cards = "".join(f"<article><h2>Card {k}</h2><p>Another story to be read elsewhere on this site, and it goes on there.</p></article>" for k in range(4))
+    for page in (f"<div>{cards}</div><div>{text}</div>", f"<div>{cards}</div>{text}", f"<div>{text}</div>{cards}"):
+        assert set(filter(None, plain)) <= set(main_text(f"<body>{page}</body>").split("\n"))
+    # Text beside an article stays where it reaches the threshold.
+    further = "<p>" + "Further words are told in one long paragraph. " * 12 + "</p>"
+    both = main_text(f"<body><article><h1>Title</h1>{text}</article>{further}</body>")
+    assert both.startswith("Title\n") and both.count("Paragraph") == 12 and both.count("Further") == 12
+    assert main_text(f"<body><ul><li><a href=/>Home page</a></li></ul><div>{text}</div></body>").split("\n") == list(filter(None, plain))
+
+
 def test_defined_results():
     assert main_text(None) == main_text("") == main_text("<nav>x</nav>") == ""
     assert main_text("just  text") == "just text"
