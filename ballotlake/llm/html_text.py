@@ -1,8 +1,11 @@
 """Main text of web pages by composite text density.
 
 A page becomes a tree of elements. Parts that are never article text (menus, page headers, footers,
-sidebars, notices, adverts, forms, scripts, styles, reader comments) are told by element, role and
-class, and are left out before anything is measured. For every node the characters, tags, link
+sidebars, notices, adverts, controls of forms, scripts, styles, reader comments) are told by element, role
+and class, and are left out before anything is measured. What is told by class, id or role alone stays
+if it encloses an article or main element (an article of a comment or advert does not count) or more than half of
+the page's text; menus, headers, footers and sidebars stay if they enclose a main element, or an article
+and more than half of the text. For every node the characters, tags, link
 characters and link tags below it give its composite text density: characters per tag, adjusted by
 the share of links. The density sum of a node adds its children's densities. The node with the largest
 sum is the heart of the page; the smallest density on its path to the body is the threshold, and
@@ -40,8 +43,10 @@ BLOCKS = frozenset(
 )
 NEVER = frozenset(
     "head script style noscript template iframe object embed svg math canvas audio video map nav footer aside "
-    "form button select textarea input label fieldset menu dialog title xmp noembed noframes".split()
+    "button select textarea input label legend menu dialog title xmp noembed noframes".split()
 )
+# Of these, the ones that a page may wrongly put around its article.
+AROUND = frozenset("nav footer aside header menu dialog label".split())
 NEVER_ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split()
 )
@@ -53,6 +58,8 @@ NEVER_NAMES = frozenset(
     "signup login share sharing social related recommended recommendations pagination pager "
     "comment comments commentlist disqus respond replies reply widget widgets toolbar skip hidden".split()
 )
+# Of these, the ones of an article that is not the page's own.
+OTHERS = frozenset("comment comments commentlist respond replies reply related recommended recommendations sponsored promo advert ad".split())
 CLOSES = {  # a start tag that ends open elements of these names, up to the nearest of the limits
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
     "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -60,6 +67,7 @@ CLOSES = {  # a start tag that ends open elements of these names, up to the near
     "option": ({"option"}, {"select"}),
 }
 KEEPERS = frozenset(("article", "main"))
+ALWAYS, BY_TAG, BY_NAME, OTHER = 1, 2, 3, 4  # how an element is left out; OTHER: an article that is not the page's own
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|"
@@ -71,29 +79,31 @@ _NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"(
 _PARTS = re.compile(r"[a-z]+")
 
 
-def _left_out(name: str, rest: str, inside: bool) -> bool:
-    """Whether the element is never article text; inside: within an article or main element."""
+def _left_out(name: str, rest: str, inside: bool) -> int:
+    """Whether the element is never article text: ALWAYS, or unless it holds the page's; inside: within an article or main element."""
     if name in NEVER or name == "header" and not inside:
-        return True
-    if not rest or name in ("html", "body") or name in KEEPERS:
-        return False
+        return BY_TAG if name in AROUND else ALWAYS
+    if not rest or name in ("html", "body"):
+        return 0
     for key, *values in _NAMED.findall(rest):
         key, value = key.lower(), "".join(values).lower()
-        if key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
+        if key == "hidden":
+            return 0 if name in KEEPERS else ALWAYS
+        if key == "aria-hidden" and value == "true":
+            return BY_NAME
         if key == "role":
             if value in NEVER_ROLES:
-                return True
-        elif any(part in NEVER_NAMES for part in _PARTS.findall(value)):
-            return True
-    return False
+                return BY_NAME
+        elif key != "aria-hidden" and not NEVER_NAMES.isdisjoint(parts := _PARTS.findall(value)):
+            return OTHER if name == "article" and not OTHERS.isdisjoint(parts) else BY_NAME
+    return 0
 
 
 class _Page:
     """The tree in lists: parent, element name; and the runs of text with their node and block."""
 
     def __init__(self, source: str):
-        self.parent, self.name, self.out = [-1], ["body"], [False]
+        self.parent, self.name, self.out, self.why = [-1], ["body"], [False], [0]
         self.texts: list[tuple[int, int, str]] = []
         self.block = 0
         stack, inside, at, raw = [0], 0, 0, None
@@ -133,7 +143,8 @@ class _Page:
             node = len(self.parent)
             self.parent.append(stack[-1])
             self.name.append(name)
-            self.out.append(self.out[stack[-1]] or _left_out(name, rest, inside > 0))
+            self.why.append(_left_out(name, rest, inside > 0))
+            self.out.append(self.out[stack[-1]] or self.why[node] == ALWAYS)
             if name in VOID or rest.endswith("/") and name not in BLOCKS and name not in RAW:
                 continue
             if name in RAW:
@@ -144,6 +155,28 @@ class _Page:
                 continue
             stack.append(node)
             inside += name in KEEPERS
+        self._leave_out()
+
+    def _leave_out(self) -> None:
+        """Leaves out what is told by name or element, unless it holds the article."""
+        number = len(self.parent)
+        chars, article, main = [0] * number, [False] * number, [False] * number
+        for node, _, text in self.texts:
+            chars[node] += sum(map(len, text.split()))
+        for node in range(number - 1, 0, -1):
+            up = self.parent[node]
+            chars[up] += chars[node]
+            own = chars[node] > 0 and self.why[node] != OTHER
+            article[up] |= article[node] or own and self.name[node] == "article"
+            main[up] |= main[node] or own and self.name[node] == "main"
+        for node in range(1, number):
+            most = 2 * chars[node] > chars[0]
+            if self.why[node] == BY_NAME and self.name[node] not in KEEPERS:
+                self.out[node] = not (article[node] or main[node] or most)
+            elif self.why[node] == BY_TAG:
+                self.out[node] |= not (main[node] or article[node] and most)
+            self.out[node] |= self.out[self.parent[node]]
+        self.texts = [found for found in self.texts if not self.out[found[0]]]
 
     def _implied(self, name: str, stack: list[int]) -> list[int]:
         """Pops what the start tag closes."""

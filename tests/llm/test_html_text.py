@@ -47,6 +47,28 @@ def test_density_decides_beside_small_articles():
     assert main_text(f"<body><ul><li><a href=/>Home page</a></li></ul><div>{text}</div></body>").split("\n") == list(filter(None, plain))
 
 
+def test_named_wrappers_of_the_page_stay():
+    text = "".join(f"<p>Paragraph {k} tells at some length what this page is about, and goes on.</p>" for k in range(12))
+    lines = [line for line in re.sub("<[^>]*>", "\n", text).split("\n") if line]
+    notice = '<div class="cookie">We use cookies.</div><div class="sidebar"><p>Other stories.</p></div>'
+    for opened, closed in (
+        ('<div class="layout has-sidebar">', "</div>"), ('<div id="page" class="no-ads">', "</div>"),
+        ('<div class="share-enabled">', "</div>"), ('<div role="dialog">', "</div>"), ("<form action=/>", "</form>"),
+        ("<form><fieldset>", "</fieldset></form>"), ("<label>", "</label>"), ("<nav>", ""),
+    ):
+        page = f"<body>{opened}{notice}<article>{text}</article>{closed}</body>"
+        assert main_text(page).split("\n") == lines, opened
+        page = f"<body>{opened}{notice}<main class='has-sidebar'>{text}</main>{closed}</body>"
+        assert main_text(page).split("\n") == lines, opened
+        page = f"<body>{opened}{notice}<div>{text}</div>{closed}</body>"
+        if "nav" not in opened and "label" not in opened:
+            assert main_text(page).split("\n") == lines, opened
+    comments = '<section id="comments"><article class="comment"><p>I do not agree.</p></article></section>'
+    assert main_text(f"<body><article>{text}</article>{comments}</body>").split("\n") == lines
+    form = "<form><p>Paragraph.</p><select><option>one</option></select><button>Send</button><textarea>no</textarea></form>"
+    assert main_text(f"<body>{form}</body>") == "Paragraph."
+
+
 def test_defined_results():
     assert main_text(None) == main_text("") == main_text("<nav>x</nav>") == ""
     assert main_text("just  text") == "just text"
