@@ -8,6 +8,8 @@ and are counted wherever they stand, overlaps included. The score is 1 - product
 labels, each with its best detection.
 
 The rules come from the families below and the statement forms: every name and version with every form.
+Identifiers and short names ("MIT", "PHP-3.01") have forms of their own, in which a license word stands beside them;
+names that mean other things as well ("Apache", "EPL") need a license word where they stand alone.
 
 Defined results: a null or empty text has no words, no labels and score 0; equal rows get equal rows;
 an empty table gives no rows. Further columns of the input are ignored, whatever their names.
@@ -56,6 +58,7 @@ FAMILIES = [
     ("odbl", r"(?:open database license|odbl)", {"1(?: 0)?": "-1"}, "open database|odbl"),
     ("cdla", r"community data license agreement(?: permissive| sharing)?", {"2(?: 0)?": "-2", "1(?: 0)?": "-1"}, "community data"),
     ("mit", r"(?:mit|expat)(?: x11)? license", {}, "mit license|x11 license|expat"),
+    ("mit-0", r"(?:mit 0|mit no attribution(?: license)?)", {}, "mit 0|mit no attribution"),
     ("isc", r"isc license", {}, "isc license"),
     ("zlib", r"zlib(?: libpng)?(?: license)", {}, "zlib"),
     ("bsd-4-clause", r"(?:bsd 4 clause|4 clause bsd|original bsd)(?: license)?", {}, "bsd"),
@@ -74,6 +77,22 @@ FAMILIES = [
     ("pddl", r"public domain dedication and license", {}, "public domain"),
     ("odc-by", r"open data commons attribution license", {}, "open data"),
 ]
+# Identifiers and short names that stand for a license only in a form that says so. Those of SOFTWARE are
+# also names of programs and need "licensed" or "released" before "under".
+SHORT = {
+    "cpl": ("cpl",), "artistic": ("artistic",), "boost": ("bsl", "boost 1"), "zpl": ("zpl",), "php": ("php 3",),
+    "python": ("psf", "python 2"), "cdla": ("cdla",), "mit": ("mit", "expat"), "isc": ("isc",), "zlib": ("zlib",), "bsd": ("bsd",),
+    "ms-pl": ("ms pl",), "ms-rl": ("ms rl",), "postgresql": ("postgresql",), "openssl": ("openssl",), "ncsa": ("ncsa",),
+    "x11": ("x11",), "pddl": ("pddl",), "odc-by": ("odc by",),
+}
+RARE = frozenset(("cpl", "zpl", "cdla", "ms-pl", "ms-rl", "ncsa", "pddl", "odc-by"))  # keywords by themselves
+SOFTWARE = frozenset(("php", "python", "zlib", "postgresql", "openssl", "x11", "boost"))
+# Families with a short name that means other things as well: standing alone, the name needs a license word.
+AMBIGUOUS = {
+    "apache": r"apache(?: software)? licen[sc]e", "gfdl": r"(?:gnu )?(?:free documentation license|gfdl)", "mpl": r"mozilla public license",
+    "epl": r"eclipse public license", "boost": r"boost software license", "ofl": r"(?:sil )?open font license",
+    "osl": r"open software license", "afl": r"academic free license",
+}
 # Parts of Creative Commons names, and their versions.
 CC_PARTS = {
     "by nc sa": r"(?:by nc sa|attribution non ?commercial share ?alike)",
@@ -92,6 +111,25 @@ FORMS = [
     (r"", r"(?: license)?(?: text| file| header| notice)", 0.7, 4),
     (r"", r"", 0.5, 5),
 ]
+UNDER = r" under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?"
+# Forms of short names, and of ambiguous ones: prefix, suffix, weight and priority.
+SHORT_FORMS = [
+    (r"spdx license identifier ", r"", 1.0, 1),
+    (rf"(?:licen[sc]ed|released)(?: to you)?{UNDER}", r"", 0.95, 2),
+    (r"licen[sc]es? (?:is |are )?(?:the )?", r"", 0.9, 3),
+    (r"", r" licen[sc]e[ds]?", 0.7, 5),
+]
+LOOSE = (rf"(?:distributed|available|published|provided|redistributed?){UNDER}", r"", 0.95, 2)
+# Further names of an expression; the span is the name's alone.
+FURTHER = [
+    (r"spdx license identifier (?:[^ ]+ ){1,12}?(?:or |and )(?P<at>", r")", 1.0, 1),
+    (rf"(?:licen[sc]ed|released|distributed|available|published|provided)(?: to you)?{UNDER}(?:[^ ]+ ){{1,6}}?(?:or |and )(?:the )?(?P<at>", r")", 0.9, 3),
+    (r"licen[sc]es? (?:[^ ]+ ){1,6}?(?:or |and )(?:the )?(?P<at>", r")", 0.7, 4),
+]
+# A full version with a license word at most six words away.
+NEAR = [(r"licen[sc][^ ]* (?:[^ ]+ ){0,6}?(?P<at>", r")", 0.5, 5), (r"(?P<at>", r")(?= (?:[^ ]+ ){0,6}?licen[sc])", 0.5, 5)]
+# The last words of the forms' prefixes; with a short name they are its keywords.
+ENDINGS = ("identifier", "under", "the", "of", "license", "licence", "licenses", "licences", "is", "are", "or", "and")
 # Statements without a license's name.
 PLAIN = [
     ("cc0", r"(?:cc0|creative commons zero)(?: 1 0)?(?: universal)?", 0.9, 2, "cc0|creative commons zero"),
@@ -114,6 +152,17 @@ class Rule:
         self.label, self.weight, self.priority = label, weight, priority
         self.keywords = tuple(keyword.encode().split(b"|"))
         self.regex = re.compile(rf"(?<![^ ]){pattern}(?![^ ])".encode())
+        self.part = self.regex.groupindex.get("at", 0)
+
+
+def _named(label: str, name: str, versions: dict[str, str], keyword: str, prefix: str, suffix: str, weight: float, priority: int) -> list[Rule]:
+    """One family in one form: its versions, then the bare name."""
+    made = []
+    for version, ending in versions.items():
+        # A first number alone is no version where another one follows: "2.4" is not 2.
+        version = version.replace("(?: 0)?", "(?: 0|(?! [0-9]{1,2}(?![^ ])))")
+        made.append(Rule(label + ending, rf"{prefix}{name}(?: licen[sc]e)?(?: (?:version|v))? v?{version}{suffix}", weight, priority, keyword))
+    return [*made, Rule(label, rf"{prefix}{name}{suffix}", weight * 0.9, priority, keyword)]
 
 
 @cache
@@ -128,9 +177,23 @@ def rules() -> list[Rule]:
                                  rf"{prefix}(?:cc|creative commons) {name}(?: international| unported)? {version}{suffix}", weight, priority, "cc by|creative commons"))
             made.append(Rule(label, rf"{prefix}(?:cc|creative commons) {name}{suffix}", weight, priority, "cc by|creative commons"))
         for label, name, versions, keyword in FAMILIES:
-            for version, ending in versions.items():
-                made.append(Rule(label + ending, rf"{prefix}{name}(?: license)?(?: (?:version|v))? v?{version}{suffix}", weight, priority, keyword))
-            made.append(Rule(label, rf"{prefix}{name}{suffix}", weight * 0.9, priority, keyword))
+            if label in AMBIGUOUS and not prefix:
+                name = AMBIGUOUS[label]
+            made += _named(label, name, versions, keyword, prefix, suffix, weight, priority)
+    for label, name, versions, keyword in FAMILIES:
+        short = SHORT.get(label, ())
+        if short:
+            # A name with a version in it stands before that version only.
+            name = "(?:" + "|".join(re.sub("^([a-z]+) ([0-9])$", r"\1(?= \2)", word) for word in short) + ")"
+            name += {"cdla": "(?: permissive| sharing)?", "pddl": "(?: 1 0)?", "odc-by": "(?: 1 0)?"}.get(label, "")
+            afters = ["licen", *dict.fromkeys(version[0] for version in versions)]
+            keyword = "|".join(short if label in RARE else [
+                *(f"{ending} {word}" for word in short for ending in ENDINGS), *(f"{word} {after}" for word in short for after in afters), *(word for word in short if word[-1].isdigit())])
+        for form in [*SHORT_FORMS, *FURTHER] + ([] if label in SOFTWARE else [LOOSE]):
+            made += _named(label, name, versions, keyword, *form)
+        if label in AMBIGUOUS:
+            for form in NEAR:
+                made += _named(label, name, {v.replace("(?: 0)?", " 0"): ending for v, ending in versions.items()}, keyword, *form)[:-1]
     made += [Rule(label, pattern, weight, priority, keyword) for label, pattern, weight, priority, keyword in PLAIN]
     return sorted(made, key=lambda rule: rule.priority)
 
@@ -183,7 +246,7 @@ def scan(text: bytes) -> tuple[int, int, int | None, int | None, str, str, float
             part = body[low:high]
             for rule in called:
                 for m in rule.regex.finditer(part):
-                    start, end = low + m.start(), low + m.end()
+                    start, end = (low + at for at in m.span(rule.part))
                     found[rule.priority, start - end, start, rule.label] = (start, end, rule)
     if not found and not places:
         return len(words), 0, None, None, "", "", 0.0, ""

@@ -54,6 +54,56 @@ def test_rules(text, labels):
     assert L.scan(text.encode())[5] == labels
 
 
+# family: SPDX identifier, its label, a full name
+NAMES = {
+    "apache": ("Apache-2.0", "apache-2", "Apache License"), "agpl": ("AGPL-3.0-only", "agpl-3", "GNU Affero General Public License"),
+    "lgpl": ("LGPL-2.1-or-later", "lgpl-2.1", "GNU Lesser General Public License"), "gpl": ("GPL-3.0-only", "gpl-3", "GNU General Public License"),
+    "gfdl": ("GFDL-1.3", "gfdl-1.3", "GNU Free Documentation License"), "mpl": ("MPL-2.0", "mpl-2", "Mozilla Public License"),
+    "epl": ("EPL-2.0", "epl-2", "Eclipse Public License"), "cddl": ("CDDL-1.1", "cddl-1.1", "Common Development and Distribution License"),
+    "cpl": ("CPL-1.0", "cpl-1", "Common Public License"), "eupl": ("EUPL-1.2", "eupl-1.2", "European Union Public Licence"),
+    "artistic": ("Artistic-2.0", "artistic-2", "Artistic License"), "boost": ("BSL-1.0", "boost-1", "Boost Software License"),
+    "ofl": ("OFL-1.1", "ofl-1.1", "SIL Open Font License"), "osl": ("OSL-3.0", "osl-3", "Open Software License"),
+    "afl": ("AFL-3.0", "afl-3", "Academic Free License"), "cecill": ("CECILL-2.1", "cecill-2.1", "CeCILL"),
+    "zpl": ("ZPL-2.1", "zpl-2.1", "Zope Public License"), "php": ("PHP-3.01", "php-3.01", "PHP License"),
+    "python": ("PSF-2.0", "python-2", "Python Software Foundation License"), "odbl": ("ODbL-1.0", "odbl-1", "Open Database License"),
+    "cdla": ("CDLA-Permissive-2.0", "cdla-2", "Community Data License Agreement Permissive"), "mit": ("MIT", "mit", "MIT License"),
+    "mit-0": ("MIT-0", "mit-0", "MIT No Attribution License"), "isc": ("ISC", "isc", "ISC License"), "zlib": ("Zlib", "zlib", "zlib License"),
+    "bsd-4-clause": ("BSD-4-Clause", "bsd-4-clause", "Original BSD License"), "bsd-3-clause": ("BSD-3-Clause", "bsd-3-clause", "New BSD License"),
+    "bsd-2-clause": ("BSD-2-Clause", "bsd-2-clause", "Simplified BSD License"), "0bsd": ("0BSD", "0bsd", "Zero-Clause BSD License"),
+    "bsd": ("BSD", "bsd", "BSD License"), "unlicense": ("Unlicense", "unlicense", "The Unlicense"), "wtfpl": ("WTFPL", "wtfpl", "WTFPL"),
+    "ms-pl": ("MS-PL", "ms-pl", "Microsoft Public License"), "ms-rl": ("MS-RL", "ms-rl", "Microsoft Reciprocal License"),
+    "postgresql": ("PostgreSQL", "postgresql", "PostgreSQL License"), "openssl": ("OpenSSL", "openssl", "OpenSSL License"),
+    "ncsa": ("NCSA", "ncsa", "University of Illinois/NCSA Open Source License"), "x11": ("X11", "x11", "X11 License"),
+    "pddl": ("PDDL-1.0", "pddl", "Public Domain Dedication and License"), "odc-by": ("ODC-By-1.0", "odc-by", "Open Data Commons Attribution License"),
+}
+
+
+@pytest.mark.parametrize("family", [family[0] for family in L.FAMILIES])
+def test_every_family_in_every_form(family):
+    spdx, label, name = NAMES[family]
+    for form in ("SPDX-License-Identifier: {}", "It is licensed under {}.", "Released under the {}", "License: {}", "{}-licensed code",
+                 "SPDX-License-Identifier: (JSON OR {})", "licensed under JSON or {}"):
+        assert L.scan(form.format(spdx).encode())[5] == label, form.format(spdx)
+    for form in ("SPDX-License-Identifier: {}", "Distributed under the terms of the {}", "subject to the {}", "{} text", "see the {}"):
+        assert L.scan(form.format(name).encode())[5] == family, form.format(name)
+
+
+@pytest.mark.parametrize("text", [
+    "An Apache helicopter landed", "the Apache 2.4 server", "Apache 2.0 was slow", "scored in the EPL", "EPL 2-0", "an AFL final", "mpl and osl",
+    "he went home mit dem Hut", "php 3 and zlib", "available under X11", "boost 1 file", "Apache file", "MIT engineers",
+])
+def test_names_of_other_things(text):
+    assert L.scan(text.encode())[5:7] == ("", 0.0)
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("SPDX-License-Identifier: MIT OR Apache-2.0", "apache-2,mit"), ("license = MIT/Apache-2.0", "apache-2,mit"),
+    ("Licensed under the Apache 2.0 license", "apache-2"), ("MIT-licensed", "mit"), ("licensed under MIT", "mit"), ("under Apache 2.4", ""),
+])
+def test_short_statements(text, labels):
+    assert L.scan(text.encode())[5] == labels
+
+
 def test_containment_and_hundreds_of_rules():
     assert len(L.rules()) > 300
     spans = L.scan(b"licensed under the apache license, version 2.0")[7]
