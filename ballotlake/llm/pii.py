@@ -2,7 +2,7 @@
 
 Base spans are e-mail addresses, IPv4 addresses, card numbers and phone numbers, found leftmost and without
 overlaps per kind; positions follow from the lengths of what stands between the matches. A value found
-is a protected entity. The words around its mentions are the terms that may disclose it: from the
+is a protected entity. The words around its mentions, numbers and short ones included, are the terms that may disclose it: from the
 co-occurrence in these contexts and the words of the whole corpus, a term's disclosure of an entity is
 the share of the entity's information that the term carries,
 
@@ -139,7 +139,7 @@ def contexts(spans: DataFrame) -> DataFrame:
     return spans.select(
         "doc_id", "_key", F.xxhash64("kind", "value").alias("entity"), F.xxhash64("before", "after").alias("place"),
         F.explode(F.concat(left, right)).alias("t"),
-    ).filter(F.col("t.term").rlike(r"\p{L}{3}")).select(
+    ).select(
         "doc_id", "_key", "entity", "place", F.xxhash64(common.lower_ascii(F.col("t.term"))).alias("term"),
         F.col("t.low").cast("long").alias("start"), F.col("t.high").cast("long").alias("end"))
 

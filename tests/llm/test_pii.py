@@ -92,6 +92,16 @@ def test_disclosing_terms(spark):
     assert clean[10] == texts[10]
 
 
+def test_numbers_and_short_names_disclose(spark):
+    filler = "plain common words stand here and there"
+    texts = [f"{filler} Bo order A12B9 customer 40417 writes to secret@mail.org about rain {k} {filler}" for k in range(6)]
+    texts += [f"{filler} order and customer writes to about rain"] * 60
+    docs = spark.createDataFrame([(k, t, None, "s") for k, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string")
+    clean = {r.doc_id: r.text for r in pii.sanitised(docs).collect()}
+    assert not any(term in clean[0] for term in ("Bo ", "A12B9", "40417", "secret")) and "order" in clean[0]
+
+
 def test_edge_cases(spark):
     docs = spark.createDataFrame(
         [(None, "me@x.org", None, None), (None, None, None, None), (1, "", "en", "s"), (1, "", "en", "s"),
