@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ballotlake.llm import decontaminate, line_spread, mixing, quality_rules, suffix_dedup
+from ballotlake.llm import ball_tree, decontaminate, line_spread, mixing, quality_rules, suffix_dedup
 
 # A line with a word on enough sites stays in the document with the smallest doc_id only.
 LINE_SPREAD = f"""
@@ -220,10 +220,46 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from stats left join broken using (row)
 """
 
+# Every document's score for every item, from the words of all documents.
+LEXICAL_SEARCH = f"""
+with tokens as (
+  select doc_id, row_number() over () as row, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') as words
+  from documents
+),
+totals as (select count(*)::bigint as docs, sum(len(words))::bigint as length from tokens where len(words) > 0),
+asked as (
+  select distinct item_id, unnest(list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')) as term
+  from benchmark
+),
+counts as (
+  select row, any_value(doc_id) as doc_id, any_value(n) as n, term, count(*)::bigint as tf
+  from (select row, doc_id, len(words)::bigint as n, unnest(words) as term from tokens)
+  where term in (select term from asked) group by row, term
+),
+weighted as (
+  select term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::bigint as w
+  from counts, totals group by term, docs
+),
+parts as (
+  select row, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // length))) as part
+  from counts join weighted using (term), totals
+),
+scores as (
+  select item_id, doc_id, sum(part)::bigint as score
+  from asked join parts using (term) group by item_id, row, doc_id having sum(part) > 0
+)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id nulls last)::int as rank, doc_id, score
+from scores
+qualify row_number() over (partition by item_id order by score desc, doc_id nulls last) <= {ball_tree.BEST}
+"""
+
 SQL = {
     "op2_quality_rules": QUALITY,
     "op4_suffix_dedup": SUFFIX_DEDUP,
     "op3_prefix_decontamination": DECONTAMINATION,
     "op9_golden_mix": MIXING,
     "op10_line_spread": LINE_SPREAD,
+    "op11_ball_tree_search": LEXICAL_SEARCH,
 }

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from ballotlake.llm import (
+    ball_tree,
+    byte_bpe,
     decontaminate,
     html_text,
     language_ppm,
@@ -13,6 +15,7 @@ from ballotlake.llm import (
     quality_rules,
     simhash_pivots,
     suffix_dedup,
+    whitening,
 )
 
 QUERIES = {
@@ -26,4 +29,7 @@ QUERIES = {
     "op8_language_ppm": language_ppm.query,
     "op9_golden_mix": mixing.query,
     "op10_line_spread": line_spread.query,
+    "op11_ball_tree_search": ball_tree.query,
+    "op12_byte_bpe": byte_bpe.query,
+    "op13_whitening": whitening.query,
 }
