@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,27 +13,56 @@ from ..schemas import Contract
 from .quality import ContractError, check_columns, enforce_contract
 
 
+# Behind the name of files that are about to be replaced.
+ASIDE = ".before"
+
+
 def csv_sink(df: DataFrame, path: str) -> bool:
     """Write the rows as CSV files with a header; an empty dataset is refused (False).
 
     The rows are counted while they are written beside ``path`` and take its place after that, so
-    they are computed once and a refused dataset leaves what was there.
+    they are computed once and a refused dataset leaves what was there. The old files stand aside until
+    the new ones are in place; ``latest_csv`` finds them there if the job is lost between the two steps.
     """
     spark = df.sparkSession
     seen = Observation("csv")
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.{uuid.uuid4().hex}")
+    plain = path.rstrip("/")
+    target, beside, aside = (
+        spark._jvm.org.apache.hadoop.fs.Path(name) for name in (plain, f"{plain}.{uuid.uuid4().hex}", plain + ASIDE)
+    )
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     counted.write.option("header", "true").option("escape", '"').csv(beside.toString())
     files = target.getFileSystem(spark._jsc.hadoopConfiguration())
     if not seen.get["rows"]:
         files.delete(beside, True)
         return False
-    files.delete(target, True)
-    files.rename(beside, target)
+    if files.exists(target):
+        # What stands aside is older than the target, and not needed beside it.
+        files.delete(aside, True)
+        _rename(files, target, aside)
+    try:
+        _rename(files, beside, target)
+    except OSError:
+        if files.exists(aside):
+            files.rename(aside, target)
+        raise
+    files.delete(aside, True)
     return True
 
 
+def _rename(files: JavaObject, source: JavaObject, target: JavaObject) -> None:
+    if not files.rename(source, target):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def latest_csv(spark: SparkSession, path: str) -> str:
+    """Where the files last written to ``path`` are: there, or aside if a later write was cut off."""
+    plain = path.rstrip("/")
+    here, aside = (spark._jvm.org.apache.hadoop.fs.Path(name) for name in (plain, plain + ASIDE))
+    files = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    return plain + ASIDE if files.exists(aside) and not files.exists(here) else path
+
+
 def save_table(df: DataFrame, name: str, key: str | None = None, buckets: int | None = None) -> DataFrame:
     """Write a table; with ``key`` it is bucketed, so later joins and counts by key need no shuffle.
 

@@ -4,17 +4,47 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..constants import VOTER_COLUMNS
 from ..functions.literals import latest_moment, timestamp_literal
 from ..functions.voters import record_hash
 from ..operators.dedup import unseen_records
 from ..schemas import RAW_VOTERS, RUN_METADATA
+from ..session import remove_dir, shared_dir
+from ..sources.voter_files import TEXT_COLUMNS, clean_voters, schema_check, unread_cells
 
 IDENTITY = ("source_id", "first_name", "last_name", "email")
 
 
+class Staged:
+    """Voter rows cut, cleaned and written once to the shared folder, and what was found on the way.
+
+    ``warnings`` names text columns without any value, ``unread_cells`` counts cells that said something
+    but could not be read. As a context it removes the folder at its end.
+    """
+
+    def __init__(self, text: DataFrame) -> None:
+        self._spark = text.sparkSession
+        self._folder = shared_dir(self._spark, "staged-voters")
+        seen = Observation("staged")
+        cleaned = clean_voters(text.withColumn("_text", F.struct(*VOTER_COLUMNS)))
+        lost = unread_cells({c: F.col("_text")[c] for c in VOTER_COLUMNS}, {c: F.col(c) for c in VOTER_COLUMNS})
+        counted = cleaned.withColumn("_lost", lost).observe(seen, F.sum("_lost").alias("lost"))
+        counted.drop("_text", "_lost").write.parquet(self._folder)
+        self.rows = self._spark.read.parquet(self._folder)
+        self.unread_cells = seen.get["lost"] or 0
+        notes = schema_check(self.rows.select(*VOTER_COLUMNS), text=TEXT_COLUMNS).where("note IS NOT NULL").collect()
+        self.warnings = tuple(f"{row.column_name}: {row.note}" for row in notes)
+
+    def __enter__(self) -> Staged:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        remove_dir(self._spark, self._folder)
+
+
 def raw_records(cleaned: DataFrame, as_of: datetime) -> DataFrame:
     """Cleaned voter rows in the raw table's columns; ``file_order`` is kept when present."""
     rows = cleaned.withColumnRenamed("id", "source_id")

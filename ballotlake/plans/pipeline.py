@@ -12,18 +12,9 @@ from .. import schemas
 from ..operators.quality import run_checks
 from ..operators.sinks import csv_sink, current, publish
 from ..sources.election_files import load_seed, scan_civic_json, scan_results_tsv
-from ..constants import VOTER_COLUMNS
-from ..session import shared_dir
-from ..sources.voter_files import (
-    TEXT_COLUMNS,
-    clean_voters,
-    new_file_paths,
-    read_voter_files,
-    schema_check,
-    unread_cells,
-)
+from ..sources.voter_files import new_file_paths, read_voter_files
 from . import calendars, checks, marts
-from .ingest import ingest_metrics, ingest_voters, last_watermark, run_metadata
+from .ingest import Staged, ingest_metrics, ingest_voters, last_watermark, run_metadata
 from .voters import dim_upsert, stage_upsert
 
 # Names may be missing in the dimension: no rule drops such voters. The check report tells.
@@ -43,17 +34,6 @@ class Run:
     unread_cells: int = field(default=0, compare=False)
 
 
-def _staged(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, int]:
-    """The files' rows, cut, cleaned and written once, and how many cells could not be read."""
-    text = read_voter_files(spark, paths).withColumn("_text", F.struct(*VOTER_COLUMNS))
-    cleaned = clean_voters(text)
-    seen = Observation("staged")
-    lost = unread_cells({c: F.col("_text")[c] for c in VOTER_COLUMNS}, {c: F.col(c) for c in VOTER_COLUMNS})
-    folder = shared_dir(spark, "staged-voters")
-    cleaned.withColumn("_lost", lost).observe(seen, F.sum("_lost").alias("lost")).drop("_text", "_lost").write.parquet(folder)
-    return spark.read.parquet(folder), seen.get["lost"] or 0
-
-
 def load_voters(
     spark: SparkSession,
     folder: str,
@@ -79,25 +59,24 @@ def load_voters(
         if truncate and spark.catalog.tableExists(raw_name):
             spark.sql(f"TRUNCATE TABLE {raw_name}")
         return Run(0, 0, 0, 0)
-    rows, lost = _staged(spark, paths)
-    notes = schema_check(rows.select(*VOTER_COLUMNS), text=TEXT_COLUMNS).where("note IS NOT NULL").collect()
-    existing = None if truncate else current(spark, raw_name)
     seen = Observation("ingest")
-    added = ingest_voters(rows, as_of, existing, truncate).observe(
-        seen, F.count(F.lit(1)).alias("rows")
-    )
-    # Together by key for the buckets; a frequent key's rows may still be split over tasks.
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    writer = added.hint("rebalance", F.col("record_hash")).write.mode("overwrite" if truncate else "append")
-    writer.format("parquet").bucketBy(buckets, "record_hash").sortBy("record_hash").saveAsTable(raw_name)
+    with Staged(read_voter_files(spark, paths)) as staged:
+        existing = None if truncate else current(spark, raw_name)
+        added = ingest_voters(staged.rows, as_of, existing, truncate).observe(
+            seen, F.count(F.lit(1)).alias("rows")
+        )
+        # Together by key for the buckets; a frequent key's rows may still be split over tasks.
+        writer = added.hint("rebalance", F.col("record_hash")).write.mode("overwrite" if truncate else "append")
+        writer.format("parquet").bucketBy(buckets, "record_hash").sortBy("record_hash").saveAsTable(raw_name)
     metrics = ingest_metrics(spark.table(raw_name))
     records = seen.get["rows"]
     publish(
         spark, run_metadata(metadata, metrics, as_of, len(paths), records), meta_name, schemas.RUN_METADATA
     )
     stats = spark.table(meta_name).first()
-    warnings = tuple(f"{row.column_name}: {row.note}" for row in notes)
-    return Run(len(paths), records, stats.voter_count, stats.state_count, warnings, lost)
+    return Run(
+        len(paths), records, stats.voter_count, stats.state_count, staged.warnings, staged.unread_cells)
 
 
 def build_models(

@@ -58,6 +58,12 @@ def shared_dir(spark: SparkSession, prefix: str) -> str:
     return f"{shared_base(spark)}/{prefix}-{uuid.uuid4().hex}"
 
 
+def remove_dir(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of intermediate files, wherever it lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """The rows computed once and written to the shared folder, their lineage cut."""
     spark = df.sparkSession

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.sinks import latest_csv
 from ..schemas import CIVIC_FILE, RESULTS_FILE, Contract
 
 
@@ -69,7 +70,7 @@ def read_seed(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
         .option("header", "true")
         .option("escape", '"')
         .option("mode", "FAILFAST")
-        .csv(path)
+        .csv(latest_csv(spark, path))
     )
 
 

@@ -1,9 +1,14 @@
 """Voter CSV files: listing, quality gate, schema check and scan.
 
 A file is described by its header, so every line needs its own file's column order. Files are
-read as lines: one aggregated pass describes each file (header, rows, all-empty rows), and a second
-one cuts the lines into cells and puts them in order by that description. Batch runs and streams
-share both. Only files with line breaks inside quotes are read whole, by Spark's CSV reader.
+read as lines, and so by as many tasks as they are large: one aggregated pass describes each file
+(header, rows, all-empty rows), and a second one cuts the lines into cells and puts them in order by that
+description. Batch runs and streams share both.
+
+Where quotes span lines, lines are first joined into records. What a line does to "inside quotes or not"
+is a function of that state; the functions are composed along each block of the file, then over the
+blocks (a row each), which gives the state before every line. Only the lines of broken records move
+to be joined.
 """
 
 from __future__ import annotations
@@ -14,9 +19,8 @@ from datetime import datetime
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..constants import CSV_MISSING, EMPTY_ROW_THRESHOLD, VOTER_COLUMNS
 from ..functions.literals import timestamp_literal
@@ -31,18 +35,9 @@ BROADCAST_FILES = 100_000
 CELL = r',[ \t]*+("(?:[^"]++|"")*+"(?=,|$)|[^,]*+)'
 QUOTED = r'"(?:[^"]++|"")*+"'
 
-CSV_OPTIONS = {
-    "ignoreLeadingWhiteSpace": "true",
-    "quote": '"',
-    "escape": '"',
-    "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": "_malformed",
-    # A line's length is only seen when all its cells are parsed.
-    "columnPruning": "false",
-    "encoding": "UTF-8",
-    "maxColumns": "1000000",
-    "maxCharsPerColumn": "-1",
-}
+# A cell that ends in its line, whatever follows its quotes, and one whose quotes stay open.
+CLOSED = r'[ \t]*+(?:"(?:[^"]++|"")*+"[^,]*+|(?!")[^,]*+)'
+OPEN = r'[ \t]*+"(?:[^"]++|"")*+'
 
 
 class RejectedFiles(ValueError):
@@ -88,7 +83,7 @@ def scan_new_files(spark: SparkSession, folder: str, since: datetime | None = No
 
 # --- lines ---------------------------------------------------------------------------------------
 def file_lines(text: DataFrame) -> DataFrame:
-    """Every line that is not blank, with its file and its block of the file, from a text source."""
+    """Every line, with its file and its block of the file, from a text source."""
     return text.select(
         _plain(_address()).alias("file_uri"),
         # The name is percent-encoded, where a plus is a plus.
@@ -96,7 +91,12 @@ def file_lines(text: DataFrame) -> DataFrame:
         F.col("_metadata.file_modification_time").alias("modified_at"),
         F.col("_metadata.file_block_start").alias("block"),
         "value",
-    ).where(F.trim("value") != "")
+    )
+
+
+def _said(units: DataFrame) -> DataFrame:
+    """Lines or records that are not blank."""
+    return units.where(F.trim("value") != "")
 
 
 def _placed(lines: DataFrame) -> DataFrame:
@@ -115,12 +115,6 @@ def cells_of(line: Column) -> Column:
     return F.transform(cells, plain)
 
 
-def _commas(line: Column) -> Column:
-    """Commas of a CSV record that lie outside quotes."""
-    unquoted = F.regexp_replace(line, QUOTED, "")
-    return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
-
-
 def _all_missing(line: Column) -> Column:
     """Whether every cell of a CSV line is a text that means "missing"."""
     words = "|".join(re.escape(word) for word in CSV_MISSING if word)
@@ -128,26 +122,31 @@ def _all_missing(line: Column) -> Column:
     return line.rlike(f"^(?:{cell},)*+{cell}$")
 
 
-def _broken(line: Column) -> Column:
-    """Whether a quote of the line stays open: the record goes on in the next one."""
-    return F.length(F.replace(line, F.lit('"'), F.lit(""))) % 2 != F.length(line) % 2
+def _opens(line: Column) -> Column:
+    """Whether a line that begins outside quotes ends inside."""
+    return F.contains(line, F.lit('"')) & line.rlike(rf"^(?:{CLOSED},)*+{OPEN}\z")
+
+
+def _stays(line: Column) -> Column:
+    """Whether a line that begins inside quotes ends inside."""
+    inside = rf'^(?:[^"]++|"")*+(?:"[^,]*+,(?:{CLOSED},)*+{OPEN})?+\z'
+    return ~F.contains(line, F.lit('"')) | line.rlike(inside)
 
 
-def describe_files(lines: DataFrame) -> DataFrame:
-    """One row per file that has lines: its header and where that stands, data rows, all-empty rows.
+def _described(units: DataFrame) -> DataFrame:
+    """One row per file from its lines or records: its header and where that stands, data rows, all-empty rows.
 
-    The header is the line that comes first in the file. Finding it and counting are one
-    partially aggregated pass, so a single huge file is no bottleneck. Counts of files with
-    broken lines (``quoted``) are those of their lines.
+    The header comes first in the file. Finding it and counting are one partially aggregated pass, so a
+    single huge file is no bottleneck. ``quoted`` tells whether quotes span lines.
     """
     seen = (
-        _placed(lines).withColumn("empty", _all_missing(F.col("value")).cast("int"))
+        _said(units).withColumn("empty", _all_missing(F.col("value")).cast("int"))
         .groupBy("file_uri", "source_file", "modified_at")
         .agg(
             F.min_by(F.struct("value", "empty", "place"), "place").alias("first"),
             F.count(F.lit(1)).alias("n_lines"),
             F.sum("empty").alias("n_empty"),
-            F.coalesce(F.max(_broken(F.col("value"))), F.lit(False)).alias("quoted"),
+            F.coalesce(F.max(_opens(F.col("value"))), F.lit(False)).alias("quoted"),
         )
     )
     header = cells_of(F.regexp_replace("first.value", "^﻿", ""))
@@ -160,42 +159,87 @@ def describe_files(lines: DataFrame) -> DataFrame:
     )
 
 
-# --- files with broken lines ---------------------------------------------------------------------
-def _whole_records(spark: SparkSession, files: list) -> DataFrame:
-    """file_uri and cells of every record of files with line breaks inside quotes.
+def _for_tasks(files: DataFrame) -> DataFrame:
+    """Rows of files as one side of a join: sent to every task while they are few."""
+    return F.broadcast(files) if files.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES else files
 
-    Such a file cannot be split, so it is read by one task. Files of one width are read together.
+
+# --- records of several lines --------------------------------------------------------------------
+def _state(fixed: Column, turns: Column, start: Column) -> Column:
+    """Inside quotes (1) or not (0): after the last line that fixes it, or at the start, turned so often."""
+    return (F.coalesce(fixed, start) + turns) % 2
+
+
+def whole_records(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """The records of the named files from their placed lines: a record has its first line's place.
+
+    The lines of a block of a file come together, which is how they were read; of a record that goes on
+    over lines, only those lines move again. A file of any size is many tasks' work.
     """
-    parts = []
-    for width in sorted({len(row.header) for row in files}):
-        paths = [exact_path(unquote(row.file_uri)) for row in files if len(row.header) == width]
-        names = [f"c{i}" for i in range(width)]
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_malformed"]])
-        rows = (
-            spark.read.schema(schema).options(**CSV_OPTIONS)
-            .option("header", "true").option("multiLine", "true").csv(paths)
-        )
-        # A reader may not look at the malformed record alone, so a cell stands in where it is null.
-        record = F.coalesce(F.col("_malformed"), F.col(names[0]))
-        over_long = F.coalesce(F.col("_malformed").isNotNull() & (_commas(record) >= width), F.lit(False))
-        parts.append(rows.where(~over_long).select(_plain(_address()).alias("file_uri"), F.array(*names).alias("cells")))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _recounted(spark: SparkSession, described: DataFrame) -> DataFrame:
-    """The descriptions with the counts of records where lines are broken."""
-    broken = described.where("quoted").select("file_uri", "header").collect()
-    if not broken:
-        return described
-    missing = F.array(*[F.lit(word) for word in CSV_MISSING])
-    empty = F.forall("cells", lambda cell: cell.isNull() | F.array_contains(missing, cell))
-    counts = _whole_records(spark, broken).groupBy("file_uri").agg(
-        F.count(F.lit(1)).alias("records"), F.count_if(empty).alias("empty_records"))
-    joined = described.join(counts, "file_uri", "left")
-    return joined.withColumns({
-        "total_rows": F.when(F.col("quoted"), F.coalesce("records", F.lit(0))).otherwise(F.col("total_rows")),
-        "error_rows": F.when(F.col("quoted"), F.coalesce("empty_records", F.lit(0))).otherwise(F.col("error_rows")),
-    }).drop("records", "empty_records")
+    of = ["file_uri", "source_file", "modified_at"]
+    block = Window.partitionBy("file_uri", "block").orderBy("place")
+    here, above = block.rowsBetween(Window.unboundedPreceding, 0), block.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("file_uri").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    upto = earlier.rowsBetween(Window.unboundedPreceding, 0)
+    opens, stays = _opens(F.col("value")).cast("int"), _stays(F.col("value")).cast("int")
+    # A line turns the state around, leaves it, or fixes it: a fixed one is kept less the turns so far.
+    marked = (
+        lines.join(_for_tasks(files.select("file_uri")), "file_uri", "left_semi")
+        .select(*of, "block", "place", "value", opens.alias("opens"), stays.alias("stays"))
+        .withColumn("turn", (F.col("opens") > F.col("stays")).cast("int"))
+        .withColumn("turns", F.sum("turn").over(here))
+        .withColumn("own", F.when(F.col("opens") == F.col("stays"), (F.col("opens") + F.col("turns")) % 2))
+        .withColumn("fixed", F.last("own", ignorenulls=True).over(here))
+        .withColumn("fixed_above", F.last("own", ignorenulls=True).over(above))
+    )
+    ends = marked.groupBy("file_uri", "block").agg(
+        F.max_by("fixed", "place").alias("fixed"), F.max("turns").alias("turns"))
+    total = F.sum("turns").over(upto)
+    starts = (
+        ends.withColumn("fixed", (F.col("fixed") + F.col("turns") + total) % 2)
+        .select(
+            "file_uri", "block",
+            _state(F.last("fixed", ignorenulls=True).over(earlier), F.coalesce(F.sum("turns").over(earlier), F.lit(0)),
+                   F.lit(0)).alias("start"))
+    )
+    keys = ["file_uri", "block"]
+    known = marked.join(starts, keys).select(
+        *of, "block", "place", "value",
+        _state(F.col("fixed_above"), F.col("turns") - F.col("turn"), F.col("start")).alias("before"),
+        _state(F.col("fixed"), F.col("turns"), F.col("start")).alias("after"),
+    ).withColumn("first", F.when(F.col("before") == 0, F.col("place")))
+    single = known.where("before = 0 AND after = 0").select(*of, "place", "value")
+    # Lines of broken records; those at the head of a block go on with a record of an earlier one.
+    broken = known.where("before = 1 OR after = 1").withColumn("first", F.max("first").over(here))
+    heads = broken.groupBy(*keys).agg(F.max("first").alias("first")).select(
+        *keys, F.max("first").over(earlier).alias("_carried"))
+    parts = broken.join(heads, keys).withColumn("first", F.coalesce("first", "_carried"))
+    joined = parts.groupBy(*of, "first").agg(F.sort_array(F.collect_list(F.struct("place", "value"))).alias("parts"))
+    joined = joined.select(*of, F.col("first").alias("place"), F.array_join("parts.value", "\n").alias("value"))
+    return _said(single.unionByName(joined))
+
+
+def survey(lines: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """A row per file that has lines, settled, and the records of the files in which quotes span lines.
+
+    Such files are counted by records, without those that have too many cells.
+    """
+    placed = _placed(lines)
+    described = settled(_described(placed))
+    broken = described.where("quoted").select("file_uri")
+    if broken.isEmpty():
+        return described, None
+    records = settled(whole_records(placed, broken))
+    recounted = _described(records).withColumn("quoted", F.lit(True)).drop("total_rows", "error_rows")
+    cells = F.size(cells_of(F.col("value")))
+    counts = (
+        records.join(_for_tasks(recounted.select("file_uri", "header", "header_place")), "file_uri")
+        .where((F.col("place") != F.col("header_place")) & (cells <= F.size("header")))
+        .groupBy("file_uri")
+        .agg(F.count(F.lit(1)).alias("total_rows"), F.count_if(_all_missing(F.col("value"))).alias("error_rows"))
+    )
+    recounted = recounted.join(counts, "file_uri", "left").fillna(0, ["total_rows", "error_rows"])
+    return settled(described.where("NOT quoted").unionByName(recounted)), records
 
 
 # --- gate ----------------------------------------------------------------------------------------
@@ -233,7 +277,11 @@ def file_quality_gate(
 ) -> DataFrame:
     """One row per file, those of no bytes included: header, row counts and whether it may be loaded."""
     exact = [exact_path(path) for path in paths]
-    described = _recounted(spark, describe_files(file_lines(spark.read.text(exact)))).drop("source_file", "modified_at")
+    return _gate(spark, exact, survey(file_lines(spark.read.text(exact)))[0], threshold)
+
+
+def _gate(spark: SparkSession, exact: list[str], described: DataFrame, threshold: float) -> DataFrame:
+    described = described.drop("source_file", "modified_at")
     listing = _listing(spark, exact)
     # The listing names every file, its rows only those with content.
     names = [
@@ -313,33 +361,31 @@ def unread_cells(text: dict[str, Column], cleaned: dict[str, Column]) -> Column:
     return F.coalesce(reduce(lambda a, b: a + b, lost), F.lit(0))
 
 
-def voter_rows(lines: DataFrame, files: DataFrame) -> DataFrame:
-    """All-text voter rows of the lines by their files' descriptions.
+def voter_rows(
+    lines: DataFrame, files: DataFrame, records: DataFrame | None = None, columns: Iterable[str] = VOTER_COLUMNS
+) -> DataFrame:
+    """All-text voter rows of the lines by their files' descriptions; of quoted files, of the records.
 
     Short lines are padded with nulls, over-long lines dropped. Of columns that share a name the
     first one counts. ``file_order`` sorts the rows by the age of their file.
     """
-    files = files.select(
+    columns = list(columns)
+    files = _for_tasks(files.select(
         "file_uri", "header", "header_place", "quoted",
-        F.array(*[F.array_position("header", F.lit(c)).cast("int") - 1 for c in VOTER_COLUMNS]).alias("positions"),
-    )
-    if files.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES:
-        files = F.broadcast(files)
-    spark = lines.sparkSession
+        F.array(*[F.array_position("header", F.lit(c)).cast("int") - 1 for c in columns]).alias("positions"),
+    ))
+    names = ["file_uri", "source_file", "modified_at", "place", "value"]
+    units = _said(_placed(lines)).select(*names).join(files, "file_uri").where(~F.col("quoted"))
+    if records is not None:
+        units = units.unionByName(records.select(*names).join(files, "file_uri"))
     rows = (
-        _placed(lines).join(files, "file_uri")
-        .where(~F.col("quoted") & (F.col("place") != F.col("header_place")))
+        units.where(F.col("place") != F.col("header_place"))
         .select("file_uri", "source_file", "modified_at", "header", "positions", cells_of(F.col("value")).alias("cells"))
         .where(F.size("cells") <= F.size("header"))
     )
-    broken = files.where("quoted").select("file_uri", "header").collect()
-    if broken:
-        named = lines.select("file_uri", "source_file", "modified_at").distinct()
-        whole = _whole_records(spark, broken).join(files.join(named, "file_uri"), "file_uri")
-        rows = rows.unionByName(whole.select(*rows.columns))
-    values = [F.get("cells", F.get("positions", F.lit(i))) for i in range(len(VOTER_COLUMNS))]
+    values = [F.get("cells", F.get("positions", F.lit(i))) for i in range(len(columns))]
     return rows.select(
-        *[F.when(value != "", value).alias(c) for value, c in zip(values, VOTER_COLUMNS)],
+        *[F.when(value != "", value).alias(c) for value, c in zip(values, columns)],
         "source_file",
         F.struct("modified_at", "file_uri").alias("file_order"),
     )
@@ -354,18 +400,29 @@ def read_voter_files(
     spark: SparkSession, paths: list[str], threshold: float = EMPTY_ROW_THRESHOLD
 ) -> DataFrame:
     """All-text voter rows of the files. Every file is checked first: one bad file rejects all."""
-    gate = settled(file_quality_gate(spark, paths, threshold))
+    exact = [exact_path(path) for path in paths]
+    lines = file_lines(spark.read.text(exact))
+    described, records = survey(lines)
+    gate = settled(_gate(spark, exact, described, threshold))
     _reject(gate)
-    lines = file_lines(spark.read.text([exact_path(path) for path in paths]))
-    return voter_rows(lines, gate)
+    return voter_rows(lines, gate, records)
 
 
 def read_voter_lines(lines: DataFrame, threshold: float = EMPTY_ROW_THRESHOLD) -> DataFrame:
     """The same for the lines of whole files, as a stream's batch brings them."""
-    described = _recounted(lines.sparkSession, describe_files(lines))
-    gate = settled(_gate_columns(described, threshold))
+    described, records = survey(lines)
+    gate = _gate_columns(described, threshold)
     _reject(gate)
-    return voter_rows(lines, gate)
+    return voter_rows(lines, gate, records)
+
+
+def scan_as_headed(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """All-text rows with the columns that the files' headers name, nothing checked or left out."""
+    lines = file_lines(spark.read.text([exact_path(path) for path in paths]))
+    described, records = survey(lines)
+    names = described.select(F.explode("header").alias("name")).where("name != ''").distinct().orderBy("name")
+    columns = [row.name for row in names.collect()]  # names of columns, not of files
+    return voter_rows(lines, described, records, columns).select(*[F.col(f"`{c}`") for c in columns])
 
 
 def scan_voter_csv(

@@ -180,6 +180,99 @@ def test_line_breaks_inside_quotes(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def split_small(spark, size="300"):
+    """Blocks of a few lines, and the setting before."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    return before
+
+
+def test_a_file_with_broken_lines_is_split(spark, tmp_path):
+    rows, expected = [], {}
+    chance = random.Random(5)
+    for i in range(900):
+        kind, name = chance.randrange(8), f"Bob{i}"
+        if kind == 0:
+            name = f"A\nb{i}, ""x"
+        elif kind == 1:
+            name = f'say "{i}"\n\n"twice"\nand, more'
+        elif kind == 2:
+            name = "long\n" * 90 + f"{i}"
+        cell = '"' + name.replace('"', '""') + '"' if kind < 4 else name
+        if kind == 5:
+            # A quote that does not begin a cell is a character like any other.
+            name = cell = f'5" tall{i}'
+        rows.append(f"{i},{cell},Lee,30,M,CA,I,b@x.com,2020-01-01,2022-01-01")
+        expected[str(i)] = name
+    write(tmp_path, "broken.csv", *rows)
+    before = split_small(spark)
+    try:
+        lines = files.file_lines(spark.read.text(str(tmp_path / "broken.csv")))
+        assert lines.rdd.getNumPartitions() > 100
+        assert lines.select("block").distinct().count() > 100
+        text = files.scan_voter_csv(spark, str(tmp_path))
+        assert {r.id: r.first_name for r in text.collect()} == expected
+        assert gate(spark, str(tmp_path / "broken.csv"))["broken.csv"].total_rows == 900
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_no_file_is_read_whole():
+    import inspect
+
+    assert "multiLine" not in inspect.getsource(files)
+
+
+def test_a_broken_header_and_quotes_that_never_end(spark, tmp_path):
+    broken = HEADER + ',"more\nof it"'
+    write(tmp_path, "header.csv", BOB + ",Al", "2" + BOB[1:] + ',"Bea\nB"', header=broken)
+    write(tmp_path, "open.csv", "3" + BOB[1:], '4,"Bob,Lee,30', "5" + BOB[1:], "", "6" + BOB[1:])
+    # The record that never ends has too many cells; it does not take those before it along.
+    assert gate(spark, str(tmp_path / "open.csv"))["open.csv"].total_rows == 1
+    rows = {r.id: r.first_name for r in scan(spark, tmp_path).collect()}
+    assert rows == {"1": "Bob", "2": "Bob", "3": "Bob"}
+
+
+@pytest.mark.parametrize("size", ["64", "1000", "128MB"])
+def test_states_of_lines_against_a_plain_reader(spark, tmp_path, size):
+    """Lines of any kind, cut into blocks of any size, make the records that one pass over the file makes."""
+    chance = random.Random(size)
+    pieces = ["a", '"', '""', ",", '",', ',"', " ", "xy", '"b"', '"c",']
+    lines = ["id,x"] + ["".join(chance.choice(pieces) for _ in range(chance.randrange(0, 9))) for _ in range(700)]
+    (tmp_path / "odd.csv").write_text("".join(line + "\n" for line in lines))
+    wanted, inside, kept = [], False, []
+    for line in lines:
+        kept.append(line)
+        at = 0
+        while True:
+            if inside:
+                while at < len(line) and not (line[at] == '"' and line[at + 1:at + 2] != '"'):
+                    at += 2 if line[at] == '"' else 1
+                if at >= len(line):
+                    break
+                inside = False
+            else:
+                while at < len(line) and line[at] in " \t":
+                    at += 1
+                if line[at:at + 1] == '"':
+                    inside, at = True, at + 1
+                    continue
+            at = line.find(",", at) + 1
+            if not at:
+                break
+        if not inside:
+            wanted.append("\n".join(kept))
+            kept = []
+    wanted += ["\n".join(kept)] if kept else []
+    before = split_small(spark, size)
+    try:
+        placed = files._placed(files.file_lines(spark.read.text(str(tmp_path / "odd.csv"))))
+        found = files.whole_records(placed, placed.select("file_uri").distinct()).orderBy("place").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r["value"] for r in found] == [w for w in wanted if w.strip(" ")]
+
+
 def test_very_long_quoted_cells(spark, tmp_path):
     write(tmp_path, "long.csv", "1,\"" + "a\"\"" * 50_000 + "\"" + BOB[5:])
     assert len(scan(spark, tmp_path).first().first_name) == 100_000

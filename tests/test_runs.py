@@ -193,6 +193,73 @@ def test_the_stream_reads_headers_and_rejects_bad_files(spark, tmp_path):
     assert read_raw(spark, raw).count() == 3
 
 
+def test_a_batch_opens_only_the_partitions_of_its_keys(spark, tmp_path):
+    from ballotlake.plans.ingest import raw_records
+    from ballotlake.sources import voter_files
+    from ballotlake.streaming import voter_stream as stream
+    from test_ingest import BOB
+
+    folder, raw, checkpoint = (str(tmp_path / n) for n in ("in", "raw", "checkpoint"))
+    os.makedirs(folder)
+    write(tmp_path / "in", "a.csv", *[f"{i}{BOB[1:]}" for i in range(2000)])
+    assert [b.new_records for b in ingest_stream(spark, folder, raw, checkpoint, DAY1)] == [2000]
+    stored = read_raw(spark, raw)
+    assert len({f.rsplit("/", 2)[1] for f in stored.inputFiles()}) == stream.KEY_PARTS
+    write(tmp_path / "in", "b.csv", *[f"{i}{BOB[1:]}" for i in (7, 2001, 2002)])
+    rows = voter_files.clean_voters(voter_files.read_voter_files(spark, [f"{folder}/b.csv"]))
+    records = raw_records(rows, DAY1)
+    chosen = stream.stored_for(stored, records, 1)
+    parts = {r.part for r in records.select(stream.key_part("record_hash").alias("part")).collect()}
+    opened = chosen.select(F.input_file_name().alias("name")).distinct().collect()
+    assert {int(r.name.split("key_part=")[1].split("/")[0]) for r in opened} == parts and len(parts) <= 3
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "key_part" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert [b.new_records for b in ingest_stream(spark, folder, raw, checkpoint, DAY1)] == [2]
+    assert read_raw(spark, raw).count() == 2002
+
+
+def test_the_stream_reports_empty_columns_and_unread_cells(spark, tmp_path):
+    folder, raw, checkpoint = (str(tmp_path / n) for n in ("in", "raw", "checkpoint"))
+    os.makedirs(folder)
+    write(tmp_path / "in", "a.csv", "1,Bob,Lee,old,,CA,I,b@x.com,2020-13-01,2022-01-01", "2,Al,Lee,30,,CA,I,a@x.com,2020-01-01,")
+    (batch,) = ingest_stream(spark, folder, raw, checkpoint, DAY1)
+    assert batch.warnings == ("gender: empty",) and batch.unread_cells == 2
+    assert ingest_stream(spark, folder, raw, checkpoint, DAY1) == []
+
+
+def test_a_seed_is_readable_when_its_replacement_is_cut_off(spark, tmp_path, monkeypatch):
+    from ballotlake.operators import sinks
+
+    path = str(tmp_path / "seed")
+    rows = lambda n: spark.range(n).select(F.col("id").cast("string"))
+    read = lambda: spark.read.option("header", "true").csv(sinks.latest_csv(spark, path)).count()
+    assert sinks.csv_sink(rows(3), path) and read() == 3
+    true_rename = sinks._rename
+
+    def lost(files, source, target):
+        if str(target).endswith("/seed"):
+            raise KeyboardInterrupt  # the driver goes down between the two steps
+        true_rename(files, source, target)
+
+    monkeypatch.setattr(sinks, "_rename", lost)
+    with pytest.raises(KeyboardInterrupt):
+        sinks.csv_sink(rows(4), path)
+    assert not os.path.exists(path) and read() == 3
+
+    def refused(files, source, target):
+        if "before" not in str(target) and "before" not in str(source):
+            raise OSError("refused")
+        true_rename(files, source, target)
+
+    monkeypatch.setattr(sinks, "_rename", true_rename)
+    assert sinks.csv_sink(rows(5), path) and read() == 5
+    monkeypatch.setattr(sinks, "_rename", refused)
+    with pytest.raises(OSError):
+        sinks.csv_sink(rows(6), path)
+    assert os.path.exists(path) and read() == 5
+    assert not sinks.csv_sink(rows(0), path) and read() == 5
+
+
 def test_a_raw_table_that_cannot_be_read_is_not_taken_for_none(spark, tmp_path):
     (tmp_path / "raw").mkdir()
     (tmp_path / "raw" / "x.parquet").write_text("not parquet")
