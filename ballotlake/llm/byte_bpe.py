@@ -37,7 +37,7 @@ from ballotlake.llm.common import table, whole
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 WINDOW = 1 << 20  # characters scanned, tokens decoded at a time
-GATHER = 1 << 22  # bytes of texts taken together
+GATHER = 1 << 20  # bytes of texts taken together
 CACHED, SHORT = 1 << 18, 64  # pieces kept per worker, bytes of the longest
 
 # Classes of characters.
@@ -280,12 +280,15 @@ def decode_ids(ids: bytes, offsets: bytes, words: Vocabulary) -> bytes:
     return out.tobytes()
 
 
-def _gathered(values: list[bytes]) -> Iterator[list[bytes]]:
-    """The texts in order, in lists of about GATHER bytes."""
+COLUMNS = {"doc_id": "long", "n_bytes": "long", "ids": "binary", "offsets": "binary", "decoded": "binary"}
+
+
+def _gathered(column: pa.Array) -> Iterator[list[bytes]]:
+    """A column's values in order, in lists of about GATHER bytes."""
     some, size = [], 0
-    for value in values:
-        some.append(value)
-        size += len(value)
+    for value in column:
+        some.append(value.as_py())
+        size += len(some[-1])
         if size >= GATHER:
             yield some
             some, size = [], 0
@@ -293,49 +296,71 @@ def _gathered(values: list[bytes]) -> Iterator[list[bytes]]:
         yield some
 
 
-def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_bytes, ids and offsets (both packed as little-endian unsigned 32-bit numbers)."""
+def _content(path: str) -> bytes:
     with open(path, "rb") as file:  # the vocabulary, not the data
-        shared = docs.sparkSession.sparkContext.broadcast(file.read())
+        return file.read()
+
+
+def _batch(*columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(columns, list(COLUMNS)[:len(columns)])
+
+
+def _schema(columns: int) -> str:
+    return ", ".join(f"{name} {kind}" for name, kind in list(COLUMNS.items())[:columns])
+
+
+def _encoded(docs: DataFrame, path: str, key: str, text: str, decoded: bool) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(_content(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(shared.value)
         for batch in batches:
             row = 0
-            for some in _gathered(batch.column("body").to_pylist()):
+            for some in _gathered(batch.column("body")):
                 both = encode_texts(some, words)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(row, len(some)), pa.array([len(x) for x in some], pa.int64()),
-                     pa.array([x for x, _ in both], pa.binary()), pa.array([y for _, y in both], pa.binary())],
-                    ["doc_id", "n_bytes", "ids", "offsets"])
+                columns = [batch.column("doc_id").slice(row, len(some)), pa.array([len(x) for x in some], pa.int64()),
+                           pa.array([x for x, _ in both], pa.binary()), pa.array([y for _, y in both], pa.binary())]
+                if decoded:
+                    columns.append(pa.array([decode_ids(x, y, words) for x, y in both], pa.binary()))
+                yield _batch(*columns)
                 row += len(some)
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), whole(text).cast("binary").alias("body")).mapInArrow(
-        run, "doc_id long, n_bytes long, ids binary, offsets binary")
+    bodies = docs.select(F.col(key).cast("long").alias("doc_id"), whole(text).cast("binary").alias("body"))
+    return bodies.mapInArrow(run, _schema(4 + decoded))
+
+
+def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_bytes, ids and offsets (both packed as little-endian unsigned 32-bit numbers)."""
+    return _encoded(docs, path, key, text, False)
+
+
+def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """encode() and decode() in one pass, so that ids and offsets go through one worker only."""
+    return _encoded(docs, path, key, text, True)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """The columns of encode() and `decoded`, the bytes of the text."""
-    with open(path, "rb") as file:
-        shared = encoded.sparkSession.sparkContext.broadcast(file.read())
+    shared = encoded.sparkSession.sparkContext.broadcast(_content(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(shared.value)
         for batch in batches:
-            ids, offsets = batch.column("ids").to_pylist(), batch.column("offsets").to_pylist()
-            texts = [decode_ids(a, b, words) for a, b in zip(ids, offsets)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, "decoded"])
+            row = 0
+            for some in _gathered(batch.column("ids")):
+                part = batch.slice(row, len(some))
+                texts = [decode_ids(ids, at.as_py(), words) for ids, at in zip(some, part.column("offsets"))]
+                yield _batch(*part.columns, pa.array(texts, pa.binary()))
+                row += len(some)
 
-    names = ["doc_id", "n_bytes", "ids", "offsets"]
-    return encoded.select(*names).mapInArrow(
-        run, "doc_id long, n_bytes long, ids binary, offsets binary, decoded binary")
+    return encoded.select(*list(COLUMNS)[:4]).mapInArrow(run, _schema(5))
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path(VOCABULARY)
-    both = decode(encode(table(spark, folder, "documents"), path), path)
+    both = round_trip(table(spark, folder, "documents"), path)
     return both.select(
         "doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

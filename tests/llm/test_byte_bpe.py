@@ -115,4 +115,5 @@ def test_edge_cases(spark, odd_docs):
     assert sorted(bytes(r.decoded).decode() for r in rows) == texts
     assert all(len(r.ids) == len(r.offsets) and r.n_bytes == len(r.decoded) for r in rows)
     assert {len(r.ids) for r in rows if r.doc_id in (2, 3)} == {0}
+    assert sorted(map(tuple, B.round_trip(odd_docs, PATH).collect()), key=str) == sorted(map(tuple, rows), key=str)
     assert B.encode(odd_docs.limit(0), PATH).count() == 0
