@@ -2,17 +2,21 @@
 
 A page becomes a tree of elements. Parts that are never article text (menus, page headers, footers,
 sidebars, notices, adverts, controls of forms, scripts, styles, reader comments) are told by element, role
-and class, and are left out before anything is measured. What is told by class, id or role alone stays
-if it encloses an article or main element (an article of a comment or advert does not count) or more than half of
-the page's text; menus, headers, footers and sidebars stay if they enclose a main element, or an article
-and more than half of the text. For every node the characters, tags, link
+and class, and are left out before anything is measured, however long they are. One stays if it encloses the
+page's own article: an article or main element with text, of those that lie in the fewest menus, headers,
+footers, sidebars, comments and the like (an article that is a comment or advert itself does not count, nor
+does one inside comments, a sidebar or footer if the page has text outside of all such parts). A class that says what its element has or lacks ("has-sidebar", "no-ads") does not make it that part. On a
+page without article and main element whose text lies in named parts altogether, one of them must be its wrapper:
+the largest is opened, and so on inside until text is found. For every node the characters, tags, link
 characters and link tags below it give its composite text density: characters per tag, adjusted by
 the share of links. The density sum of a node adds its children's densities. The node with the largest
 sum is the heart of the page; the smallest density on its path to the body is the threshold, and
 wherever a node reaches it, the subtree with the largest sum below it is taken as content. A taken node
 inside an article or main element is widened to that element, so no short paragraph of an article is
 lost. A heart that encloses articles whose density sums outweigh all else below it moves into the
-heaviest of them; a single word beside such an article is not taken.
+heaviest of them; a single word without a sentence mark beside such an article is a label and is not taken.
+
+Every step is linear in the page: open elements are kept by name, so no tag walks through the open ones.
 
 Defined results: null or empty html gives an empty text; unclosed and misplaced tags are closed as
 browsers do for paragraphs, items and cells; a page without a body is read as one; plain text without
@@ -60,6 +64,8 @@ NEVER_NAMES = frozenset(
 )
 # Of these, the ones of an article that is not the page's own.
 OTHERS = frozenset("comment comments commentlist respond replies reply related recommended recommendations sponsored promo advert ad".split())
+# Parts of a class that say what its element has or lacks.
+MODIFIERS = frozenset("has have no non not with without enabled disabled layout".split())
 CLOSES = {  # a start tag that ends open elements of these names, up to the nearest of the limits
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
     "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -67,7 +73,8 @@ CLOSES = {  # a start tag that ends open elements of these names, up to the near
     "option": ({"option"}, {"select"}),
 }
 KEEPERS = frozenset(("article", "main"))
-ALWAYS, BY_TAG, BY_NAME, OTHER = 1, 2, 3, 4  # how an element is left out; OTHER: an article that is not the page's own
+# How an element is left out; BY_OTHER: by the name of a part that holds articles of its own kind, OTHER: such an article.
+ALWAYS, BY_TAG, BY_NAME, BY_OTHER, OTHER = 1, 2, 3, 4, 5
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|"
@@ -77,6 +84,7 @@ _TAG = re.compile(
 )
 _NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _PARTS = re.compile(r"[a-z]+")
+_SENTENCE = re.compile(r"[.!?…。！？؟।]")
 
 
 def _left_out(name: str, rest: str, inside: bool) -> int:
@@ -94,8 +102,11 @@ def _left_out(name: str, rest: str, inside: bool) -> int:
         if key == "role":
             if value in NEVER_ROLES:
                 return BY_NAME
-        elif key != "aria-hidden" and not NEVER_NAMES.isdisjoint(parts := _PARTS.findall(value)):
-            return OTHER if name == "article" and not OTHERS.isdisjoint(parts) else BY_NAME
+        elif key != "aria-hidden":
+            named = [parts for token in value.split() if MODIFIERS.isdisjoint(parts := _PARTS.findall(token))]
+            if any(not NEVER_NAMES.isdisjoint(parts) for parts in named):
+                others = any(not OTHERS.isdisjoint(parts) for parts in named)
+                return BY_NAME if not others else OTHER if name == "article" else BY_OTHER
     return 0
 
 
@@ -106,7 +117,9 @@ class _Page:
         self.parent, self.name, self.out, self.why = [-1], ["body"], [False], [0]
         self.texts: list[tuple[int, int, str]] = []
         self.block = 0
-        stack, inside, at, raw = [0], 0, 0, None
+        # Open elements, the depths at which each name is open, and those of blocks.
+        self.stack, self.open, self.open_blocks, self.inside = [0], {}, [], 0
+        stack, at = self.stack, 0
         while at < len(source):
             found = _TAG.search(source, at)
             if found is None:
@@ -129,21 +142,15 @@ class _Page:
             if name in ("html", "body"):
                 continue
             if found["end"] or found["end2"]:
-                depth = len(stack) - 1
-                while depth > 0 and self.name[stack[depth]] != name:
-                    depth -= 1
-                if depth > 0:
-                    inside -= sum(self.name[n] in KEEPERS for n in stack[depth:])
-                    del stack[depth:]
+                if self.open.get(name):
+                    self._close(self.open[name][-1])
                 continue
-            gone = self._implied(name, stack)
-            if gone:
-                inside -= sum(self.name[n] in KEEPERS for n in gone)
+            self._implied(name)
             rest = found["rest"] if found["name"] else found["rest2"]
             node = len(self.parent)
             self.parent.append(stack[-1])
             self.name.append(name)
-            self.why.append(_left_out(name, rest, inside > 0))
+            self.why.append(_left_out(name, rest, self.inside > 0))
             self.out.append(self.out[stack[-1]] or self.why[node] == ALWAYS)
             if name in VOID or rest.endswith("/") and name not in BLOCKS and name not in RAW:
                 continue
@@ -153,52 +160,84 @@ class _Page:
                     self._text(node, source[at:close.start() if close else len(source)])
                 at = close.end() if close else len(source)
                 continue
+            self.open.setdefault(name, []).append(len(stack))
+            if name in BLOCKS:
+                self.open_blocks.append(len(stack))
             stack.append(node)
-            inside += name in KEEPERS
+            self.inside += name in KEEPERS
         self._leave_out()
 
+    def _close(self, depth: int) -> None:
+        """Closes the open elements from a depth on."""
+        while len(self.stack) > depth:
+            name = self.name[self.stack.pop()]
+            self.open[name].pop()
+            if name in BLOCKS:
+                self.open_blocks.pop()
+            self.inside -= name in KEEPERS
+
     def _leave_out(self) -> None:
-        """Leaves out what is told by name or element, unless it holds the article."""
+        """Leaves out what is told by name or element, unless it holds the page's own article."""
         number = len(self.parent)
-        chars, article, main = [0] * number, [False] * number, [False] * number
+        chars, linked = [0] * number, [False] * number
+        apart = [0] * number  # parts around each node that may hold articles
+        foreign = [False] * number  # one of them is made for articles of others
+        part = list(range(number))  # the innermost part that would be left out, around each node
+        for node in range(1, number):
+            up, why = self.parent[node], self.why[node]
+            linked[node] = linked[up] or self.name[node] == "a"
+            apart[node] = apart[up] + (why in (BY_TAG, BY_OTHER))
+            foreign[node] = foreign[up] or why == BY_OTHER or self.name[node] in ("aside", "footer")
+            part[node] = node if why and why != OTHER or self.out[node] else part[up]
+        part[0] = 0
+        plain = [0] * number  # characters by innermost part, without links
         for node, _, text in self.texts:
-            chars[node] += sum(map(len, text.split()))
+            size = sum(map(len, text.split()))
+            chars[node] += size
+            plain[part[node]] += 0 if linked[node] else size
         for node in range(number - 1, 0, -1):
-            up = self.parent[node]
-            chars[up] += chars[node]
-            own = chars[node] > 0 and self.why[node] != OTHER
-            article[up] |= article[node] or own and self.name[node] == "article"
-            main[up] |= main[node] or own and self.name[node] == "main"
+            chars[self.parent[node]] += chars[node]
+        articles = [n for n in range(1, number) if chars[n] and self.name[n] in KEEPERS and self.why[n] != OTHER and not self.out[n]]
+        fewest = min((apart[n] for n in articles), default=0)
+        if fewest and plain[0]:
+            # There is other text, so that an article in comments or a sidebar is not the page's own.
+            articles = [n for n in articles if self.name[n] == "main" or not foreign[n]]
+            fewest = min((apart[n] for n in articles), default=0)
+        kept = [False] * number  # encloses, or is, what stays
+        for node in articles:
+            kept[node] = apart[node] == fewest
+        if not articles:
+            for node in self._wrappers(part, plain, chars):
+                kept[node] = True
+        for node in range(number - 1, 0, -1):
+            kept[self.parent[node]] |= kept[node]
         for node in range(1, number):
-            most = 2 * chars[node] > chars[0]
-            if self.why[node] == BY_NAME and self.name[node] not in KEEPERS:
-                self.out[node] = not (article[node] or main[node] or most)
-            elif self.why[node] == BY_TAG:
-                self.out[node] |= not (main[node] or article[node] and most)
+            if self.why[node] in (BY_NAME, BY_OTHER) and self.name[node] not in KEEPERS or self.why[node] == BY_TAG:
+                self.out[node] |= not kept[node]
             self.out[node] |= self.out[self.parent[node]]
         self.texts = [found for found in self.texts if not self.out[found[0]]]
 
-    def _implied(self, name: str, stack: list[int]) -> list[int]:
-        """Pops what the start tag closes."""
-        if name in BLOCKS and name not in ("body", "html"):
-            for depth in range(len(stack) - 1, 0, -1):
-                open_name = self.name[stack[depth]]
-                if open_name == "p":
-                    gone = stack[depth:]
-                    del stack[depth:]
-                    return gone
-                if open_name in BLOCKS:
-                    break
-        ends, limits = CLOSES.get(name, ((), ()))
-        for depth in range(len(stack) - 1, 0, -1):
-            open_name = self.name[stack[depth]]
-            if open_name in ends:
-                gone = stack[depth:]
-                del stack[depth:]
-                return gone
-            if open_name in limits or not ends:
-                break
-        return []
+    def _wrappers(self, part: list[int], plain: list[int], chars: list[int]) -> list[int]:
+        """Named parts to be opened where no text lies outside of all of them: the largest, then within it."""
+        inner: dict[int, list[int]] = {}
+        for node in range(1, len(part)):
+            if part[node] == node and self.why[node] in (BY_NAME, BY_OTHER) and chars[node]:
+                inner.setdefault(part[self.parent[node]], []).append(node)
+        opened, at = [], 0
+        while not plain[at] and at in inner:
+            at = max(inner[at], key=lambda n: (chars[n], -n))
+            opened.append(at)
+        return opened
+
+    def _implied(self, name: str) -> None:
+        """Closes what the start tag ends."""
+        if name in BLOCKS and self.open_blocks and self.name[self.stack[self.open_blocks[-1]]] == "p":
+            self._close(self.open_blocks[-1])
+            return
+        if name in CLOSES:
+            ends, limits = (max((self.open[n][-1] for n in names if self.open.get(n)), default=0) for names in CLOSES[name])
+            if ends > limits:
+                self._close(ends)
 
     def _text(self, node: int, text: str) -> None:
         if not self.out[node]:
@@ -288,7 +327,8 @@ class _Page:
         if keeper[heart] >= 0:
             beside = {node for node in chosen if keeper[node] < 0}
             taken = self._below(beside)
-            if sum(len(text.split()) for node, _, text in self.texts if taken[node]) == 1:
+            words = [word for node, _, text in self.texts if taken[node] for word in text.split()]
+            if len(words) == 1 and not _SENTENCE.search(words[0]):
                 chosen -= beside
         return chosen
 

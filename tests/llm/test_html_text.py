@@ -5,8 +5,14 @@ import re
 
 from pyspark.sql import functions as F
 
+import math
+import random
+import time
+
+import pytest
+
 from ballotlake.llm import common
-from ballotlake.llm.html_text import extract, main_text, query
+from ballotlake.llm.html_text import _Page, extract, main_text, query
 
 
 def test_article_between_menus_and_adverts():
@@ -69,6 +75,90 @@ def test_named_wrappers_of_the_page_stay():
     assert main_text(f"<body>{form}</body>") == "Paragraph."
 
 
+ARTICLE = "<p>The first paragraph tells what has happened, and where.</p><p>The second one goes on about it at length.</p>"
+LINES = ["The first paragraph tells what has happened, and where.", "The second one goes on about it at length."]
+
+
+@pytest.mark.parametrize("times", [0.5, 1, 3, 10, 100])
+@pytest.mark.parametrize("body", [f"<article>{ARTICLE}</article>", f'<div class="post">{ARTICLE}</div>', f"<main>{ARTICLE}</main>",
+                                  f'<div class="layout has-sidebar"><div>{ARTICLE}</div></div>'])
+def test_boilerplate_of_any_size_is_left_out(times, body):
+    count = max(1, round(2 * times))
+    words = "Nobody asked for these words, and they stand here at some length."
+    comments = f"<section id=comments>{f'<article class=comment><p>{words}</p></article>' * count}</section>"
+    parts = [
+        comments, comments.replace(" class=comment", ""), comments.replace("<article class=comment>", "<div>").replace("</article>", "</div>"),
+        f'<div class="cookie-notice"><p>{words * count}</p></div>', f'<div class="cookie-notice">{f"<p>{words}</p>" * count}</div>',
+        f"<div class=sidebar>{f'<p>{words}</p>' * count}</div>", f"<aside>{f'<article><p>{words}</p></article>' * count}</aside>",
+        f"<footer>{f'<p>{words}</p>' * count}</footer>", f"<div role=complementary>{f'<p>{words}</p>' * count}</div>",
+    ]
+    for part in parts:
+        for page in (body + part, part + body, f"<div id=page>{part}{body}</div>", f"<div class='no-ads'><a href=/>Home</a>{body}{part}</div>"):
+            assert main_text(f"<body>{page}</body>").split("\n") == LINES, (part[:60], page[:60])
+
+
+def test_last_words_beside_an_article_stay():
+    short = "<article><p>He came.</p><p>He saw.</p></article>"
+    assert main_text(f"<body>{short}<p>Finished.</p></body>").split("\n") == ["He came.", "He saw.", "Finished."]
+    assert main_text(f"<body>{short}<p>Share</p></body>").split("\n") == ["He came.", "He saw."]
+
+
+def test_tags_of_any_number_take_linear_time():
+    many = 100_000
+    pages = ["<b>" * many + "</i>" * many + "x", "<b>" * many + "<hr>" * many + "x", "<b>" * many + "<li>" * many + "x",
+             "<ul>" * 1000 + "<b>" * many + "</li>" * many + "x", "<i><b>" * (many // 2) + "</i>" * many + "x", "<td>x" * many,
+             "<div class=ad>" * many + "x", "<article>" * many + "x", "<p>" * many + "</div>" * many + "x"]
+    started = time.process_time()
+    for page in pages:
+        assert "x" in main_text(page)
+    assert time.process_time() - started < 4 * len(pages)
+    started = time.process_time()
+    main_text(pages[0])
+    assert time.process_time() - started < 2
+
+
+def plain_density(page, node):
+    """The composite text density of a node, from its subtree alone."""
+    children = [n for n in range(len(page.parent)) if page.parent[n] == node and not page.out[n]]
+
+    def counts(n, linked):
+        linked |= page.name[n] == "a"
+        chars = sum(len("".join(text.split())) for at, _, text in page.texts if at == n)
+        total = [chars, chars if linked else 0, 0, 0]
+        for child in range(len(page.parent)):
+            if page.parent[child] == n and not page.out[child]:
+                part = counts(child, linked)
+                total = [total[0] + part[0], total[1] + part[1], total[2] + part[2] + 1, total[3] + part[3] + (page.name[child] == "a")]
+        return total
+
+    def linked(n):
+        return n >= 0 and (page.name[n] == "a" or linked(page.parent[n]))
+
+    c, lc, t, lt = counts(node, linked(page.parent[node]))
+    whole = counts(0, False)
+    if not c:
+        return 0.0, children
+    t, lt = max(t, 1), max(lt, 1)
+    base = math.log(c / max(c - lc, 1) * lc + whole[1] / max(whole[0], 1) * c + math.e)
+    inside = c / max(lc, 1) * t / lt
+    return c / t * (math.log(inside + 1e-9) / math.log(base + 1e-9) if base > 1 else math.log(inside + math.e)), children
+
+
+def test_densities_and_sums_of_random_trees():
+    dice = random.Random(8)
+    for _ in range(60):
+        source = "".join(dice.choice(["<div>", "</div>", "<p>", "<a href=x>", "</a>", "<b>", "</b>", "word ", "more words here ", "<nav>z</nav>", "<li>"])
+                         for _ in range(40))
+        page = _Page(source)
+        density, total = page.densities()
+        for node in range(len(page.parent)):
+            if page.out[node]:
+                continue
+            want, children = plain_density(page, node)
+            assert density[node] == pytest.approx(want)
+            assert total[node] == pytest.approx(sum(plain_density(page, child)[0] for child in children))
+
+
 def test_defined_results():
     assert main_text(None) == main_text("") == main_text("<nav>x</nav>") == ""
     assert main_text("just  text") == "just text"
