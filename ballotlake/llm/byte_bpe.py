@@ -302,7 +302,7 @@ def _content(path: str) -> bytes:
 
 
 def _batch(*columns: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(columns, list(COLUMNS)[:len(columns)])
+    return pa.RecordBatch.from_arrays(list(columns), list(COLUMNS)[:len(columns)])
 
 
 def _schema(columns: int) -> str:
