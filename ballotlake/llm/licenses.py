@@ -1,9 +1,12 @@
 """License statements found by ordered signature rules.
 
 A rule is a regular expression over the text's words (lower-cased, joined by single spaces), with a
-label, a weight, a priority and keywords. A rule runs only where one of its keywords stands in the text.
-Detections are taken by priority, then length, then position; one that lies within an interval already
-taken is suppressed, so that "cc by nc" does not also report "cc by". The base phrases come first of all
+label, a weight, a priority and keywords. One automaton finds all keywords in one pass over the text; a rule
+runs only where one of its keywords stands, on all whole words that a match around it could take (`WORDS`, which
+no rule exceeds). SPDX expressions may go on over any number of alternatives; the rules for these run over
+whole expressions. Detections are taken by priority, then length, then position; one that lies within an
+interval already taken is suppressed, so that "cc by nc" does not also report "cc by": of the taken
+intervals those within no other are kept in order, so that one look-up decides. The base phrases come first of all
 and are counted wherever they stand, overlaps included. The score is 1 - product(1 - weight) over the
 labels, each with its best detection.
 
@@ -18,9 +21,12 @@ an empty table gives no rows. Further columns of the input are ignored, whatever
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import cache
+from itertools import accumulate
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,8 +127,9 @@ SHORT_FORMS = [
 ]
 LOOSE = (rf"(?:distributed|available|published|provided|redistributed?){UNDER}", r"", 0.95, 2)
 # Further names of an expression; the span is the name's alone.
+PART = r"(?:(?!(?:or|and|with|spdx) )[^ ]+ ){1,12}+(?:or|and|with) "  # of an SPDX expression, up to its operator
 FURTHER = [
-    (r"spdx license identifier (?:[^ ]+ ){1,12}?(?:or |and )(?P<at>", r")", 1.0, 1),
+    (rf"spdx license identifier (?:{PART})+?(?P<at>", r")", 1.0, 1),
     (rf"(?:licen[sc]ed|released|distributed|available|published|provided)(?: to you)?{UNDER}(?:[^ ]+ ){{1,6}}?(?:or |and )(?:the )?(?P<at>", r")", 0.9, 3),
     (r"licen[sc]es? (?:[^ ]+ ){1,6}?(?:or |and )(?:the )?(?P<at>", r")", 0.7, 4),
 ]
@@ -140,7 +147,8 @@ PLAIN = [
     ("permissive-text", r"permission is hereby granted free of charge to any person obtaining a copy", 0.9, 2, "hereby granted"),
     ("bsd-text", r"redistribution and use in source and binary forms", 0.9, 2, "redistribution and use"),
 ]
-REACH = 200  # bytes around a keyword in which its rules look; more than any statement takes
+WORDS = 48  # words of the longest match of a rule, SPDX expressions aside; a test derives it from the rules
+_EXPRESSION = re.compile(rf"(?<![^ ])spdx license identifier (?:{PART})+".encode())
 
 _LETTERS = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
@@ -153,6 +161,7 @@ class Rule:
         self.keywords = tuple(keyword.encode().split(b"|"))
         self.regex = re.compile(rf"(?<![^ ]){pattern}(?![^ ])".encode())
         self.part = self.regex.groupindex.get("at", 0)
+        self.expression = PART in pattern
 
 
 def _named(label: str, name: str, versions: dict[str, str], keyword: str, prefix: str, suffix: str, weight: float, priority: int) -> list[Rule]:
@@ -199,67 +208,114 @@ def rules() -> list[Rule]:
 
 
 @cache
-def by_keyword() -> dict[bytes, list[Rule]]:
-    """The rules that a keyword calls for."""
-    found: dict[bytes, list[Rule]] = {}
+def groups() -> list[list[Rule]]:
+    """The rules by what calls them: keywords, and whether they run over expressions."""
+    found: dict[tuple, list[Rule]] = {}
     for rule in rules():
-        for keyword in rule.keywords:
-            found.setdefault(keyword, []).append(rule)
-    return found
+        found.setdefault((rule.keywords, rule.expression), []).append(rule)
+    return list(found.values())
+
+
+@cache
+def automaton() -> ahocorasick.Automaton:
+    """Finds every keyword, with the numbers of the groups it calls. Bytes are read as Latin-1 characters."""
+    called: dict[str, list[int]] = {}
+    for number, group in enumerate(groups()):
+        for keyword in group[0].keywords:
+            called.setdefault(keyword.decode("latin-1"), []).append(number)
+    made = ahocorasick.Automaton()
+    for keyword, numbers in called.items():
+        made.add_word(keyword, (len(keyword), numbers))
+    made.make_automaton()
+    return made
+
 
+def _windows(places: list[int], starts: list[int], size: int) -> Iterator[tuple[int, int]]:
+    """Stretches of whole words, WORDS to each side of the words at the places, merged where they meet."""
+    first = last = -1  # words
+    for at in places:
+        word = bisect_right(starts, at) - 1
+        if last < 0 or word - WORDS > last:
+            if last >= 0:
+                yield starts[first], starts[last + 1] - 1
+            first = max(0, word - WORDS)
+        last = min(word + WORDS, size - 1)
+    yield starts[first], starts[last + 1] - 1
 
-def _windows(body: bytes, keyword: bytes) -> Iterator[tuple[int, int]]:
-    """Stretches of whole words around the places of a keyword, merged where they meet."""
-    low = high = -1
-    at = body.find(keyword)
-    while at >= 0:
-        first = max(0, at - REACH)
-        first = body.rfind(b" ", 0, first) + 1 if first else 0
-        last = body.find(b" ", at + REACH)
-        last = len(body) if last < 0 else last
-        if first > high:
-            if high >= 0:
-                yield low, high
-            low = first
-        high = last
-        at = body.find(keyword, at + 1)
-    if high >= 0:
-        yield low, high
+
+class Taken:
+    """Intervals of which none lies within another, in order: starts and ends both rise."""
+
+    def __init__(self) -> None:
+        self.low: list[int] = []
+        self.high: list[int] = []
+
+    def add(self, low: int, high: int) -> bool:
+        """Takes an interval unless it lies within one that is there."""
+        at = bisect_right(self.low, low)
+        if at and self.high[at - 1] >= high:
+            return False
+        first = bisect_left(self.low, low)
+        last = max(first, bisect_right(self.high, high))
+        self.low[first:last], self.high[first:last] = [low], [high]
+        return True
+
+
+def detections(body: bytes, starts: list[int], size: int) -> dict[tuple[int, int, int, str], tuple[int, int, Rule]]:
+    """All matches of all rules, by the order in which they are taken."""
+    called: dict[int, list[int]] = {}
+    for end, (length, numbers) in automaton().iter(body.decode("latin-1")):
+        for number in numbers:
+            called.setdefault(number, []).append(end + 1 - length)
+    found: dict[tuple[int, int, int, str], tuple[int, int, Rule]] = {}
+    if not called:
+        return found
+    expressions: list[tuple[int, int]] | None = None
+    for number, places in called.items():
+        group = groups()[number]
+        if group[0].expression:
+            if expressions is None:
+                expressions = []
+                for m in _EXPRESSION.finditer(body):
+                    word = bisect_left(starts, m.end())
+                    expressions.append((m.start(), starts[min(word + WORDS, size)] - 1))
+            windows = expressions
+        else:
+            # Of several keywords the shorter may end first and begin later.
+            windows = list(_windows(sorted(places), starts, size))
+        for low, high in windows:
+            part = body[low:high]
+            for rule in group:
+                for m in rule.regex.finditer(part):
+                    start, end = (low + at for at in m.span(rule.part))
+                    found[rule.priority, start - end, start, rule.label] = (start, end, rule)
+    return found
 
 
 def scan(text: bytes) -> tuple[int, int, int | None, int | None, str, str, float, str]:
     """n_words, n_base, first_word, last_word, base_labels, labels, score, spans (label:first:end words)."""
     words = text.translate(_LETTERS).split()
     body = b" ".join(words)
+    starts = list(accumulate((len(word) + 1 for word in words), initial=0))  # of words, and behind the last
     padded = b" " + body + b" "
     places, base = [], set()
     for phrase, label in BASE.items():
         needle = b" " + phrase.encode() + b" "
         at = padded.find(needle)
         while at >= 0:
-            places.append(padded.count(b" ", 0, at))
+            places.append(bisect_left(starts, at))
             base.add(label)
             at = padded.find(needle, at + 1)
-    found = {}
-    for keyword, called in by_keyword().items():
-        for low, high in _windows(body, keyword):
-            part = body[low:high]
-            for rule in called:
-                for m in rule.regex.finditer(part):
-                    start, end = (low + at for at in m.span(rule.part))
-                    found[rule.priority, start - end, start, rule.label] = (start, end, rule)
+    found = detections(body, starts, len(words))
     if not found and not places:
         return len(words), 0, None, None, "", "", 0.0, ""
-    taken: list[tuple[int, int]] = []
+    taken = Taken()
     best: dict[str, float] = dict.fromkeys(base, 0.95)
     spans = []
     for _, (start, end, rule) in sorted(found.items()):
-        if any(low <= start and end <= high for low, high in taken):
-            continue
-        taken.append((start, end))
-        best[rule.label] = max(best.get(rule.label, 0.0), rule.weight)
-        first = body.count(b" ", 0, start)
-        spans.append((first, first + 1 + body.count(b" ", start, end), rule.label))
+        if taken.add(start, end):
+            best[rule.label] = max(best.get(rule.label, 0.0), rule.weight)
+            spans.append((bisect_left(starts, start), bisect_left(starts, end), rule.label))
     miss = 1.0
     for label in sorted(best):
         miss *= 1.0 - best[label]

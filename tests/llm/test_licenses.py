@@ -112,6 +112,82 @@ def test_containment_and_hundreds_of_rules():
     assert L.scan(far.encode())[5] == "apache-2,mit"
 
 
+def plain_labels(text):
+    """Every rule over the whole text, and every detection beside every other."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    body = " ".join(words).encode()
+    found = {}
+    for rule in L.rules():
+        if any(keyword in body for keyword in rule.keywords):
+            for m in rule.regex.finditer(body):
+                start, end = m.span(rule.part)
+                found[rule.priority, start - end, start, rule.label] = (start, end, rule.label)
+    taken = []
+    for _, (start, end, label) in sorted(found.items()):
+        if not any(low <= start and end <= high for low, high, _ in taken):
+            taken.append((start, end, label))
+    return ",".join(f"{label}:{a}:{b}" for a, b, label in sorted(
+        (body.count(b" ", 0, start), body.count(b" ", 0, start) + 1 + body.count(b" ", start, end), label) for start, end, label in taken))
+
+
+def test_labels_and_suppression_against_a_plain_version():
+    dice = random.Random(4)
+    parts = [name for names in NAMES.values() for name in names] + [
+        "SPDX-License-Identifier:", "licensed under the", "under", "the", "terms of", "released", "license", "licence is", "or", "and", "with", "version",
+        "2.0", "3", "public domain", "copyright 2020", "cc by nc sa 4.0", "Creative Commons Attribution", "all rights reserved", "word", "text", "LicenseRef-a-b"]
+    for k in range(400):
+        text = " ".join(dice.choice(parts) for _ in range(dice.randint(0, 40 if k % 8 else 300)))
+        if k % 3 == 0:
+            text = text.replace(" word ", " " + "filler " * 60)
+        assert L.scan(text.encode())[7] == plain_labels(text), text
+
+
+@pytest.mark.parametrize("count", [2, 3, 4, 12, 200])
+def test_expressions_of_any_length(count):
+    text = "SPDX-License-Identifier: " + " OR ".join(f"LicenseRef{k:060d}" for k in range(count)) + " OR MIT"
+    assert L.scan(text.encode())[5] == "mit"
+
+
+def test_no_match_is_longer_than_a_window():
+    from re import _parser as parser
+
+    def spaces(items):
+        total = 0
+        for op, value in items:
+            kind = str(op)
+            if kind == "LITERAL":
+                total += value == 32
+            elif kind in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT"):
+                inner = spaces(value[2])
+                total += inner * int(value[1]) if inner else 0
+            elif kind == "SUBPATTERN":
+                total += spaces(value[3])
+            elif kind == "BRANCH":
+                total += max(spaces(branch) for branch in value[1])
+            elif kind in ("ASSERT", "ASSERT_NOT"):
+                total += spaces(value[1])
+        return total
+
+    longest = max(spaces(parser.parse(rule.regex.pattern.decode())) for rule in L.rules() if not rule.expression)
+    assert longest < L.WORDS
+
+
+def test_texts_full_of_statements_take_linear_time():
+    import time
+
+    times = []
+    for count in (8_000, 32_000):
+        text = ("gpl license apache license mit license " * (count // 3)).encode()
+        started = time.process_time()
+        assert L.scan(text)[5] == "apache,gpl,mit"
+        times.append(time.process_time() - started)
+    assert times[1] < 8 * times[0] + 0.5
+    chained = ("SPDX-License-Identifier: MIT OR Apache-2.0 AND " * 5_000).encode()
+    started = time.process_time()
+    assert "mit" in L.scan(chained)[5]
+    assert time.process_time() - started < 30
+
+
 def test_edge_cases(spark, odd_docs):
     rows = L.find(odd_docs).collect()
     assert len(rows) == odd_docs.count()
