@@ -2,26 +2,36 @@
 
 Base spans are e-mail addresses, IPv4 addresses, card numbers and phone numbers, found leftmost and without
 overlaps per kind; positions follow from the lengths of what stands between the matches. A value found
-is a protected entity. The words around its mentions, numbers and short ones included, are the terms that may disclose it: from the
-co-occurrence in these contexts and the words of the whole corpus, a term's disclosure of an entity is
-the share of the entity's information that the term carries,
+is a protected entity, and so are all values of a kind together, which lets values that stand in one document
+only speak too. Every word of a document that holds an entity, wherever it stands outside of what `BLANKED`
+matches, numbers and short ones included, is a term that may disclose it. From the documents that hold the term (n), the entity (n_e) and both (k) of all N,
+the share of the entity's information that the term carries is
 
-    PMI(term; entity) / IC(entity) = 1 - log(n_term / n_both) / log(n_words / n_entity)
+    PMI(term; entity) / IC(entity) = 1 + log(k / n) / log(N / n_e)
 
-which is 1 when the term stands nowhere but beside the entity. Terms at or above `DISCLOSURE`, seen beside
-the entity in `SUPPORT` different contexts or more, are spans of kind "term" at these places.
+which is 1 when the term stands nowhere but with the entity. A term discloses an entity if the lower
+confidence bound of the share (Wilson's bound of k / n at `Z`) is at least `DISCLOSURE`, and the meeting is
+no chance: by the Chernoff bound, of the corpus's V terms fewer than `CHANCE` are expected to meet the entity that
+often if they did not depend on it. There is no least number of mentions: an entity of few documents needs
+terms that stand with it alone.
+
+Disclosing terms are spans of kind "term" in the documents that hold both, outside base spans.
 `sanitised` generalises base spans to their kind and removes disclosing terms.
 
-Only matches leave the scan: no text is shuffled. Patterns use possessive repetition and anchored starts,
-which give the same matches and take linear time on long runs.
+Entities that stand in the same documents meet the same terms as often, so they are counted as one. Entities
+that could not pass the chance bound with any term are left out beforehand. Patterns use possessive repetition and
+anchored starts, which give the same matches and take linear time on long runs.
 
-Defined results: a null or empty text has no spans; rows equal in doc_id, text, lang and source count
-once in the statistics and get equal results; a null doc_id is a document like any other; an empty table
-gives no rows. Further columns of the input are ignored, whatever their names.
+Defined results: a null or empty text has no spans; rows equal in doc_id, text, lang and source hold an
+entity once and get equal results, N and n count all rows; a null doc_id is a document like any other; an
+empty table gives no rows. Further columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +46,8 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+# What is blanked before terms are read: matches, of cards those of as many digits as a card has at least.
+BLANKED = PATTERNS | {"card": r"[0-9](?:[\x20-]?[0-9]){13,}+"}
 # Any match of the pattern has one of these.
 GATES = {
     "email": lambda text: text.contains("@"),
@@ -46,9 +58,10 @@ GATES = {
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 TOKEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
-REACH = 60  # characters of context on either side
-SUPPORT = 2  # different contexts
-DISCLOSURE = 0.95
+WORD = TOKEN[:-1]  # a character of a term
+DISCLOSURE = 0.7  # share of an entity's information
+Z = 1.645  # one-sided confidence of 95 %
+CHANCE = 0.05  # terms expected to meet an entity by chance
 
 
 def _digits(value: Column) -> Column:
@@ -77,8 +90,23 @@ def _valid(kind: Column, value: Column) -> Column:
     )
 
 
+def _positions(found: DataFrame) -> DataFrame:
+    """doc_id, _key, kind, start, end, value of matches, from the texts between them, once per distinct row."""
+    matches = found.filter(F.size("values") > 0).select("doc_id", "_key", "kind", F.posexplode(F.transform(
+        "values",
+        lambda value, k: F.struct(value.alias("value"), F.char_length(F.get("gaps", k)).alias("gap")),
+    )).alias("nth", "m")).select("doc_id", "_key", "kind", "nth", "m.*")
+    # One shuffle of the matches serves all that follows per document.
+    placed = matches.repartition("doc_id", "_key").dropDuplicates(["doc_id", "_key", "kind", "nth"])
+    order = Window.partitionBy("doc_id", "_key", "kind").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
+    size = F.char_length("value")
+    end = F.sum(F.col("gap") + size).over(order)
+    return placed.select("*", end.cast("long").alias("end")).select(
+        "doc_id", "_key", "kind", (F.col("end") - size).cast("long").alias("start"), "end", "value")
+
+
 def base_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, _key, kind, start, end, value, before, after of every base span, once per distinct row."""
+    """doc_id, _key, kind, start, end, value of every base span, once per distinct row."""
     text = docs.select("doc_id", common.content_key().alias("_key"), common.whole().alias("body"))
     found = F.array(*[
         F.when(gate(F.col("body")), F.struct(
@@ -88,86 +116,112 @@ def base_spans(docs: DataFrame) -> DataFrame:
         )) for kind, gate in GATES.items()
     ])
     per_kind = text.select("doc_id", "_key", F.explode(F.array_compact(found)).alias("f")).select(
-        "doc_id", "_key", "f.kind", "f.gaps", "f.values").filter(F.size("values") > 0)
-    matches = per_kind.select("doc_id", "_key", "kind", F.posexplode(F.transform(
-        "values",
-        lambda value, k: F.struct(
-            value.alias("value"),
-            F.char_length(F.get("gaps", k)).alias("gap"),
-            F.right(F.get("gaps", k), F.lit(REACH)).alias("before"),
-            F.left(F.get("gaps", k + 1), F.lit(REACH)).alias("after"),
-            (F.char_length(F.get("gaps", k + 1)) > REACH).alias("more"),
-        ),
-    )).alias("nth", "m")).select("doc_id", "_key", "kind", "nth", "m.*")
-    # One shuffle of the matches serves all that follows per document.
-    placed = matches.repartition("doc_id", "_key").dropDuplicates(["doc_id", "_key", "kind", "nth"])
-    order = Window.partitionBy("doc_id", "_key", "kind").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
-    size = F.char_length("value")
-    end = F.sum(F.col("gap") + size).over(order)
-    return placed.select("*", end.cast("long").alias("end")).filter(_valid(F.col("kind"), F.col("value"))).select(
-        "doc_id", "_key", "kind", (F.col("end") - size).cast("long").alias("start"), "end", "value",
-        "before", (F.col("gap") > REACH).alias("less"), "after", "more")
-
-
-def _tokens(context: Column) -> Column:
-    """term, low, high (offsets in the context) of its words."""
-    gaps, values = F.split(context, TOKEN, -1), F.regexp_extract_all(context, F.lit(TOKEN), F.lit(0))
-    kind = "array<struct<term:string,low:int,high:int>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
-
-    def add(state: Column, pair: Column) -> Column:
-        low = state["at"] + F.char_length(pair["gap"])
-        high = low + F.char_length(pair["value"])
-        token = F.struct(pair["value"].alias("term"), low.alias("low"), high.alias("high"))
-        return F.struct(high.alias("at"), F.concat(state["out"], F.array(token)).alias("out"))
-
-    pairs = F.filter(
-        F.zip_with(gaps, values, lambda g, v: F.struct(g.alias("gap"), v.alias("value"))), lambda p: p["value"].isNotNull())
-    return F.aggregate(pairs, start, add, lambda state: state["out"])
-
-
-def contexts(spans: DataFrame) -> DataFrame:
-    """doc_id, _key, entity, place, term, start, end: the words around every base span. A word cut by the reach is left out."""
-    left = F.transform(
-        F.filter(_tokens(F.col("before")), lambda t: ~F.col("less") | (t["low"] > 0)),
-        lambda t: F.struct(t["term"].alias("term"),
-                           (F.col("start") - F.char_length("before") + t["low"]).alias("low"),
-                           (F.col("start") - F.char_length("before") + t["high"]).alias("high")))
-    right = F.transform(
-        F.filter(_tokens(F.col("after")), lambda t: ~F.col("more") | (t["high"] < REACH)),
-        lambda t: F.struct(t["term"].alias("term"), (F.col("end") + t["low"]).alias("low"), (F.col("end") + t["high"]).alias("high")))
-    return spans.select(
-        "doc_id", "_key", F.xxhash64("kind", "value").alias("entity"), F.xxhash64("before", "after").alias("place"),
-        F.explode(F.concat(left, right)).alias("t"),
-    ).select(
-        "doc_id", "_key", "entity", "place", F.xxhash64(common.lower_ascii(F.col("t.term"))).alias("term"),
-        F.col("t.low").cast("long").alias("start"), F.col("t.high").cast("long").alias("end"))
-
-
-def disclosing(docs: DataFrame, spans: DataFrame, around: DataFrame,
-               support: int = SUPPORT, threshold: float = DISCLOSURE) -> DataFrame:
-    """entity, term, disclosure of the terms that disclose an entity."""
-    both = around.groupBy("entity", "term", "place").count().groupBy("entity", "term").agg(
-        F.sum("count").alias("n_both"), F.count(F.lit(1)).alias("places")).filter(F.col("places") >= support)
-    mentions = spans.groupBy(F.xxhash64("kind", "value").alias("entity")).agg(F.count(F.lit(1)).alias("n_entity"))
-    corpus = common.settled(
-        docs.select(F.explode(common.plain_words(common.whole())).alias("w")).groupBy(F.xxhash64("w").alias("term"))
-        .agg(F.count(F.lit(1)).alias("n_term")))
-    words = corpus.agg(F.sum("n_term")).first()[0] or 1
-    # Equal rows count once beside an entity but as often as they stand in the corpus; a share stays at most 1.
-    missing = F.log(F.greatest(F.col("n_term") / F.col("n_both"), F.lit(1.0)))
-    information = F.log(F.greatest(F.lit(float(words)) / F.col("n_entity"), F.lit(2.0)))
-    return both.join(mentions, "entity").join(corpus, "term").select(
-        "entity", "term", (1 - missing / information).alias("disclosure")).filter(F.col("disclosure") >= threshold)
+        "doc_id", "_key", "f.kind", "f.gaps", "f.values")
+    return _positions(per_kind).filter(_valid(F.col("kind"), F.col("value")))
+
+
+def _gated(docs: DataFrame) -> DataFrame:
+    """doc_id, _key, body of the rows that could hold a base span: no text moves to find them."""
+    text = docs.select("doc_id", common.content_key().alias("_key"), common.whole().alias("body"))
+    return text.filter(reduce(lambda a, b: a | b, [gate(F.col("body")) for gate in GATES.values()]))
+
+
+def own_terms(docs: DataFrame) -> DataFrame:
+    """doc_id, _key, term: the distinct terms, outside of what is blanked, of documents that may hold an entity."""
+    masked = F.col("body")
+    for kind, gate in GATES.items():
+        masked = F.when(gate(F.col("body")), F.regexp_replace(masked, BLANKED[kind], " ")).otherwise(masked)
+    terms = F.array_distinct(common.plain_words(masked))
+    return _gated(docs).select("doc_id", "_key", F.explode(terms).alias("term")).distinct()
+
+
+def held_classes(spans: DataFrame, total: int, terms: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, _key, class of the entities a document holds, and class, n_entity.
+
+    A class is what all entities of the same documents, or all of a kind, have in common.
+    """
+    held = spans.select("doc_id", "_key", "kind", F.xxhash64("kind", "value").alias("entity")).distinct()
+    document = (F.xxhash64("doc_id", "_key"), F.xxhash64("_key", "doc_id", F.lit(1)))
+    # With fewer documents not even a term that stands with the entity alone is beyond chance.
+    possible = F.col("n_entity") * F.log(F.lit(float(max(total, 1))) / F.col("n_entity")) >= math.log(max(terms, 1) / CHANCE)
+    entities = held.groupBy("entity").agg(
+        F.count(F.lit(1)).alias("n_entity"), *[F.bit_xor(h).alias(f"h{k}") for k, h in enumerate(document)]
+    ).filter(possible).withColumn("class", F.xxhash64("n_entity", "h0", "h1"))
+    kinds = held.select("doc_id", "_key", "kind").distinct().withColumn("class", F.xxhash64("kind"))
+    pooled = kinds.groupBy("class").agg(F.count(F.lit(1)).alias("n_entity")).filter(possible)
+    members = held.join(entities, "entity").select("doc_id", "_key", "class").unionByName(
+        kinds.select("doc_id", "_key", "class").join(F.broadcast(pooled.select("class")), "class").select("doc_id", "_key", "class"))
+    sizes = entities.select("class", "n_entity").unionByName(pooled).groupBy("class").agg(F.max("n_entity").alias("n_entity"))
+    return members.distinct(), sizes
+
+
+def disclosure(k: Column, n: Column, n_entity: Column, total: int) -> Column:
+    """The lower confidence bound of the share of an entity's information that a term carries."""
+    p, z = k / n, Z * Z
+    least = (p + z / (2 * n) - Z * F.sqrt(p * (1 - p) / n + z / (4 * n * n))) / (1 + z / n)
+    return 1 + F.log(least) / F.log(F.lit(float(total)) / n_entity)
+
+
+def beyond_chance(k: Column, n: Column, n_entity: Column, total: int, terms: int) -> Column:
+    """Whether fewer than CHANCE of all terms would meet the entity so often by chance."""
+    p, a = n_entity / F.lit(float(total)), k / n
+    rest = F.when(k < n, (1 - a) * F.log((1 - a) / (1 - p))).otherwise(F.lit(0.0))
+    return (a > p) & (n * (a * F.log(a / p) + rest) >= math.log(max(terms, 1) / CHANCE))
+
+
+def term_documents(docs: DataFrame) -> DataFrame:
+    """term (hash) and n, the documents that hold it, over the whole corpus."""
+    return docs.select(F.explode(F.array_distinct(common.plain_words(common.whole()))).alias("w")).groupBy(
+        F.xxhash64("w").alias("term")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def disclosing(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """doc_id, _key, term: the terms of each document that disclose an entity it holds."""
+    corpus = common.settled(term_documents(docs))
+    total, terms = docs.count(), corpus.count()
+    members, sizes = held_classes(spans, total, terms)
+    members, own = common.settled(members), common.settled(own_terms(docs))
+    # Documents are joined by one number; equal numbers would have to meet within one document's terms.
+    number = F.xxhash64("doc_id", "_key").alias("doc")
+    meetings = members.select(number, "class").join(own.select(number, "term"), "doc")
+    both = meetings.groupBy("class", "term").agg(F.count(F.lit(1)).alias("k"))
+    known = both.join(sizes, "class").withColumn("_term", F.xxhash64("term")).join(
+        corpus.withColumnRenamed("term", "_term"), "_term")
+    n = F.greatest("n", "k")
+    shown = common.settled(known.filter(
+        (F.col("n_entity") < total) & beyond_chance(F.col("k"), n, F.col("n_entity"), total, terms)
+        & (disclosure(F.col("k"), n, F.col("n_entity"), total) >= DISCLOSURE)).select("class", "term"))
+    # Only terms that disclose anything are looked for among a document's own.
+    few = own.join(shown.select("term").distinct(), "term", "left_semi").select("doc_id", "_key", number, "term")
+    return few.join(members.select(number, "class"), "doc").join(shown, ["class", "term"], "left_semi").select(
+        "doc_id", "_key", "term").distinct()
+
+
+def term_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """doc_id, _key, start, end of every disclosing term outside base spans."""
+    listed = disclosing(docs, spans).groupBy("doc_id", "_key").agg(F.collect_list("term").alias("terms"))
+    # Longer terms need not come first: a term ends where no further character of a term follows.
+    pattern = F.concat(F.lit(f"(?i)(?<!{WORD})(?:"), F.array_join(F.sort_array("terms"), "|"), F.lit(f")(?!{WORD})"))
+    texts = common.join_rows(_gated(docs), listed.select("doc_id", "_key", pattern.alias("pattern")), "inner")
+    found = _positions(texts.select(
+        "doc_id", "_key", F.lit("term").alias("kind"), F.split("body", F.col("pattern"), F.lit(-1)).alias("gaps"),
+        F.regexp_extract_all("body", F.col("pattern"), F.lit(0)).alias("values")))
+    # A term that begins before a span and reaches into it, or begins inside of one, is part of it.
+    both = found.select("doc_id", "_key", "start", "end", F.lit(False).alias("base")).unionByName(
+        spans.select("doc_id", "_key", "start", "end", F.lit(True).alias("base")))
+    order = Window.partitionBy("doc_id", "_key").orderBy("start", F.col("base").desc())
+    before, after = order.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("doc_id", "_key").orderBy(
+        F.col("start").desc(), F.col("base").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    base_end, base_start = F.when(F.col("base"), F.col("end")), F.when(F.col("base"), F.col("start"))
+    marked = both.withColumns({"reached": F.max(base_end).over(before), "next": F.min(base_start).over(after)})
+    free = (F.coalesce("reached", F.lit(0)) <= F.col("start")) & (F.coalesce("next", F.col("end")) >= F.col("end"))
+    return marked.filter(~F.col("base") & free).select("doc_id", "_key", "start", "end")
 
 
 def all_spans(docs: DataFrame) -> DataFrame:
     """doc_id, _key, and spans: sorted (start, nth of kind, end)."""
     spans = common.settled(base_spans(docs))
-    around = common.settled(contexts(spans))
-    shown = disclosing(docs, spans, around).select("entity", "term")
-    terms = around.join(shown, ["entity", "term"]).select(
-        "doc_id", "_key", "start", F.lit(TERM).alias("kind"), "end")
+    terms = term_spans(docs, spans).select("doc_id", "_key", "start", F.lit(TERM).alias("kind"), "end")
     number = F.create_map(*[F.lit(x) for k, name in enumerate(KINDS) for x in (name, k)])[F.col("kind")]
     every = spans.select("doc_id", "_key", "start", number.alias("kind"), "end").unionByName(terms)
     return every.groupBy("doc_id", "_key").agg(F.sort_array(F.collect_set(F.struct("start", "kind", "end"))).alias("spans"))

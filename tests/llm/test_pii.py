@@ -1,6 +1,7 @@
 """Spans of personal data beside plain regular expressions; disclosure on planted cases."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -102,6 +103,97 @@ def test_numbers_and_short_names_disclose(spark):
     assert not any(term in clean[0] for term in ("Bo ", "A12B9", "40417", "secret")) and "order" in clean[0]
 
 
+def frame(spark, texts):
+    return spark.createDataFrame([(k, t, None, "s") for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+
+
+def test_terms_far_from_the_entity_are_found(spark):
+    filler = "plain common words stand here and there and go on for quite a while so that nothing is near anything else at all in them"
+    texts = [f"Zanzibar {filler} {k} {filler} secret@mail.org" for k in range(6)] + [f"{filler} {k} mail" for k in range(80)]
+    clean = [r.text for r in pii.sanitised(frame(spark, texts)).orderBy("doc_id").collect()]
+    assert not any("Zanzibar" in text or "secret" in text for text in clean[:6])
+    assert all("quite a while" in text for text in clean)
+
+
+def test_terms_in_equal_surroundings_are_found(spark):
+    filler = "plain common words stand here and there"
+    texts = [f"{filler} Zanzibar secret@mail.org {filler}"] * 50 + [f"{filler} {k}" for k in range(400)]
+    rows = pii.find(frame(spark, texts)).collect()
+    assert all((r.n_term == 1) == (r.doc_id < 50) for r in rows)
+
+
+def test_a_kind_is_disclosed_by_what_stands_with_its_values_only(spark):
+    filler = "plain common words stand here and there"
+    texts = [f"{filler} hotline{'' if k % 2 else ' x'} {k} +49 30 1{k:06d}" for k in range(40)] + [f"{filler} {k}" for k in range(400)]
+    rows = {r.doc_id: r for r in pii.find(frame(spark, texts)).collect()}
+    at = texts[1].index("hotline")
+    assert rows[1].n_phone == 1 and rows[1].spans.split(",")[0] == f"term:{at}:{at + 7}"
+    assert all(rows[k].n_term == 0 for k in range(40, 440))
+
+
+def plain_terms(texts):
+    """Terms by document, from the definitions."""
+    word = re.compile(pii.TOKEN)
+    lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t)
+    tokens = [{lower(w) for w in word.findall(t)} for t in texts]
+    held = {}
+    own = []
+    for k, text in enumerate(texts):
+        for kind, pattern in PLAIN.items():
+            for m in re.finditer(pattern, text):
+                if good(kind, m[0]):
+                    held.setdefault((kind, m[0]), set()).add(k)
+                    held.setdefault(kind, set()).add(k)
+        masked = text
+        for pattern in (PLAIN | {"card": r"[0-9]([\x20-]?[0-9]){13,}"}).values():
+            masked = re.sub(pattern, " ", masked)
+        own.append({lower(w) for w in word.findall(masked)})
+    total, vocabulary = len(texts), len(set().union(*tokens))
+    found = [set() for _ in texts]
+    for documents in held.values():
+        for term in set().union(*(own[d] for d in documents)):
+            k, n, n_e = sum(term in own[d] for d in documents), sum(term in t for t in tokens), len(documents)
+            if not n:
+                continue  # what blanking left of a word
+            n = max(n, k)
+            a, p = k / n, n_e / total
+            if n_e == total or a <= p:
+                continue
+            far = n * (a * math.log(a / p) + ((1 - a) * math.log((1 - a) / (1 - p)) if k < n else 0))
+            z = pii.Z**2
+            least = (a + z / (2 * n) - pii.Z * math.sqrt(a * (1 - a) / n + z / (4 * n * n))) / (1 + z / n)
+            if vocabulary * math.exp(-far) <= pii.CHANCE and 1 + math.log(least) / math.log(total / n_e) >= pii.DISCLOSURE:
+                for d in documents:
+                    found[d] |= {term} & own[d]
+    out = []
+    for text, terms in zip(texts, found):
+        taken = [(m.start(), m.end()) for kind, pattern in PLAIN.items() for m in re.finditer(pattern, text) if good(kind, m[0])]
+        out.append([(m.start(), m.end()) for m in word.finditer(text) if lower(m[0]) in terms
+                    and not any(a < m.end() and m.start() < b for a, b in taken)])
+    return out
+
+
+def test_terms_are_those_of_the_definitions(spark):
+    dice = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(50)] + ["Ärger", "A1", "é2"]
+    people = [(f"Name{k}", f"u{k}.name{k}@mail.org", f"10.0.{k}.7", f"order{k}") for k in range(12)]
+    texts = []
+    for k in range(400):
+        words = [dice.choice(vocabulary) for _ in range(dice.randrange(3, 25))]
+        if dice.random() < 0.4:
+            person = people[min(dice.randrange(20), 11)]
+            words[1:1] = [w for w in (*person, "reach", person[0].upper(), "é" + person[0]) if dice.random() < 0.7]
+            dice.shuffle(words)
+        texts.append(" ".join(words) + dice.choice(["", ".", " 😀"]))
+    rows = {r.doc_id: r for r in pii.find(frame(spark, texts)).collect()}
+    wanted, number = plain_terms(texts), 0
+    for k in range(len(texts)):
+        got = [tuple(map(int, s.split(":")[1:])) for s in rows[k].spans.split(",") if s.startswith("term")]
+        assert got == wanted[k], texts[k]
+        number += len(got)
+    assert number > 100
+
+
 def test_edge_cases(spark):
     docs = spark.createDataFrame(
         [(None, "me@x.org", None, None), (None, None, None, None), (1, "", "en", "s"), (1, "", "en", "s"),
