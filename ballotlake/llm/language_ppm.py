@@ -3,12 +3,13 @@
 For each language a tree of byte contexts up to length `ORDER` is counted on labelled documents and then
 frozen. A byte's code length is that of its longest context seen in training: seen there, count over
 count plus distinct; not seen, an escape (distinct over the same total) and the next shorter context, down
-to equal chances for every byte. The language with the shortest code for the whole text wins; the score
+to equal chances for all 256 bytes. The language with the shortest code for the whole text wins; the score
 is its share of the probability.
 
-Contexts of all languages together are numbered, so a text becomes a row of numbers and its code
-lengths are looked up in one table: `CONTEXTS` of the longest contexts (the most frequent) have a row of
-their own, the rest are coded from their shorter suffixes.
+The trees are sparse: for every length the contexts seen, and the contexts with a byte, are sorted numbers,
+each with the languages that have it and their code lengths. Nothing that was seen is dropped, and the model
+grows with what was seen, not with languages times contexts. Texts are scored many at a time: the distinct
+runs of `ORDER` + 1 bytes in them are looked up once, and every text adds up the lengths of its own.
 
 The training sample is bounded: of each language the `SAMPLE` documents with the smallest hash of
 doc_id, counted in Spark. Every text is predicted whole.
@@ -27,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,11 +36,9 @@ from ballotlake.llm import common
 
 ORDER = 3  # bytes of context
 SAMPLE = 400  # documents per language
-CONTEXTS = 30_000  # longest contexts with a row of their own
-SYMBOLS = 127  # byte values with a number of their own, the rest share one
 FOLD, HELD = 3, 1
-CHUNK = 1 << 18  # bytes scored at a time
-_LETTER = re.compile(r"[^\W\d_]")
+CHUNK = 1 << 20  # bytes times languages scored at a time
+_ASCII_LETTER = re.compile("[A-Za-z]")
 
 
 def fold() -> Column:
@@ -87,100 +87,128 @@ def learned(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     return chosen.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is of a Unicode letter category."""
+    return bool(_ASCII_LETTER.search(text)) or any(map(str.isalpha, set(text)))
+
+
 @dataclass
-class Model:
-    languages: list[str]
-    symbol: np.ndarray  # byte -> number
-    state: np.ndarray  # ORDER symbols -> row of the table
-    bits: np.ndarray  # (row * symbols + symbol) x language -> code length
+class Sparse:
+    """Codes in order, as often as languages have them, with a language and a length each."""
 
-    @property
-    def width(self) -> int:
-        return int(self.symbol.max()) + 1
+    code: np.ndarray
+    lang: np.ndarray
+    bits: np.ndarray
+
+    @classmethod
+    def of(cls, code: np.ndarray, lang: np.ndarray, bits: np.ndarray) -> Sparse:
+        """Of entries sorted by code."""
+        return cls(code.astype(np.uint32), lang.astype(np.min_scalar_type(lang.max(initial=0))), bits.astype(np.float32))
 
+    def entries(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places in codes, languages and lengths of all entries of the codes."""
+        low = np.searchsorted(self.code, codes)
+        size = np.searchsorted(self.code, codes, "right") - low
+        before = np.cumsum(size) - size
+        place = np.arange(int(size.sum())) + np.repeat(low - before, size)
+        return np.repeat(np.arange(len(codes)), size), self.lang[place], self.bits[place]
 
-def _marginal(codes: np.ndarray, langs: np.ndarray, counts: np.ndarray, languages: int):
-    """Sums of counts by (code, language): the codes, languages and sums."""
-    both, place = np.unique(codes * languages + langs, return_inverse=True)
-    return both // languages, both % languages, np.bincount(place, counts).astype(np.float64)
 
+@dataclass
+class Model:
+    languages: list[str]
+    seen: list[Sparse]  # by length of the context: context and byte, code length
+    escape: list[Sparse]  # by length of the context: context, length of the escape
 
-def build(rows: list[tuple[str, int, int]], contexts: int = CONTEXTS) -> Model | None:
+    @property
+    def size(self) -> int:
+        """Bytes of all tables."""
+        return sum(a.nbytes for part in (*self.seen, *self.escape) for a in (part.code, part.lang, part.bits))
+
+    def lengths(self, codes: np.ndarray, order: int = ORDER) -> np.ndarray:
+        """Code x language: bits of the last byte of each code after the `order` bytes before it."""
+        codes = codes.astype(np.uint32)
+        if order < 0:
+            return np.full((len(codes), len(self.languages)), 8.0)
+        shorter, inverse = np.unique(codes & np.uint32((1 << 8 * order) - 1), return_inverse=True)
+        out = self.lengths(shorter, order - 1)[inverse]
+        place, lang, bits = self.escape[order].entries(codes >> np.uint32(8))
+        out[place, lang] += bits
+        place, lang, bits = self.seen[order].entries(codes)
+        out[place, lang] = bits
+        return out
+
+
+def _sums(code: np.ndarray, lang: np.ndarray, count: np.ndarray, languages: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of counts by (code, language), sorted: the codes, languages and sums."""
+    both, place = np.unique(code.astype(np.int64) * languages + lang, return_inverse=True)
+    return both // languages, both % languages, np.bincount(place, count)
+
+
+def build(rows: pa.Table | list[tuple[str, int, int]]) -> Model | None:
     """The frozen model from (lang, gram, n)."""
-    if not rows:
+    if not isinstance(rows, pa.Table):
+        rows = pa.table({name: [row[k] for row in rows] for k, name in enumerate(("lang", "gram", "n"))})
+    if not rows.num_rows:
         return None
-    languages = sorted({row[0] for row in rows})
-    number = {lang: k for k, lang in enumerate(languages)}
-    lang = np.array([number[row[0]] for row in rows], np.int64)
-    gram = np.array([row[1] for row in rows], np.int64)
-    count = np.array([row[2] for row in rows], np.float64)
-    seen = np.bincount(gram & 255, count, 256)
-    common_bytes = np.argsort(-seen, kind="stable")[:SYMBOLS]
-    common_bytes = common_bytes[seen[common_bytes] > 0]
-    symbol = np.full(256, len(common_bytes), np.int64)
-    symbol[np.sort(common_bytes)] = np.arange(len(common_bytes))
-    width = len(common_bytes) + 1
-    parts = [symbol[(gram >> (8 * back)) & 255] for back in range(ORDER + 1)]  # symbol, then its contexts
-    size = len(languages)
-    # Equal chances, then from the empty context to the longest.
-    bits = np.full((1, width, size), np.log2(width), np.float64)
-    row_of = np.zeros(width**ORDER, np.int32)
-    tables, made = [], 0
-    shorter_codes = np.zeros(1, np.int64)
+    languages = sorted(rows.column("lang").unique().to_pylist())
+    lang = pc.index_in(rows.column("lang"), pa.array(languages)).to_numpy().astype(np.int64)
+    gram, count = (rows.column(name).to_numpy().astype(np.int64) for name in ("gram", "n"))
+    # A gram has its last byte lowest, the byte before it next, and so on.
+    seen, escape = [], []
     for order in range(ORDER + 1):
-        code = np.zeros(len(gram), np.int64)
-        for back in range(order, 0, -1):
-            code = code * width + parts[back]
-        codes, langs, sums = _marginal(code * width + parts[0], lang, count, size)
-        context, sign = codes // width, codes % width
-        kept = np.unique(context)
-        if order == ORDER and len(kept) > contexts:
-            weight = np.bincount(np.searchsorted(kept, context), sums)
-            kept = np.sort(kept[np.argsort(-weight, kind="stable")[:contexts]])
-        place = np.searchsorted(kept, context)
-        here = (place < len(kept)) & (kept[np.minimum(place, len(kept) - 1)] == context)
-        place, sign, langs, sums = place[here], sign[here], langs[here], sums[here]
-        total, distinct = np.zeros((len(kept), size)), np.zeros((len(kept), size))
-        np.add.at(total, (place, langs), sums)
-        np.add.at(distinct, (place, langs), 1)
-        if order == 0:
-            below = np.repeat(bits, len(kept), axis=0)
-        else:
-            suffix = np.searchsorted(shorter_codes, kept % width ** (order - 1))
-            below = tables[-1][suffix]
-        known = total > 0
-        with np.errstate(divide="ignore"):
-            escape = np.where(known, -np.log2(distinct / np.maximum(total + distinct, 1)), 0.0)
-        table = below + escape[:, None, :]
-        table[place, sign, langs] = -np.log2(sums / (total + distinct)[place, langs])
-        first = made
-        tables.append(table)
-        made += len(kept)
-        # The row of every run of ORDER symbols that ends in one of these contexts.
-        span = width**order
-        rows_here = np.full(span, -1, np.int32)
-        rows_here[kept] = np.arange(first, made)
-        tail = row_of.reshape(-1, span)
-        tail[:, rows_here >= 0] = rows_here[rows_here >= 0]
-        shorter_codes = kept
-    flat = np.concatenate(tables).astype(np.float32)
-    return Model(languages, symbol, row_of, np.ascontiguousarray(flat.reshape(-1, size)))
-
-
-def code_lengths(model: Model, text: str) -> np.ndarray:
-    """Bits of the whole text in each language."""
-    data = model.symbol[np.frombuffer(encoded(text), np.uint8)]
-    width, total = model.width, np.zeros(len(model.languages))
-    for low in range(ORDER, len(data), CHUNK):
-        high = min(low + CHUNK, len(data))
-        code = np.zeros(high - low, np.int64)
-        for back in range(ORDER, 0, -1):
-            code = code * width + data[low - back:high - back]
-        cells = model.state[code].astype(np.int64) * width + data[low:high]
-        total += np.ones(high - low, np.float32) @ model.bits[cells]
+        code, langs, sums = _sums(gram & ((1 << 8 * (order + 1)) - 1), lang, count, len(languages))
+        context, owner, total = _sums(code >> 8, langs, sums, len(languages))
+        distinct = _sums(code >> 8, langs, np.ones(len(code)), len(languages))[2]
+        mine = np.searchsorted(context * len(languages) + owner, (code >> 8) * len(languages) + langs)
+        seen.append(Sparse.of(code, langs, -np.log2(sums / (total + distinct)[mine])))
+        escape.append(Sparse.of(context, owner, -np.log2(distinct / (total + distinct))))
+    return Model(languages, seen, escape)
+
+
+def code_lengths(model: Model, texts: list[str]) -> np.ndarray:
+    """Text x language: bits of the whole text."""
+    total = np.zeros((len(texts), len(model.languages)))
+    step = max(1, CHUNK // len(model.languages))
+    waiting: list[tuple[int, np.ndarray]] = []
+    size = 0
+
+    def add() -> None:
+        """The pieces that wait, each of one text."""
+        distinct, inverse = np.unique(np.concatenate([part for _, part in waiting]), return_inverse=True)
+        starts = np.cumsum([0, *(len(part) for _, part in waiting)])[:-1]
+        np.add.at(total, [text for text, _ in waiting], np.add.reduceat(model.lengths(distinct)[inverse], starts, axis=0))
+
+    for number, text in enumerate(texts):
+        codes = grams(np.frombuffer(encoded(text), np.uint8))
+        for low in range(0, len(codes), step):
+            waiting.append((number, codes[low:low + step]))
+            size += len(waiting[-1][1])
+            if size >= step:
+                add()
+                waiting, size = [], 0
+    if waiting:
+        add()
     return total
 
 
+def _gathered(column: pa.Array) -> Iterator[tuple[list[int], list[str]]]:
+    """Rows whose text has a letter, with the texts, in lists of about CHUNK characters."""
+    rows, texts, size = [], [], 0
+    for row, value in enumerate(column):
+        text = value.as_py()
+        if text is None or not has_letter(text):
+            continue
+        rows.append(row)
+        texts.append(text)
+        size += len(text)
+        if size >= CHUNK:
+            yield rows, texts
+            rows, texts, size = [], [], 0
+    if rows:
+        yield rows, texts
+
+
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, held_out, lang_pred, score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -188,17 +216,13 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            names, scores = [], []
-            for value in batch.column("text"):
-                text = value.as_py()
-                if own is None or text is None or not _LETTER.search(text):
-                    names.append("und")
-                    scores.append(0.0)
-                    continue
-                bits = code_lengths(own, text)
-                best = int(np.argmin(bits))
-                names.append(own.languages[best])
-                scores.append(float(1.0 / np.exp2(np.maximum(bits[best] - bits, -1000.0)).sum()))
+            names, scores = ["und"] * batch.num_rows, [0.0] * batch.num_rows
+            for rows, texts in _gathered(batch.column("text")) if own else ():
+                bits = code_lengths(own, texts)
+                best = bits.argmin(axis=1)
+                shares = 1.0 / np.exp2(np.maximum(bits[np.arange(len(rows)), best][:, None] - bits, -1000.0)).sum(axis=1)
+                for row, lang, share in zip(rows, best.tolist(), shares.tolist()):
+                    names[row], scores[row] = own.languages[lang], share
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 ["doc_id", "held_out", "lang_pred", "score"])
@@ -209,7 +233,8 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def train(docs: DataFrame) -> Model | None:
-    return build([(r["lang"], r["gram"], r["n"]) for r in learned(docs).orderBy("lang", "gram").collect()])
+    """The model of the sample: what comes to the driver are the sample's runs of bytes and their counts."""
+    return build(learned(docs).toArrow())
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

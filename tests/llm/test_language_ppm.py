@@ -21,16 +21,15 @@ def model_of(texts):
 
 def plain_bits(texts, lang, text):
     """Context trees as dictionaries, byte after byte."""
-    trees, known = {}, set()
+    trees = {}
     for name, body in texts:
         data = P.encoded(body)
         for at in range(P.ORDER, len(data)):
-            known.add(data[at])
             if name == lang:
                 for order in range(P.ORDER + 1):
                     tree = trees.setdefault(data[at - order:at], {})
                     tree[data[at]] = tree.get(data[at], 0) + 1
-    width, total, data = len(known) + 1, 0.0, P.encoded(text)
+    total, data = 0.0, P.encoded(text)
     for at in range(P.ORDER, len(data)):
         bits = 0.0
         for order in range(P.ORDER, -1, -1):
@@ -43,7 +42,7 @@ def plain_bits(texts, lang, text):
                 break
             bits -= math.log2(len(tree) / size)
         else:
-            bits += math.log2(width)
+            bits += 8
         total += bits
     return total
 
@@ -54,7 +53,7 @@ def test_code_lengths_are_exact():
     texts = [("a", text("abcé ", 400)), ("b", text("bcd\n ", 300)), ("c", "zz")]
     model = model_of(texts)
     for sample in ("abc é", text("abcd ", 50), "bcd", "z", "abz"):
-        bits = P.code_lengths(model, sample)
+        (bits,) = P.code_lengths(model, [sample])
         for k, lang in enumerate(model.languages):
             assert bits[k] == pytest.approx(plain_bits(texts, lang, sample), rel=1e-4)
 
@@ -62,9 +61,56 @@ def test_code_lengths_are_exact():
 def test_pieces_add_up(monkeypatch):
     model = model_of([("a", "the cat sat on the mat " * 20), ("b", "le chat est sur le tapis " * 20)])
     text = "the cat is on the tapis " * 50
-    whole = P.code_lengths(model, text)
+    whole = P.code_lengths(model, [text, "le chat", "", text + "x"])
+    alone = np.concatenate([P.code_lengths(model, [t]) for t in (text, "le chat", "", text + "x")])
+    assert whole == pytest.approx(alone, rel=1e-9)
     monkeypatch.setattr(P, "CHUNK", 64)
-    assert P.code_lengths(model, text) == pytest.approx(whole, rel=1e-4)
+    assert P.code_lengths(model, [text, "le chat", "", text + "x"]) == pytest.approx(whole, rel=1e-9)
+
+
+def test_any_number_of_contexts_and_all_byte_values(monkeypatch):
+    """More than 30,000 contexts of three bytes; texts of all 256 values, as bytes of Latin-1."""
+    monkeypatch.setattr(P, "encoded", lambda text: b"\n" * P.ORDER + text.encode("latin-1"))
+    dice = random.Random(3)
+    body = lambda n: "".join(chr(dice.randrange(256)) for _ in range(n))
+    texts = [("a", body(30_000)), ("b", body(9_000)), ("c", "".join(map(chr, range(256))) * 3)]
+    model = model_of(texts)
+    assert len(set(model.escape[3].code)) > 30_000 and len(set(model.seen[0].code)) == 256
+    samples = [texts[0][1][500:700] + body(100), body(200), "".join(map(chr, range(256)))]
+    found = P.code_lengths(model, samples)
+    for row, sample in zip(found, samples):
+        for k, lang in enumerate(model.languages):
+            assert row[k] == pytest.approx(plain_bits(texts, lang, sample), rel=1e-5)
+
+
+def test_forty_languages_stay_small():
+    dice = np.random.default_rng(5)
+    rows = []
+    for lang in range(40):
+        letters = dice.choice(256, 40, replace=False)
+        syllables = [dice.choice(letters, dice.integers(1, 5)).tolist() for _ in range(400)]
+        data = np.array([10, 10, 10, *(c for k in (dice.zipf(1.3, 500_000) % 400) for c in syllables[k])], np.uint8)
+        values, counts = np.unique(P.grams(data), return_counts=True)
+        rows += list(zip([f"l{lang}"] * len(values), values.tolist(), counts.tolist()))
+    model = P.build(rows)
+    assert len(model.languages) == 40 and model.size < 100e6 and len(set(model.seen[3].code)) > 500_000
+
+
+@pytest.mark.parametrize("text, letter", [("²", False), ("½ ① Ⅷ", False), ("12_3", False), ("☃😀", False), ("ª", True), ("é", True), ("字", True), ("ʰ", True), ("ก็", True), ("็", False), ("x", True)])
+def test_letters(spark, text, letter):
+    assert P.has_letter(text) == letter
+
+
+def test_texts_without_letters_are_undetermined(spark):
+    frame = spark.createDataFrame([(k, t, "en") for k, t in enumerate(["²½", "Ⅷ ①", "some words", "12"])], "doc_id long, text string, lang string")
+    model = model_of([("en", "some words here")])
+    assert [r.lang_pred for r in P.predict(frame, model).orderBy("doc_id").collect()] == ["und", "und", "en", "und"]
+
+
+def test_ties_go_to_the_first_language():
+    model = model_of([("b", "same text"), ("a", "same text")])
+    (bits,) = P.code_lengths(model, ["same"])
+    assert bits[0] == bits[1] and model.languages[int(bits.argmin())] == "a"
 
 
 def test_held_out_accuracy(spark, sf):
