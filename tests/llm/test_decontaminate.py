@@ -67,6 +67,20 @@ def test_random_texts(spark, block):
     assert ours(frame, bench, size=5, block_size=block) == plain(docs, items, 5)
 
 
+@pytest.mark.parametrize("block", [3, 40, 100_000])
+def test_the_corpus_is_read_twice_for_any_benchmark(spark, tmp_path, block):
+    text = " ".join(f"word{k}" for k in range(100))
+    spark.createDataFrame([(k, text) for k in range(50)], "doc_id long, text string").selectExpr("*", "'l' as lang", "'s' as source").write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    windows = D.windows(spark.createDataFrame([(1, text), (2, "word5 word6 word7")], "item_id long, text string"))[0]
+    counts = D.rare_first(windows, docs, block)
+    near = D._near(docs, common.settled(counts), 13, windows.count() <= block)
+    plans = [df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("FileScan parquet") for df in (counts, near)]
+    assert plans == [1, 1]
+    bench = spark.createDataFrame([(1, text), (2, "word5 word6 word7")], "item_id long, text string")
+    assert {tuple(r) for r in D.contamination(docs, bench, block_size=block).select("n_words", "n_hit").collect()} == {(100, 100)}
+
+
 def test_edge_cases(spark, odd_docs, tmp_path):
     bench = spark.createDataFrame([(1, "plain words stand here one after the other so that there is enough of them"), (None, "no id HERE"), (2, None)],
                                   "item_id long, text string").selectExpr("*", "1 as tokens", "2 as window", "3 as spot")
