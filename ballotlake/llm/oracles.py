@@ -12,7 +12,8 @@ with lines as (
 spread as (
   select body, min(doc_id) as keeper from lines
   where regexp_matches(body, '[^\\x20\\x09-\\x0D]')
-  group by body having count(distinct source) >= {line_spread.MIN_SITES}
+  group by body 
+  having count(distinct source) >= (select greatest({line_spread.FLOOR}, least({line_spread.SITES}, ceil({line_spread.SHARE} * count(distinct source)))) from documents)
 ),
 gone as (
   select l.doc_id, list(distinct l.body) as bodies

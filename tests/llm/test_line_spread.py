@@ -42,6 +42,25 @@ def test_against_plain_version(spark, sites):
     assert sorted(((r.doc_id, r.text, r._removed) for r in found.collect()), key=str) == plain(rows, sites)
 
 
+def test_lines_joined_by_shuffling(spark):
+    rows = [(doc, f"all over the place\nown {doc}\nline {doc % 7}", f"s{doc % 13}") for doc in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = L.remove_spread_lines(frame, 4, few=0)
+    assert sorted(((r.doc_id, r.text, r._removed) for r in found.collect()), key=str) == plain(rows, 4)
+
+
+@pytest.mark.parametrize("sites, wanted", [(1, 3), (2, 3), (5, 3), (9, 5), (19, 10), (20, 10), (5000, 10)])
+def test_threshold_follows_the_number_of_sites(spark, sites, wanted):
+    frame = spark.range(sites * 3).select(F.concat(F.lit("s"), F.col("id") % sites).alias("source"))
+    assert L.threshold(frame.unionByName(spark.createDataFrame([(None,)], "source string"))) == wanted
+
+
+def test_nine_sites_lose_their_footer_line(spark):
+    rows = [(doc, f"text of {doc}\nAll rights are with somebody", f"s{doc % 9}") for doc in range(900)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert L.remove_spread_lines(frame).agg(F.sum("_removed")).first()[0] == 899
+
+
 def test_edge_cases(spark, odd_docs):
     more = odd_docs.unionByName(odd_docs.withColumn("source", F.lit("z")).withColumn("doc_id", F.col("doc_id") + 100))
     cut = L.stage(spark, more, "")
