@@ -1,11 +1,15 @@
 """A schedule that mixes sources to target weights, evenly at every length.
 
-Each source's documents are shuffled (by a hash of doc_id) into one stream of words, cut into blocks of
-equal length. The slots of the mix get golden-ratio points; a point's place on the cumulative target
-weights names the slot's source, and the slot's rank within that source names the block: ranks run
-through the blocks in order and start over for a second lap. The slot that reaches a source's target
-takes only as much as is missing; a source for which the schedule ended early gets the rest of its
-slots at the end. Joining slots and blocks gives the words taken from every document.
+Each source's documents are shuffled (by a hash of doc_id) into one stream of words, which repeats and is cut
+into blocks of equal length. There are as many slots as blocks make up all targets, 150 % of the words. They
+get golden-ratio points; a point's place on the cumulative targets names the slot's source, and the slot's
+rank within that source names the block it takes. Nothing is filled up or cut back afterwards: a source
+gets what the points give it, which is its target within 2 + log2(slots) blocks, for the points spread
+evenly over every interval. Only a source's last block ends where the stream has been taken `MOST` times.
+
+A document's words are those of the blocks that lie on it. As a source's ranks leave none out, the blocks
+reach from its first word to a last one, which tells the words; the slots that take a document's first
+and last word are looked up by rank.
 
 Counting, ranks and running sums are done in two levels (chunk totals, then inside the chunk), so
 that a source with a third of all rows is never in one task.
@@ -17,7 +21,10 @@ input are ignored, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ballotlake.llm import common
@@ -26,7 +33,6 @@ CYCLE = (5, 2, 1)  # weights of the sources by name, repeating
 SHARE = 1.5  # the mix has this many times the words there are
 MOST = 2  # times a source, and so a document, may be taken
 SLOTS = 2_000_000  # blocks the whole corpus is cut into, about
-SMALLEST_BLOCK = 16  # words
 GOLDEN = 0.6180339887498949
 SEED = "mix"
 CHUNK = 1 << 14  # slots counted together
@@ -78,29 +84,28 @@ def targets(sizes: DataFrame, cycle: tuple[int, ...] = CYCLE, share: float = SHA
 
 
 def plan(sources: DataFrame) -> tuple[DataFrame, int]:
-    """sources with their number of blocks and slots, and the common block length."""
+    """sources with the whole words of their targets, and the common block length."""
     total = sources.agg(F.sum("source_size")).first()[0] or 0
-    block = max(SMALLEST_BLOCK, total // SLOTS)
-    size, need = F.col("source_size"), F.floor("target").cast("long")
-    blocks = F.ceil(size / block).cast("long")
-    laps = F.when(size > 0, F.floor(need / size)).otherwise(0).cast("long")
-    return sources.select(
-        "*", need.alias("need"), blocks.alias("blocks"),
-        (laps * blocks + F.ceil((need - laps * size) / block)).cast("long").alias("slots"),
-    ), block
+    return sources.withColumn("need", F.coalesce(F.floor("target"), F.lit(0)).cast("long")), max(1, total // SLOTS)
+
 
+def golden(slot: Column) -> Column:
+    """The point of a slot, from 0 to 1."""
+    turned = (slot + 1) * F.lit(GOLDEN)
+    return turned - F.floor(turned)
 
-def schedule(spark: SparkSession, sources: DataFrame) -> DataFrame:
+
+def schedule(spark: SparkSession, sources: DataFrame, block: int, points: Callable[[Column], Column] = golden) -> DataFrame:
     """slot, sid, rank: which source every slot of the mix takes from, and the how-manieth time."""
-    edges = sources.filter("slots > 0").select(
-        "sid", "slots", F.sum("slots").over(Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, 0)).alias("high")
-    ).select("sid", "slots", (F.col("high") - F.col("slots")).alias("low"), "high")
-    number = edges.agg(F.max("high")).first()[0] or 0
-    width = max(1, -(-number // CELLS))
+    edges = sources.filter("need > 0").select(
+        "sid", "need", F.sum("need").over(Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, 0)).alias("high")
+    ).select("sid", (F.col("high") - F.col("need")).alias("low"), "high")
+    words = edges.agg(F.max("high")).first()[0] or 0
+    number = -(-words // block)
+    width = max(1, -(-words // CELLS))
     cells = edges.select("sid", "low", "high", F.explode(
         F.sequence(F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width))).alias("cell"))
-    point = (F.col("id") + 1) * F.lit(GOLDEN)
-    place = F.floor((point - F.floor(point)) * number).cast("long")
+    place = F.floor(points(F.col("id")) * words).cast("long")
     slots = spark.range(number).select(F.col("id").alias("slot"), place.alias("place")).withColumn(
         "cell", F.floor(F.col("place") / width))
     drawn = slots.join(cells, "cell").filter((F.col("place") >= F.col("low")) & (F.col("place") < F.col("high"))).select(
@@ -110,19 +115,12 @@ def schedule(spark: SparkSession, sources: DataFrame) -> DataFrame:
             Window.partitionBy("sid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     inside = drawn.select("slot", "sid", "chunk",
                           F.row_number().over(Window.partitionBy("sid", "chunk").orderBy("slot")).alias("nth"))
-    ranked = inside.join(counts, ["sid", "chunk"]).select("slot", "sid", (F.col("before") + F.col("nth") - 1).alias("rank"))
-    got = drawn.groupBy("sid").agg(F.count(F.lit(1)).alias("got"))
-    closing = sources.join(got, "sid", "left").select("sid", "slots", F.coalesce("got", F.lit(0)).alias("got")).filter(
-        F.col("slots") > F.col("got")).select("sid", F.explode(F.sequence("got", F.col("slots") - 1)).alias("rank")).select(
-        (F.col("rank") + number).alias("slot"), "sid", "rank")
-    limits = sources.select(F.col("sid").alias("_sid"), "slots")
-    return ranked.join(limits, F.col("sid") == F.col("_sid")).filter(F.col("rank") < F.col("slots")).select(
-        "slot", "sid", "rank").unionByName(closing.select("slot", "sid", "rank"))
+    return inside.join(counts, ["sid", "chunk"]).select("slot", "sid", (F.col("before") + F.col("nth") - 1).alias("rank"))
 
 
 def laid_out(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     """Every document with its source's row and its offset in the source's shuffled stream."""
-    of = sources.select("sid", F.col("source").alias("_source"), "source_size", "target", "need", "blocks")
+    of = sources.select("sid", F.col("source").alias("_source"), "source_size", "target", "reach")
     placed = sizes.join(of, F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "source").withColumn(
         "bucket", F.substring("shuffle", 1, 3))
     totals = placed.groupBy("sid", "bucket").agg(F.sum("size").alias("words")).select(
@@ -135,37 +133,38 @@ def laid_out(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     ).withColumn("start", F.col("bucket_start") + F.col("before")).drop("_sid", "_bucket", "bucket_start", "before", "bucket")
 
 
-def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The documents with the words taken from each, and the mix: slot, sid, rank, block, lap, words."""
+def mix(docs: DataFrame, points: Callable[[Column], Column] = golden) -> tuple[DataFrame, DataFrame]:
+    """The documents with the words taken from each, and the mix: slot, sid, rank, lap, start, words.
+
+    start is the first word a slot takes of its source's stream. Documents have the slots that take their
+    first and last taken word.
+    """
     spark = docs.sparkSession
     sizes = common.settled(sized(docs))
     sources, block = plan(common.settled(targets(sizes)))
     sources = common.settled(sources)
-    of = sources.select(F.col("sid").alias("_sid"), "source_size", "need", "blocks")
-    ranks = schedule(spark, sources).join(of, F.col("sid") == F.col("_sid")).select(
-        "slot", "sid", "rank", F.floor(F.col("rank") / F.col("blocks")).alias("lap"),
-        F.pmod("rank", "blocks").alias("block"), "source_size", "need")
-    start = F.col("block") * block
-    length = F.least(F.lit(block), F.col("source_size") - start)
+    # A block that would begin where the stream has been taken MOST times is nobody's.
+    ranks = schedule(spark, sources, block, points).join(
+        sources.select(F.col("sid").alias("_sid"), "source_size"), F.col("sid") == F.col("_sid")).drop("_sid")
+    ranks = common.settled(ranks.filter(F.col("rank") * block < MOST * F.col("source_size")))
+    at = F.col("rank") * block
     slots = ranks.select(
-        "slot", "sid", "rank", "block", "lap",
-        F.least(length, F.col("need") - F.col("lap") * F.col("source_size") - start).alias("words"))
-    # A block is taken once or twice; what of it goes into the mix is joined to the documents it cuts.
-    taken = slots.groupBy("sid", "block").agg(F.collect_list("words").alias("fills"))
-    rows = laid_out(sizes, sources).withColumn("row", F.xxhash64("shuffle", "size", "start"))
-    pieces = rows.filter("size > 0").select(
-        "sid", "doc_id", "row", "start", "size",
-        F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"))
-    low = F.greatest(F.col("start") - F.col("block") * block, F.lit(0))
-    high = F.least(F.col("start") + F.col("size") - F.col("block") * block, F.lit(block))
-    used = F.aggregate("fills", F.lit(0).cast("long"),
-                       lambda a, f: a + F.greatest(F.least(f, high) - low, F.lit(0)))
-    per_doc = pieces.join(taken, ["sid", "block"]).groupBy("doc_id", "sid", "row").agg(F.sum(used).alias("taken"))
-    per_doc = per_doc.select(F.col("doc_id").alias("_id"), F.col("sid").alias("_sid"), F.col("row").alias("_row"), "taken")
-    result = rows.join(
-        per_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("sid") == F.col("_sid")) & (F.col("row") == F.col("_row")), "left"
-    ).select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
-    return result, slots
+        "slot", "sid", "rank", F.floor(at / F.col("source_size")).alias("lap"), F.pmod(at, F.col("source_size")).alias("start"),
+        F.least(F.lit(block), MOST * F.col("source_size") - at).alias("words"))
+    reached = slots.groupBy("sid").agg(F.sum("words").alias("reach"))
+    known = sources.join(reached, "sid", "left").fillna(0, ["reach"])
+    first, size = F.col("start"), F.col("size")
+    laps = [F.greatest(F.least(F.col("reach") - lap * F.col("source_size") - first, size), F.lit(0)) for lap in range(MOST)]
+    taken = reduce(lambda a, b: a + b, laps)
+    # The last word is that of the last lap that comes to the document.
+    last = F.coalesce(*[F.when(words > 0, lap * F.col("source_size") + first + words - 1) for lap, words in reversed(list(enumerate(laps)))])
+    rows = laid_out(sizes, known).select(
+        "doc_id", "size", "source_size", "target", "sid", taken.cast("long").alias("taken"),
+        F.floor(F.when(taken > 0, first) / block).alias("rank0"), F.floor(F.when(taken > 0, last) / block).alias("rank1"))
+    for k, name in enumerate(("first_slot", "last_slot")):
+        found = ranks.select(F.col("sid").alias("_sid"), F.col("rank").alias("_rank"), F.col("slot").alias(name))
+        rows = rows.join(found, (F.col("sid") == F.col("_sid")) & (F.col(f"rank{k}") == F.col("_rank")), "left").drop("_sid", "_rank")
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "first_slot", "last_slot"), slots
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

@@ -72,7 +72,8 @@ select t.doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_
 from tokens t left join hit using (row) left join named using (row)
 """
 
-# Water filling in the order of cap per weight; a document's place in its source's stream tells its share.
+# Water filling in the order of cap per weight; golden-ratio points name every slot's source, and its slots tell what
+# is taken of a source's stream.
 MIXING = f"""
 with sizes as (
   select doc_id, source, md5('{mixing.SEED}|' || coalesce(doc_id::varchar, '')) as shuffle,
@@ -103,16 +104,46 @@ targets as (
                    / (weights - (coalesce(sum(case when stops then weight end) over (), 0))::bigint) end as target
   from stopped
 ),
+needs as (
+  select *, floor(target)::bigint as need, row_number() over (order by source is null, source) - 1 as sid from targets
+),
+edges as (
+  select *, (sum(need) over (order by sid rows unbounded preceding))::bigint - need as low,
+         (sum(need) over (order by sid rows unbounded preceding))::bigint as high,
+         greatest((sum(source_size) over ())::bigint // {mixing.SLOTS}, 1) as block, (sum(need) over ())::bigint as words
+  from needs
+),
+points as (
+  select slot, floor((turned - floor(turned)) * words)::bigint as place
+  from (select slot, words, (slot + 1) * {mixing.GOLDEN}::double as turned
+        from (select distinct block, words from edges) cross join unnest(range(0, (words + block - 1) // block)) as s(slot))
+),
+ranked as (
+  select slot, sid, block, source_size, row_number() over (partition by sid order by slot) - 1 as rank
+  from points join edges on place >= low and place < high
+),
+drawn as (select * from ranked where rank * block < {mixing.MOST} * source_size),
+reached as (
+  select e.*, coalesce(sum(least(d.block, {mixing.MOST} * d.source_size - d.rank * d.block)), 0)::bigint as reach
+  from edges e left join drawn d using (sid) group by all
+),
 placed as (
-  select doc_id, size, source_size, target, floor(target)::bigint as need,
-         coalesce(sum(size) over (partition by s.source order by shuffle, size
-                                  rows between unbounded preceding and 1 preceding), 0)::bigint as start
-  from sizes s join targets t on s.source is not distinct from t.source
+  select doc_id, size, r.*, coalesce(sum(size) over (partition by sid order by shuffle, size
+                                    rows between unbounded preceding and 1 preceding), 0)::bigint as start
+  from sizes s join reached r on s.source is not distinct from r.source
+),
+cut as (
+  select *, greatest(least(reach - start, size), 0) as lap0, greatest(least(reach - source_size - start, size), 0) as lap1
+  from placed
+),
+found as (
+  select *, case when lap0 + lap1 > 0 then start // block end as rank0,
+         case when lap1 > 0 then (source_size + start + lap1 - 1) // block
+              when lap0 > 0 then (start + lap0 - 1) // block end as rank1
+  from cut
 )
-select doc_id, size, source_size, target,
-       case when size = 0 then 0
-            else need // source_size * size + greatest(least(need % source_size - start, size), 0) end::bigint as taken
-from placed
+select doc_id, size, f.source_size, target, (lap0 + lap1)::bigint as taken, a.slot as first_slot, b.slot as last_slot
+from found f left join drawn a on a.sid = f.sid and a.rank = rank0 left join drawn b on b.sid = f.sid and b.rank = rank1
 """
 
 # Every window of bytes, as hexadecimal text, against the first document that has it.
