@@ -87,6 +87,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{_shared(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete an intermediate folder, wherever it lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def join_rows(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     """left and right joined on doc_id and content key; a null doc_id meets a null one."""
     other = right.withColumnsRenamed({"doc_id": "_other_id", "_key": "_other_key"})
