@@ -23,6 +23,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **extra: s
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("ballotlake")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
