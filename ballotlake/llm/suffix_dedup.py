@@ -8,14 +8,18 @@ bytes are compared exactly, with suffix arrays over everything that could repeat
    worth looking at; all other windows are unique.
 2. Pieces. The bytes of each such anchor's windows go to the shard of the anchor's hash. Equal pieces are
    one piece there, and an anchor with a single piece is settled by that.
-3. Suffix arrays. A shard's pieces are sorted by induced sorting; neighbours in suffix order whose common
-   prefix reaches `MATCH` bytes are equal windows, and the smallest doc_id among them decides.
+3. Suffix arrays. A shard's pieces are sorted by induced sorting and their common prefixes computed; windows
+   next to each other in suffix order that share `MATCH` bytes or more are equal, and the smallest doc_id
+   among them decides.
 4. Hot anchors, seen in more than `HOT` texts of one batch, are dealt out to several shards; the smallest
    doc_id per window of theirs is then taken over all shards, dealt by a hash of the window's bytes.
 5. The windows to remove become spans per text, which are cut out.
 
-Texts are told apart by a hash of theirs; copies of a text other than the first lose all of it at once.
-Rows travel as packed arrays, one for each shard and batch, so that anchors cost a few bytes each.
+Texts are told apart by a number of theirs; copies of a text other than the first lose all of it at once. The
+number is a 64-bit hash; where two texts with different SHA-256 share one (about n^2 / 2^65 pairs), theirs are
+hashed anew, so that no text is taken for another. Rows travel as packed arrays, one for each shard and
+batch, so that anchors cost a few bytes each; there are more shards than reduce tasks where a shard would
+get more than `SHARD` bytes of text.
 
 Defined results: a null text is empty; texts shorter than `MATCH` bytes keep everything; rows with the same
 doc_id do not remove anything from each other; a null doc_id counts as larger than all others, and such
@@ -31,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ballotlake.llm import common
@@ -41,6 +45,7 @@ MATCH = 50  # bytes
 GRAM = 20  # bytes
 HOT = 64  # texts of a batch that share an anchor
 SPREAD = 64  # shards a hot anchor is dealt to
+SHARD = 256 << 20  # bytes of text for each shard, at most
 FLUSH = 16 << 20  # bytes of text whose anchors travel together
 LAST = (1 << 63) - 1  # stands for a null doc_id
 STEP = 1 << 16  # bytes hashed at a time
@@ -402,18 +407,37 @@ def _cut():
     return run
 
 
+def _hashed(body: Column, turn: int) -> Column:
+    return F.xxhash64(body, F.octet_length(body)) if not turn else F.xxhash64(body, F.octet_length(body), F.lit(turn))
+
+
+def _numbered(docs: DataFrame, body: Column) -> tuple[Column, DataFrame]:
+    """The number of a text, different for different texts, and the rows with it."""
+    key, turn = _hashed(body, 0), 0
+    number = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("number")
+    while True:
+        rows = common.settled(docs.select(
+            "doc_id", key.alias("text_key"), number, F.octet_length(body).cast("long").alias("n_bytes"), F.sha2(body, 256).alias("sha256")))
+        digests = rows.groupBy("text_key").agg(F.min("sha256").alias("a"), F.max("sha256").alias("b"))
+        shared = [r["text_key"] for r in digests.filter("a <> b").select("text_key").collect()]  # next to none
+        if not shared:
+            return key, rows
+        turn += 1
+        key = F.when(key.isin(shared), _hashed(body, turn)).otherwise(key)
+
+
 def cut_texts(docs: DataFrame, match: int = MATCH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
     """The rows (doc_id, text_key, first, n_bytes, sha256) and the changed first texts (text_key, n_removed, n_spans, kept).
 
     A row whose doc_id is beyond `first`, the smallest with its text, is a copy.
     """
-    # Packed rows go from every shard to every shard, so there are as many as reduce tasks and not more.
-    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     body = common.whole()
-    key = F.xxhash64(body, F.octet_length(body)).alias("text_key")
+    key, rows = _numbered(docs, body)
+    key = key.alias("text_key")
     number = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("number")
-    rows = common.settled(docs.select(
-        "doc_id", key, number, F.octet_length(body).cast("long").alias("n_bytes"), F.sha2(body, 256).alias("sha256")))
+    # Packed rows go from every shard to every shard, so there are as many as reduce tasks, and more only for memory.
+    size = rows.agg(F.sum("n_bytes")).first()[0] or 0
+    shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD))
     first = rows.groupBy("text_key").agg(F.min("number").alias("first"))
     texts = docs.select(key, number, body.alias("body")).filter(F.octet_length("body") >= match)
     dealt = "shard int, data binary"
