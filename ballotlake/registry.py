@@ -393,7 +393,7 @@ def ingest_stream_voters(spark: SparkSession, folder: str) -> DataFrame:
     for wave in (texts.where(_earlier()), turned.where(~_earlier())):
         _write_csv(wave, f"{base}/files")
         ingest_stream(spark, f"{base}/files", f"{base}/raw", f"{base}/checkpoint", AS_OF_TIME)
-    return read_raw(spark, f"{base}/raw").drop("record_uuid", "source_file", "batch_id")
+    return read_raw(spark, f"{base}/raw").drop("record_uuid", "source_file", "batch_id", "key_part")
 
 
 # --- elections -----------------------------------------------------------------------------------
