@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ballotlake.llm import common
@@ -85,14 +86,16 @@ def test_any_number_of_contexts_and_all_byte_values(monkeypatch):
 
 def test_forty_languages_stay_small():
     dice = np.random.default_rng(5)
-    rows = []
+    parts = []
     for lang in range(40):
         letters = dice.choice(256, 40, replace=False)
-        syllables = [dice.choice(letters, dice.integers(1, 5)).tolist() for _ in range(400)]
-        data = np.array([10, 10, 10, *(c for k in (dice.zipf(1.3, 500_000) % 400) for c in syllables[k])], np.uint8)
-        values, counts = np.unique(P.grams(data), return_counts=True)
-        rows += list(zip([f"l{lang}"] * len(values), values.tolist(), counts.tolist()))
-    model = P.build(rows)
+        syllables = dice.choice(letters, (400, 4)).astype(np.uint8)
+        size = dice.integers(1, 5, 400)
+        order = dice.zipf(1.3, 500_000) % 400
+        data = syllables[order][np.arange(4) < size[order][:, None]]  # 1.2 MB, syllable after syllable
+        values, counts = np.unique(P.grams(np.append(np.full(3, 10, np.uint8), data)), return_counts=True)
+        parts.append(pa.table({"lang": [f"l{lang}"] * len(values), "gram": values.astype(np.int64), "n": counts}))
+    model = P.build(pa.concat_tables(parts))
     assert len(model.languages) == 40 and model.size < 100e6 and len(set(model.seen[3].code)) > 500_000
 
 
