@@ -4,9 +4,8 @@ The stream's checkpoint remembers the files already seen, in place of a watermar
 pass the same gate and are read by the same header-aware reader as those of a batch run; its rows are cut
 and cleaned once and checked like those of a run.
 
-The raw table is stored by batch and, within a batch, by a hash of the record's key, sorted by it. A batch
-looks its keys up only in the key partitions they fall in; there, row groups outside the range of a key
-are skipped by their statistics.
+The raw table is stored by batch and, within a batch, by a hash of the record's key. A batch looks its keys up
+only in the key partitions they fall in.
 """
 
 from __future__ import annotations
@@ -83,8 +82,7 @@ def ingest_stream(
             rows = ingest_voters(staged.rows, as_of, existing).observe(seen, F.count(F.lit(1)).alias("rows"))
             # A partition's rows come together; those of a frequent key may still be split over tasks.
             placed = rows.withColumn("key_part", key_part("record_hash")).hint("rebalance", F.col("key_part"))
-            placed.sortWithinPartitions("key_part", "record_hash").write.mode("overwrite").partitionBy(
-                "key_part").parquet(f"{raw_path}/batch_id={batch_id}")
+            placed.write.mode("overwrite").partitionBy("key_part").parquet(f"{raw_path}/batch_id={batch_id}")
         done.append(Batch(batch_id, seen.get["rows"], staged.warnings, staged.unread_cells))
 
     reader = spark.readStream.option("pathGlobFilter", "*.csv")
